@@ -1,8 +1,8 @@
 """Position stages, keyed by (user_id, token_id).
 
-``positions`` is the one-pass form: cash flow, balance and (optionally) the
-latest priced trade come out of ONE aggregate, so the deduped ledger is
-shuffled once for all of them. ``cashflow`` and ``balance`` are the single
+``positions`` is the one-pass form: cash flow and balance come out of ONE
+aggregate (numeric buffers only, so it plans as a hash aggregate), and the
+deduped ledger is shuffled once for both. ``cashflow`` and ``balance`` are the single
 stages, kept for testing the fused form against them.
 """
 
@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marksman.functions import ratio_or_zero, sum_if, units_to_decimal
-from marksman.operators.valuation import price_units
 
 KEYS = ["user_id", "token_id"]
 
@@ -42,19 +41,12 @@ def balance(ops: DataFrame) -> DataFrame:
     )
 
 
-def positions(ops: DataFrame, *, last_trade: bool = False, scale: int = 2) -> DataFrame:
-    """Cash flow and balance in one pass. With ``last_trade`` it also keeps
-    the latest priced trade of the position as a struct (timestamp, id_,
-    price_units): the per-token last price is then the latest of these, so the
-    ledger is not read a second time for prices."""
+def positions(ops: DataFrame) -> DataFrame:
+    """Cash flow and balance per position in one pass (plus the greatest
+    ``market_id`` when the rows carry one)."""
     aggs = _cashflow_aggs() + [F.sum("token_balance_change").alias("token_balance")]
     if "market_id" in ops.columns:
         aggs.insert(0, F.max("market_id").alias("market_id"))
-    if last_trade:
-        p = price_units(scale)
-        aggs.append(
-            F.max(F.when(p.isNotNull(), F.struct("timestamp", "id_", p.alias("price_units"))))
-            .alias("last_trade"))
     return ops.groupBy(*KEYS).agg(*aggs)
 
 

@@ -33,18 +33,24 @@ def payout_units(scale: int = 2) -> Column:
     )
 
 
+def _latest_priced(scale: int) -> Column:
+    """Aggregate: the latest priced trade by (timestamp, id_, user_id), a
+    total order on deduped rows; trades without a price are skipped."""
+    p = price_units(scale)
+    return F.max(F.when(p.isNotNull(), F.struct("timestamp", "id_", "user_id",
+                                                 p.alias("price_units"))))
+
+
 def last_price(ops: DataFrame, *, scale: int = 2) -> DataFrame:
-    """Price of the latest priced trade of each token.
+    """Price of the latest priced trade of each token, as DECIMAL(18, scale),
+    with the token's greatest market id. NULL when no trade of the token has
+    a price.
 
-    Latest by (timestamp, id_, user_id), a total order on deduped rows. One
-    aggregate with a partial step before the shuffle, so a hot token is
-    combined map-side. ``last_price`` is NULL when no trade of the token
-    has a price.
+    One aggregate with a partial step before the shuffle, so a hot token is
+    combined map-side and only token-sized data is exchanged.
     """
-    p = price_units(scale)
-    latest = F.max(F.when(p.isNotNull(), F.struct("timestamp", "id_", "user_id",
-                                                   p.alias("price_units"))))
-    out = ops.groupBy("token_id").agg(latest.alias("lt"), F.max("market_id").alias("market_id"))
+    out = ops.groupBy("token_id").agg(_latest_priced(scale).alias("lt"),
+                                      F.max("market_id").alias("market_id"))
     return out.select(
         "token_id",
         units_to_decimal(F.col("lt.price_units"), scale, precision=18).alias("last_price"),
@@ -52,14 +58,10 @@ def last_price(ops: DataFrame, *, scale: int = 2) -> DataFrame:
     )
 
 
-def last_price_from_positions(pos: DataFrame) -> DataFrame:
-    """Per-token latest priced trade from the per-position ``last_trade``
-    structs of ``positions(..., last_trade=True)``: (token_id, price_units).
-    Same order as ``last_price``; the user is constant inside a position."""
-    lt = F.col("last_trade")
-    latest = F.max(F.struct(lt["timestamp"].alias("timestamp"), lt["id_"].alias("id_"),
-                            F.col("user_id"), lt["price_units"].alias("price_units")))
-    return (pos.where(lt.isNotNull()).groupBy("token_id").agg(latest.alias("lt"))
+def last_price_units(ops: DataFrame, *, scale: int = 2) -> DataFrame:
+    """``last_price`` as an integer count of 10**-scale: (token_id,
+    price_units). Reads only the columns it needs."""
+    return (ops.groupBy("token_id").agg(_latest_priced(scale).alias("lt"))
             .select("token_id", F.col("lt.price_units").alias("price_units")))
 
 
@@ -97,7 +99,7 @@ def token_values(outcomes: DataFrame, prices: DataFrame, *, scale: int = 2) -> D
 
 __all__ = [
     "last_price",
-    "last_price_from_positions",
+    "last_price_units",
     "mark_to_market",
     "payout_units",
     "price_units",

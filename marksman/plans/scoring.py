@@ -6,17 +6,20 @@ with fewer exchanges:
 
 * the listing join only filters (left semi join): a token's market is
   attached once per token at the end, so fills never fan out per listing;
-* cash flow, balance and the latest priced trade come out of ONE
-  aggregate per position (one shuffle of the deduped ledger instead of three
-  aggregates and a join);
-* prices and payouts are folded into a token-sized table (token_id,
-  market_id, unit value) that is joined to positions, broadcast when its
-  row count is under the bound.
-
-Exchanges of the fused plan: (user_id, id_) for the dedupe, (user_id,
-token_id) for positions, (token_id) for the token table (small), then the
-wallet rollup. Every aggregate has a partial step before its shuffle, so a
-wallet or token holding a large share of all rows is combined map-side.
+* cash flow and balance come out of ONE hash aggregate per position (one
+  shuffle of the deduped ledger instead of two aggregates and a join);
+* the last price is aggregated per token straight from the deduped ledger
+  (partial step first, so only token-sized data is exchanged), and prices
+  and payouts fold into a token-sized table (token_id, market_id, unit
+  value) that is joined to positions, broadcast when its row count is under
+  the bound.
+
+Exchanges of the fused plan: (user_id, id_) for the dedupe, written once and
+read by both consumers (AQE reuses the identical shuffle), (user_id,
+token_id) for positions, (token_id) for prices (small), then the wallet
+rollup. Every aggregate has a partial step before its shuffle, so a wallet
+or token holding a large share of all rows is combined map-side. Nothing is
+cached: the plan stays lazy and holds no executor memory between calls.
 """
 
 from __future__ import annotations
@@ -27,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marksman.operators import ledger, positions, scorecard, valuation
-from marksman.plans.sizing import DEFAULT_BROADCAST_MAX_ROWS, broadcast_if_small, persisted
+from marksman.plans.sizing import DEFAULT_BROADCAST_MAX_ROWS, broadcast_if_small
 
 # Columns of the deduped ledger that the position stage reads.
 _POSITION_INPUT = ["timestamp", "token_id", "operation_type", "token_balance_change",
@@ -52,13 +55,8 @@ def literal_pnl(markets: DataFrame, fills: DataFrame, intermediaries: Sequence[s
 
 def fused_pnl(markets: DataFrame, fills: DataFrame, intermediaries: Sequence[str], *,
               cash_asset: str = ledger.CASH, scale: int = 2,
-              broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
-              reuse_positions: bool = True) -> DataFrame:
-    """Per-position profit in the fused plan (same rows as ``literal_pnl``).
-
-    ``reuse_positions`` persists the position table, which two consumers
-    read (token prices and the valuation join), instead of computing it twice.
-    """
+              broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
+    """Per-position profit in the fused plan (same rows as ``literal_pnl``)."""
     outcomes = ledger.market_outcomes(markets)
     n_listings = outcomes.count()
     listed, _ = broadcast_if_small(outcomes.select("token_id"), broadcast_max_rows,
@@ -67,10 +65,8 @@ def fused_pnl(markets: DataFrame, fills: DataFrame, intermediaries: Sequence[str
     ops = ledger.exclude_intermediaries(ledger.signed(trades, cash_asset=cash_asset),
                                         intermediaries)
     ops = ledger.dedupe_by_priority(ops, intermediaries, keep=_POSITION_INPUT)
-    pos = positions.positions(ops, last_trade=True, scale=scale)
-    if reuse_positions:
-        pos = persisted(pos)
-    prices = valuation.last_price_from_positions(pos)
+    pos = positions.positions(ops)
+    prices = valuation.last_price_units(ops, scale=scale)
     values, _ = broadcast_if_small(valuation.token_values(outcomes, prices, scale=scale),
                                    broadcast_max_rows, rows=n_listings)
     j = pos.join(values, "token_id")

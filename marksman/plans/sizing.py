@@ -11,7 +11,6 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -63,12 +62,6 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def persisted(df: DataFrame) -> DataFrame:
-    """Keep ``df`` for reuse by several consumers in one job. Lost blocks are
-    recomputed from lineage, so executor loss costs time, not correctness."""
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
-
-
 def local_path(path: str) -> str:
     """Strip a ``file:`` scheme (for tests that inspect files)."""
     return path[5:] if path.startswith("file:") else path
@@ -80,6 +73,5 @@ __all__ = [
     "checkpoint_dir",
     "checkpointed",
     "local_path",
-    "persisted",
     "scratch_path",
 ]
