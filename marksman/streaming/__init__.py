@@ -1,0 +1,10 @@
+"""Streaming: intentionally empty.
+
+The scoring job has no stream input, no event-time windows and no state that
+outlives a run: it rescans the whole fills table and rewrites a keyed
+snapshot. A scorecard is not incrementally maintainable in general either: a
+new fill can change which row wins a (wallet, transaction) dedupe and the
+last price of a token, and so the value of every position on that token.
+The refresh therefore stays a batch job (``marksman.plans.jobs.refresh``);
+running it on a schedule is left to the cluster's scheduler.
+"""
