@@ -8,6 +8,7 @@ write leaves the previous snapshot current.
 from __future__ import annotations
 
 import datetime as dt
+import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -116,11 +117,17 @@ def _versions(spark: SparkSession, root: str) -> DataFrame | None:
 
 
 def current_version(spark: SparkSession, root: str) -> int | None:
-    """Greatest committed version under ``root`` (None before the first)."""
+    """Greatest committed version under ``root`` (None before the first).
+
+    Read from the file listing (``inputFiles``), not by a scan, so the cost
+    does not grow with the data of older versions.
+    """
     t = _versions(spark, root)
-    if t is None or "version" not in t.columns:
+    if t is None:
         return None
-    return t.agg(F.max("version")).first()[0]
+    found = [int(m.group(1)) for p in t.inputFiles()
+             if (m := re.search(r"/version=(\d+)/", p))]
+    return max(found) if found else None
 
 
 def read_snapshot(spark: SparkSession, root: str) -> DataFrame:
