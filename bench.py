@@ -40,8 +40,8 @@ def _sf(path: str) -> float | str:
 
 
 def main() -> None:
-    spark = local_session(cores=CPUS, shuffle_partitions=max(8, 2 * int(CPUS)),
-                          app="marksman-bench")
+    parts = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", max(8, 2 * int(CPUS))))
+    spark = local_session(cores=CPUS, shuffle_partitions=parts, app="marksman-bench")
     spark.sparkContext.setLogLevel("ERROR")
     data = scratch_path(spark, "bench-inputs")
     t0 = time.time()

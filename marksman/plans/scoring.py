@@ -11,8 +11,8 @@ with fewer exchanges:
 * the last price is aggregated per token straight from the deduped ledger
   (partial step first, so only token-sized data is exchanged), and prices
   and payouts fold into a token-sized table (token_id, market_id, unit
-  value) that is joined to positions, broadcast when its row count is under
-  the bound.
+  value) that is joined to positions, broadcast when its measured rows and
+  bytes are under the bounds.
 
 Exchanges of the fused plan: (user_id, id_) for the dedupe, written once and
 read by both consumers (AQE reuses the identical shuffle), (user_id,
@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marksman.operators import ledger, positions, scorecard, valuation
-from marksman.plans.sizing import DEFAULT_BROADCAST_MAX_ROWS, broadcast_if_small
+from marksman.plans.sizing import DEFAULT_BROADCAST_MAX_ROWS, broadcast_if_small, measure
 
 # Columns of the deduped ledger that the position stage reads.
 _POSITION_INPUT = ["timestamp", "token_id", "operation_type", "token_balance_change",
@@ -58,9 +58,11 @@ def fused_pnl(markets: DataFrame, fills: DataFrame, intermediaries: Sequence[str
               broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
     """Per-position profit in the fused plan (same rows as ``literal_pnl``)."""
     outcomes = ledger.market_outcomes(markets)
-    n_listings = outcomes.count()
+    # one job sizes the listings; both broadcast sides are no larger (the
+    # token table has one row per listed token: id, market id, a bigint)
+    listings = measure(outcomes.select("token_id", "market_id"))
     listed, _ = broadcast_if_small(outcomes.select("token_id"), broadcast_max_rows,
-                                   rows=n_listings)
+                                   measured=listings)
     trades = ledger.two_sided(fills, cash_asset=cash_asset).join(listed, "token_id", "left_semi")
     ops = ledger.exclude_intermediaries(ledger.signed(trades, cash_asset=cash_asset),
                                         intermediaries)
@@ -68,7 +70,8 @@ def fused_pnl(markets: DataFrame, fills: DataFrame, intermediaries: Sequence[str
     pos = positions.positions(ops)
     prices = valuation.last_price_units(ops, scale=scale)
     values, _ = broadcast_if_small(valuation.token_values(outcomes, prices, scale=scale),
-                                   broadcast_max_rows, rows=n_listings)
+                                   broadcast_max_rows,
+                                   measured=(listings[0], listings[1] + 8 * listings[0]))
     j = pos.join(values, "token_id")
     unreal_units = F.col("token_balance") * F.col("unit_units")
     return j.select(

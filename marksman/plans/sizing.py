@@ -13,17 +13,39 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# About 100 bytes per row of (token_id, market_id, value): ~100 MB at the bound.
-DEFAULT_BROADCAST_MAX_ROWS = 1_000_000
+# Bounds for a broadcast side: rows (hash-table entries) and payload bytes.
+DEFAULT_BROADCAST_MAX_ROWS = 2_000_000
+DEFAULT_BROADCAST_MAX_BYTES = 256 * 1024 * 1024
+
+
+def measure(df: DataFrame) -> tuple[int, int]:
+    """(rows, payload bytes) of ``df`` in one aggregation job: strings and
+    binaries by their byte length, other columns by their fixed size."""
+    size = F.lit(0).cast("bigint")
+    for f in df.schema.fields:
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            size = size + F.coalesce(F.octet_length(F.col(f.name)), F.lit(0))
+        else:
+            size = size + F.lit(f.dataType.defaultSize)
+    row = df.agg(F.count(F.lit(1)).alias("n"), F.sum(size).alias("b")).first()
+    return row.n, row.b or 0
+
+
+def fits_broadcast(rows: int, size: int, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
+                   max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES) -> bool:
+    return rows <= max_rows and size <= max_bytes
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
-                       *, rows: int | None = None) -> tuple[DataFrame, bool]:
-    """``(F.broadcast(df), True)`` when ``df`` has at most ``max_rows`` rows,
-    else ``(df, False)``. Pass ``rows`` when the count is already known."""
-    n = df.count() if rows is None else rows
-    if n <= max_rows:
+                       max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES, *,
+                       measured: tuple[int, int] | None = None) -> tuple[DataFrame, bool]:
+    """``(F.broadcast(df), True)`` when ``df`` is within both bounds, else
+    ``(df, False)`` and the join stays a shuffle join. ``measured`` passes a
+    known (rows, bytes) of ``df`` or of a superset of it."""
+    n, b = measure(df) if measured is None else measured
+    if fits_broadcast(n, b, max_rows, max_bytes):
         return F.broadcast(df), True
     return df, False
 
@@ -68,8 +90,11 @@ def local_path(path: str) -> str:
 
 
 __all__ = [
+    "DEFAULT_BROADCAST_MAX_BYTES",
     "DEFAULT_BROADCAST_MAX_ROWS",
     "broadcast_if_small",
+    "fits_broadcast",
+    "measure",
     "checkpoint_dir",
     "checkpointed",
     "local_path",
