@@ -35,8 +35,11 @@ def refresh(spark: SparkSession, markets: DataFrame, fills: DataFrame, target_ro
                 "elapsed_seconds": round(time.monotonic() - started, 3)}
     if not sinks.key_violations(batch).isEmpty():
         raise ValueError("batch breaks the key constraint (NULL, duplicate or too long)")
+    target = sinks.read_snapshot(spark, target_root)
+    if not sinks.key_violations(target).isEmpty():
+        raise ValueError("current snapshot breaks the key constraint")
     stored = batch.count()
-    merged = sinks.upsert(sinks.read_snapshot(spark, target_root), batch, now=now)
+    merged = sinks.upsert(target, batch, now=now)
     sinks.write_snapshot(merged, target_root)
     total = sinks.snapshot_count(sinks.read_snapshot(spark, target_root))
     return {
@@ -47,4 +50,32 @@ def refresh(spark: SparkSession, markets: DataFrame, fills: DataFrame, target_ro
     }
 
 
-__all__ = ["PRESETS", "refresh"]
+def main(argv: list[str] | None = None) -> dict:
+    """``spark-submit marksman/plans/jobs.py --markets P --fills P --target P
+    [--preset top|full | --limit N] --intermediary ADDR ...``"""
+    import argparse
+    import json
+
+    from marksman.sources import read_fills, read_markets
+
+    ap = argparse.ArgumentParser(description="Refresh the trader scorecard snapshot.")
+    ap.add_argument("--markets", required=True)
+    ap.add_argument("--fills", required=True)
+    ap.add_argument("--target", required=True)
+    ap.add_argument("--preset", choices=sorted(PRESETS), default="top")
+    ap.add_argument("--limit", type=int)
+    ap.add_argument("--intermediary", action="append", default=[])
+    args = ap.parse_args(argv)
+    spark = SparkSession.builder.appName("marksman-refresh").getOrCreate()
+    summary = refresh(spark, read_markets(spark, args.markets), read_fills(spark, args.fills),
+                      args.target, intermediaries=args.intermediary,
+                      limit=args.limit or PRESETS[args.preset])
+    print(json.dumps(summary))
+    return summary
+
+
+__all__ = ["PRESETS", "main", "refresh"]
+
+
+if __name__ == "__main__":
+    main()
