@@ -16,8 +16,14 @@ are exact (integer sums, one final division) in both engines.
 from __future__ import annotations
 
 import datetime as dt
+import os
+import sys
 from collections.abc import Callable
 
+_HERE = os.path.dirname(os.path.abspath(__file__))
+if _HERE not in sys.path:  # loaded by file path: make the package importable
+    sys.path.insert(0, _HERE)
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
