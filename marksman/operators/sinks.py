@@ -70,6 +70,22 @@ def key_violations(df: DataFrame, key: str = SCORECARD_KEY,
             .where((F.col("n") > 1) | k.isNull() | (F.length(k) > max_len)))
 
 
+def key_stats(df: DataFrame, key: str = SCORECARD_KEY,
+              max_len: int = SCORECARD_KEY_MAX_LEN) -> tuple[int, int]:
+    """(rows, rows breaking NOT NULL / UNIQUE / the length bound) in one
+    aggregation job."""
+    k = F.col(key)
+    r = df.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count(k).alias("non_null"),
+        F.count_distinct(k).alias("distinct"),
+        F.coalesce(F.sum((F.length(k) > max_len).cast("int")), F.lit(0)).alias("long"),
+    ).first()
+    nulls = r.n - r.non_null
+    duplicates = r.non_null - r.distinct
+    return r.n, nulls + duplicates + r.long
+
+
 def upsert(target: DataFrame, batch: DataFrame, *, now: dt.datetime,
            key: str = SCORECARD_KEY, next_id: int | None = None) -> DataFrame:
     """Insert new keys, overwrite the measures of existing ones.
@@ -165,6 +181,7 @@ __all__ = [
     "coerce_scorecard",
     "current_version",
     "empty_target",
+    "key_stats",
     "key_violations",
     "read_snapshot",
     "snapshot_count",

@@ -30,15 +30,15 @@ def refresh(spark: SparkSession, markets: DataFrame, fills: DataFrame, target_ro
     now = now or dt.datetime.now().replace(microsecond=0)
     scores = checkpointed(score_traders(markets, fills, intermediaries, **score_kw))
     batch = checkpointed(sinks.coerce_scorecard(scorecard.top_by_threshold(scores, limit)))
-    if batch.isEmpty():
+    stored, bad_keys = sinks.key_stats(batch)  # one job: size and key check
+    if stored == 0:
         return {"users_processed": 0, "users_stored": 0,
                 "elapsed_seconds": round(time.monotonic() - started, 3)}
-    if not sinks.key_violations(batch).isEmpty():
+    if bad_keys:
         raise ValueError("batch breaks the key constraint (NULL, duplicate or too long)")
     target = sinks.read_snapshot(spark, target_root)
-    if not sinks.key_violations(target).isEmpty():
+    if sinks.key_stats(target)[1]:
         raise ValueError("current snapshot breaks the key constraint")
-    stored = batch.count()
     merged = sinks.upsert(target, batch, now=now)
     sinks.write_snapshot(merged, target_root)
     total = sinks.snapshot_count(sinks.read_snapshot(spark, target_root))

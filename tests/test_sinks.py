@@ -75,6 +75,14 @@ def test_key_violations(spark):
     assert got == {("a", 2), (None, 1), ("x" * 200, 1)}
 
 
+def test_key_stats(spark):
+    df = spark.createDataFrame([("a",), ("a",), (None,), ("x" * 200,), ("ok",)],
+                               "wallet_address string")
+    assert sinks.key_stats(df) == (5, 3)
+    assert sinks.key_stats(df.where("wallet_address = 'ok'")) == (1, 0)
+    assert sinks.key_stats(df.where("false")) == (0, 0)
+
+
 def test_snapshot_versions(spark, scores):
     root = scratch_path(spark, "test-snap")
     assert sinks.current_version(spark, root) is None
