@@ -66,32 +66,36 @@ def two_sided(fills: DataFrame, *, cash_asset: str = CASH) -> DataFrame:
     taker's: ``user_id`` trades with ``agent``, gives away ``asset_in`` and
     receives ``asset_out``.
 
-    The expansion is an ``explode`` of the literal array [1, 2]: a narrow
-    generator inside the scan stage, not a union of two scans.
+    Per side, first what the wallet gives and receives (asset and amount),
+    then the cash amount is whichever of the two is cash and the token amount
+    the other one; ``token_id`` is the non-cash asset. The expansion is an
+    ``explode`` of the literal array [1, 2]: a narrow generator inside the
+    scan stage, not a union of two scans.
     """
-    side = F.col("side")
-    maker_side = side == 1
-    maker_cash = F.col("maker_asset_id") == cash_asset
-    taker_cash = F.col("taker_asset_id") == cash_asset
-    m_amt, t_amt = F.col("maker_amount_filled"), F.col("taker_amount_filled")
-    expanded = live_fills(fills, cash_asset=cash_asset).select(
+    maker_side = F.col("side") == 1
+
+    def pick(for_maker: str, for_taker: str):
+        return F.when(maker_side, F.col(for_maker)).otherwise(F.col(for_taker))
+
+    sides = live_fills(fills, cash_asset=cash_asset).select(
         "*", F.explode(F.array(F.lit(1), F.lit(2))).alias("side"))
-    return expanded.select(
+    sides = sides.select(
         F.split_part(F.col("id"), F.lit("_"), F.lit(1)).alias("id_"),
         "timestamp",
-        F.when(maker_side, F.col("maker")).otherwise(F.col("taker")).alias("user_id"),
-        F.when(maker_side, F.col("taker")).otherwise(F.col("maker")).alias("agent"),
-        F.when(maker_side, F.when(maker_cash, m_amt).otherwise(t_amt))
-        .otherwise(F.when(taker_cash, t_amt).otherwise(m_amt)).alias("usdc_amount"),
-        F.when(maker_side, F.when(maker_cash, t_amt).otherwise(m_amt))
-        .otherwise(F.when(taker_cash, m_amt).otherwise(t_amt)).alias("token_amount"),
-        F.when(maker_side, F.col("maker_asset_id")).otherwise(F.col("taker_asset_id"))
-        .alias("asset_in"),
-        F.when(maker_side, F.col("taker_asset_id")).otherwise(F.col("maker_asset_id"))
-        .alias("asset_out"),
-    ).withColumn(
-        "token_id",
-        F.when(F.col("asset_in") == cash_asset, F.col("asset_out")).otherwise(F.col("asset_in")),
+        pick("maker", "taker").alias("user_id"),
+        pick("taker", "maker").alias("agent"),
+        pick("maker_asset_id", "taker_asset_id").alias("asset_in"),
+        pick("taker_asset_id", "maker_asset_id").alias("asset_out"),
+        pick("maker_amount_filled", "taker_amount_filled").alias("given"),
+        pick("taker_amount_filled", "maker_amount_filled").alias("received"),
+    )
+    pays_cash = F.col("asset_in") == cash_asset
+    return sides.select(
+        "id_", "timestamp", "user_id", "agent",
+        F.when(pays_cash, F.col("given")).otherwise(F.col("received")).alias("usdc_amount"),
+        F.when(pays_cash, F.col("received")).otherwise(F.col("given")).alias("token_amount"),
+        "asset_in", "asset_out",
+        F.when(pays_cash, F.col("asset_out")).otherwise(F.col("asset_in")).alias("token_id"),
     )
 
 
