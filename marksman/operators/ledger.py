@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from marksman.functions import latest
@@ -52,6 +53,34 @@ def market_outcomes(markets: DataFrame) -> DataFrame:
     )
 
 
+def token_codes(outcomes: DataFrame, *, partitions: int = 64) -> DataFrame:
+    """Dictionary for listed tokens: (token_id, token_code), codes 0..n-1
+    increasing in token_id order (byte order), so ordering by code equals
+    ordering by id and every tie-break is unchanged.
+
+    No single-task sort: the distinct ids are range-partitioned and
+    checkpointed (so the partitioning is fixed), each partition numbers its
+    rows, and adds the row count of the partitions before it (one small
+    number per partition reaches the driver).
+    """
+    from marksman.plans.sizing import checkpointed  # local: plans import operators
+
+    spark = outcomes.sparkSession
+    ids = checkpointed(outcomes.select("token_id").where(F.col("token_id").isNotNull())
+                       .distinct().repartitionByRange(partitions, "token_id")
+                       .withColumn("_part", F.spark_partition_id()))
+    counts = dict(ids.groupBy("_part").count().collect())
+    offsets, running = [], 0
+    for part in sorted(counts):
+        offsets.append((part, running))
+        running += counts[part]
+    off = spark.createDataFrame(offsets or [(0, 0)], "_part int, _offset bigint")
+    in_part = Window.partitionBy("_part").orderBy("token_id")
+    return ids.join(F.broadcast(off), "_part").select(
+        "token_id",
+        (F.row_number().over(in_part) - 1 + F.col("_offset")).cast("int").alias("token_code"))
+
+
 def live_fills(fills: DataFrame, *, cash_asset: str = CASH) -> DataFrame:
     """Fills that are not soft-deleted and trade tokens against cash on at
     least one side (token-for-token swaps drop out)."""
@@ -176,6 +205,7 @@ __all__ = [
     "market_outcomes",
     "operations",
     "signed",
+    "token_codes",
     "two_sided",
     "with_priority",
 ]

@@ -86,12 +86,19 @@ def mark_to_market(balances: DataFrame, outcomes: DataFrame, prices: DataFrame,
     )
 
 
-def token_values(outcomes: DataFrame, prices: DataFrame, *, scale: int = 2) -> DataFrame:
+def token_values(outcomes: DataFrame, prices: DataFrame, *, scale: int = 2,
+                 key: str = "token_id") -> DataFrame:
     """Per token: the greatest listing market and the unit value summed over
-    its listings, (token_id, market_id, unit_units). Token-sized."""
-    listing = outcomes.select("token_id", "market_id", "winner")
-    j = listing.join(prices.select("token_id", "price_units"), "token_id", "left")
-    return j.groupBy("token_id").agg(
+    its listings, (key, [token_id,] market_id, unit_units). Token-sized.
+
+    ``key`` names the token key shared by ``outcomes`` and ``prices`` (the
+    id itself, or a dictionary code carried next to the id in ``outcomes``).
+    """
+    cols = [key, "market_id", "winner"] + (["token_id"] if key != "token_id" else [])
+    j = outcomes.select(*cols).join(prices.select(key, "price_units"), key, "left")
+    extra = [F.max("token_id").alias("token_id")] if key != "token_id" else []
+    return j.groupBy(key).agg(
+        *extra,
         F.max("market_id").alias("market_id"),
         F.sum(payout_units(scale)).alias("unit_units"),
     )

@@ -30,7 +30,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marksman.operators import ledger, positions, scorecard, valuation
-from marksman.plans.sizing import DEFAULT_BROADCAST_MAX_ROWS, broadcast_if_small, measure
+from marksman.plans.sizing import (DEFAULT_BROADCAST_MAX_ROWS, broadcast_if_small,
+                                    measure_columns)
+
+# Token ids longer than this (bytes, on average) are dictionary-encoded.
+ENCODE_MIN_BYTES = 16
 
 # Columns of the deduped ledger that the position stage reads.
 _POSITION_INPUT = ["timestamp", "token_id", "operation_type", "token_balance_change",
@@ -55,24 +59,42 @@ def literal_pnl(markets: DataFrame, fills: DataFrame, intermediaries: Sequence[s
 
 def fused_pnl(markets: DataFrame, fills: DataFrame, intermediaries: Sequence[str], *,
               cash_asset: str = ledger.CASH, scale: int = 2,
-              broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
-    """Per-position profit in the fused plan (same rows as ``literal_pnl``)."""
+              broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
+              encode_tokens: bool | None = None) -> DataFrame:
+    """Per-position profit in the fused plan (same rows as ``literal_pnl``).
+
+    ``encode_tokens`` swaps token ids for order-preserving integer codes
+    before the big shuffles (dedupe, positions, prices) and back after them.
+    ``None`` decides from the data: on when listed ids average more than
+    ``ENCODE_MIN_BYTES`` bytes (production ids are ~77-digit strings).
+    """
     outcomes = ledger.market_outcomes(markets)
-    # one job sizes the listings; both broadcast sides are no larger (the
-    # token table has one row per listed token: id, market id, a bigint)
-    listings = measure(outcomes.select("token_id", "market_id"))
-    listed, _ = broadcast_if_small(outcomes.select("token_id"), broadcast_max_rows,
-                                   measured=listings)
-    trades = ledger.two_sided(fills, cash_asset=cash_asset).join(listed, "token_id", "left_semi")
+    # one job sizes the listings; every broadcast side below is no larger
+    n, width = measure_columns(outcomes.select("token_id", "market_id"))
+    if encode_tokens is None:
+        encode_tokens = n > 0 and width["token_id"] / n > ENCODE_MIN_BYTES
+    key = "token_code" if encode_tokens else "token_id"
+    if encode_tokens:
+        codes, _ = broadcast_if_small(ledger.token_codes(outcomes), broadcast_max_rows,
+                                      measured=(n, width["token_id"] + 4 * n))
+        trades = (ledger.two_sided(fills, cash_asset=cash_asset).join(codes, "token_id")
+                  .withColumn("token_id", F.col("token_code")).drop("token_code"))
+        listings = outcomes.join(codes, "token_id")
+    else:
+        listed, _ = broadcast_if_small(outcomes.select("token_id"), broadcast_max_rows,
+                                       measured=(n, width["token_id"]))
+        trades = ledger.two_sided(fills, cash_asset=cash_asset).join(listed, "token_id",
+                                                                     "left_semi")
+        listings = outcomes
     ops = ledger.exclude_intermediaries(ledger.signed(trades, cash_asset=cash_asset),
                                         intermediaries)
     ops = ledger.dedupe_by_priority(ops, intermediaries, keep=_POSITION_INPUT)
     pos = positions.positions(ops)
-    prices = valuation.last_price_units(ops, scale=scale)
-    values, _ = broadcast_if_small(valuation.token_values(outcomes, prices, scale=scale),
-                                   broadcast_max_rows,
-                                   measured=(listings[0], listings[1] + 8 * listings[0]))
-    j = pos.join(values, "token_id")
+    prices = valuation.last_price_units(ops, scale=scale).withColumnRenamed("token_id", key)
+    values, _ = broadcast_if_small(
+        valuation.token_values(listings, prices, scale=scale, key=key), broadcast_max_rows,
+        measured=(n, width["token_id"] + width["market_id"] + 12 * n))
+    j = pos.withColumnRenamed("token_id", key).join(values, key)
     unreal_units = F.col("token_balance") * F.col("unit_units")
     return j.select(
         "user_id", "token_id", "market_id", "operations_count",
@@ -86,11 +108,12 @@ def score_traders(markets: DataFrame, fills: DataFrame, intermediaries: Sequence
                   unit: float = 1e6, year_days: int = 365, scale: int = 2,
                   cash_asset: str = ledger.CASH,
                   broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
-                  fused: bool = True) -> DataFrame:
+                  fused: bool = True, encode_tokens: bool | None = None) -> DataFrame:
     """Scorecard of every wallet (not ranked)."""
+    kw = {"encode_tokens": encode_tokens} if fused else {}
     build = fused_pnl if fused else literal_pnl
     pnl = build(markets, fills, intermediaries, cash_asset=cash_asset, scale=scale,
-                broadcast_max_rows=broadcast_max_rows)
+                broadcast_max_rows=broadcast_max_rows, **kw)
     return scorecard.rollup(pnl, unit=unit, year_days=year_days, scale=scale)
 
 

@@ -20,17 +20,27 @@ DEFAULT_BROADCAST_MAX_ROWS = 2_000_000
 DEFAULT_BROADCAST_MAX_BYTES = 256 * 1024 * 1024
 
 
+def _width(f: T.StructField):
+    if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(F.col(f.name)), F.lit(0)).cast("bigint")
+    return F.lit(f.dataType.defaultSize).cast("bigint")
+
+
+def measure_columns(df: DataFrame) -> tuple[int, dict[str, int]]:
+    """(rows, payload bytes per column) of ``df`` in one aggregation job:
+    strings and binaries by their byte length, other columns by their fixed
+    size."""
+    aggs = [F.count(F.lit(1)).alias("_n")]
+    aggs += [F.coalesce(F.sum(_width(f)), F.lit(0)).alias(f"_b{i}")
+             for i, f in enumerate(df.schema.fields)]
+    row = df.agg(*aggs).first()
+    return row["_n"], {f.name: row[f"_b{i}"] for i, f in enumerate(df.schema.fields)}
+
+
 def measure(df: DataFrame) -> tuple[int, int]:
-    """(rows, payload bytes) of ``df`` in one aggregation job: strings and
-    binaries by their byte length, other columns by their fixed size."""
-    size = F.lit(0).cast("bigint")
-    for f in df.schema.fields:
-        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
-            size = size + F.coalesce(F.octet_length(F.col(f.name)), F.lit(0))
-        else:
-            size = size + F.lit(f.dataType.defaultSize)
-    row = df.agg(F.count(F.lit(1)).alias("n"), F.sum(size).alias("b")).first()
-    return row.n, row.b or 0
+    """(rows, payload bytes) of ``df`` in one aggregation job."""
+    n, by_col = measure_columns(df)
+    return n, sum(by_col.values())
 
 
 def fits_broadcast(rows: int, size: int, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
@@ -95,6 +105,7 @@ __all__ = [
     "broadcast_if_small",
     "fits_broadcast",
     "measure",
+    "measure_columns",
     "checkpoint_dir",
     "checkpointed",
     "local_path",

@@ -114,10 +114,14 @@ def test_plans_match_brute_force(spark, c):
     m = spark.createDataFrame(markets, MARKETS)
     f = spark.createDataFrame(fills, FILLS)
     expected = brute_force(markets, fills)
-    for fused in (True, False):
-        build = scoring.fused_pnl if fused else scoring.literal_pnl
+    for variant in ("fused", "encoded", "literal"):
+        fused = variant != "literal"
+        if variant == "literal":
+            rows = scoring.literal_pnl(m, f, IMS).collect()
+        else:
+            rows = scoring.fused_pnl(m, f, IMS, encode_tokens=variant == "encoded").collect()
         got = {}
-        for r in build(m, f, IMS).collect():
+        for r in rows:
             got[(r.user_id, r.token_id)] = (r.market_id, r.operations_count, r.realized_usdc,
                                             r.total_spent, int(r.absolute_profit * 100),
                                             r.relative_profit)

@@ -156,3 +156,21 @@ def test_long_intermediary_list_as_anti_join(spark):
     by_df = ledger.exclude_intermediaries(
         ops, spark.createDataFrame([("EX",), ("W2",)], "user_id string"))
     assert sorted(by_list.collect()) == sorted(by_df.select(*by_list.columns).collect())
+
+
+def test_long_token_ids_are_encoded_automatically(spark):
+    """Production-like 77-digit token ids take the dictionary-encoded path;
+    results are those of the plain path."""
+    from marksman.schemas import FILLS, MARKETS
+    long_id = {t: str(10**76 + i) for i, t in enumerate(["T1", "T2", "T3", "T4", "T5"])}
+    mk = [(q, c, [{"token_id": long_id[t["token_id"]], "outcome": t["outcome"]} for t in toks],
+           long_id.get(w, w), e) for q, c, toks, w, e in golden.MARKET_ROWS]
+    fl = [(i, ts, mk_, tk, long_id.get(a, a), long_id.get(b, b), x, y, d)
+          for i, ts, mk_, tk, a, b, x, y, d in golden.FILL_ROWS]
+    m, f = spark.createDataFrame(mk, MARKETS), spark.createDataFrame(fl, FILLS)
+    auto = scoring.fused_pnl(m, f, golden.INTERMEDIARIES)
+    plain = scoring.fused_pnl(m, f, golden.INTERMEDIARIES, encode_tokens=False)
+    assert sorted(auto.collect()) == sorted(plain.collect())
+    assert auto.count() == 4
+    p = auto._jdf.queryExecution().executedPlan().toString()
+    assert "token_code" in p

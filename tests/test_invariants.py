@@ -68,3 +68,19 @@ def test_one_pass_positions_equal_single_stages(data):
     two = positions.cashflow(d).join(positions.balance(d).drop("market_id"),
                                      ["user_id", "token_id"])
     assert sorted(one.collect()) == sorted(two.select(*one.columns).collect())
+
+
+def test_token_codes_follow_id_order(data):
+    m, _ = data
+    rows = ledger.token_codes(ledger.market_outcomes(m), partitions=5).orderBy(
+        "token_code").collect()
+    assert [r.token_code for r in rows] == list(range(len(rows)))
+    ids = [r.token_id for r in rows]
+    assert ids == sorted(ids, key=lambda x: x.encode())
+
+
+def test_encoded_tokens_equal_literal(data):
+    m, f = data
+    a = scoring.fused_pnl(m, f, IMS, encode_tokens=True)
+    b = scoring.literal_pnl(m, f, IMS)
+    assert sorted(a.collect()) == sorted(b.select(*a.columns).collect())
