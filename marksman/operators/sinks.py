@@ -101,7 +101,10 @@ def upsert(target: DataFrame, batch: DataFrame, *, now: dt.datetime,
     if next_id is None:
         top = target.agg(F.max("id")).first()[0]
         next_id = 1 if top is None else top + 1
-    now_lit = F.lit(now).cast("timestamp")
+    # from text: a naive ``now`` is wall-clock time in the session time zone,
+    # an aware one keeps its instant (a Python literal would use the driver
+    # process's zone instead)
+    now_lit = F.lit(now.isoformat(sep=" ")).cast("timestamp")
     b = batch.select(key, *SCORE_MEASURES).withColumn("_in_batch", F.lit(True))
     t = target.select(*[f.name for f in SCORECARD])
     j = t.alias("t").join(b.alias("b"), key, "full_outer")

@@ -27,7 +27,7 @@ def refresh(spark: SparkSession, markets: DataFrame, fills: DataFrame, target_ro
     key check, upsert). Only the summary reaches the driver.
     """
     started = time.monotonic()
-    now = now or dt.datetime.now().replace(microsecond=0)
+    now = now or dt.datetime.now(dt.timezone.utc).replace(microsecond=0)
     scores = checkpointed(score_traders(markets, fills, intermediaries, **score_kw))
     batch = checkpointed(sinks.coerce_scorecard(scorecard.top_by_threshold(scores, limit)))
     stored, bad_keys = sinks.key_stats(batch)  # one job: size and key check

@@ -121,3 +121,17 @@ def test_rows_as_dicts_is_bounded(spark, scores):
     assert [r["wallet_address"] for r in rows] == ["W1", "W3"]
     with pytest.raises(ValueError):
         rows_as_dicts(scores, 2)
+
+
+def test_stamps_are_session_wall_clock(spark, scores):
+    """A naive ``now`` is wall-clock time in the session zone, whatever the
+    driver process's zone; an aware one keeps its instant."""
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        out = sinks.upsert(sinks.empty_target(spark), sinks.coerce_scorecard(scores), now=T1)
+        assert out.select(F.col("updated_at").cast("timestamp_ntz").alias("u")).first().u == T1
+        aware = dt.datetime(2024, 2, 1, 5, 0, tzinfo=dt.timezone.utc)
+        out = sinks.upsert(sinks.empty_target(spark), sinks.coerce_scorecard(scores), now=aware)
+        assert out.select(F.col("updated_at").cast("timestamp_ntz").alias("u")).first().u == T1
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
