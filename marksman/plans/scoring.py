@@ -75,7 +75,9 @@ def fused_pnl(markets: DataFrame, fills: DataFrame, intermediaries: Sequence[str
         encode_tokens = n > 0 and width["token_id"] / n > ENCODE_MIN_BYTES
     key = "token_code" if encode_tokens else "token_id"
     if encode_tokens:
-        codes, _ = broadcast_if_small(ledger.token_codes(outcomes), broadcast_max_rows,
+        parts = max(1, min(4096, n // 200_000 + 1))  # ~200k ids per range
+        codes, _ = broadcast_if_small(ledger.token_codes(outcomes, partitions=parts),
+                                      broadcast_max_rows,
                                       measured=(n, width["token_id"] + 4 * n))
         trades = (ledger.two_sided(fills, cash_asset=cash_asset).join(codes, "token_id")
                   .withColumn("token_id", F.col("token_code")).drop("token_code"))
