@@ -1,8 +1,10 @@
 """Ledger stages: outcome listings, the two-sided signed ledger, the
 intermediary filter and the dedupe by priority.
 
-Nothing here shuffles except ``dedupe_by_priority`` (one hash exchange on
-(user_id, id_), after a map-side partial aggregate).
+The ledger itself is narrow (scan, filter, generator, broadcast join). Only
+``dedupe_by_priority`` shuffles the ledger (one hash exchange on (user_id,
+id_), after a map-side partial aggregate); ``token_codes`` shuffles only the
+token-sized listing table.
 """
 
 from __future__ import annotations
@@ -14,6 +16,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from marksman.functions import latest
+from marksman.plans.sizing import checkpointed
 
 CASH = "0"
 
@@ -63,8 +66,6 @@ def token_codes(outcomes: DataFrame, *, partitions: int = 64) -> DataFrame:
     rows, and adds the row count of the partitions before it (one small
     number per partition reaches the driver).
     """
-    from marksman.plans.sizing import checkpointed  # local: plans import operators
-
     spark = outcomes.sparkSession
     ids = checkpointed(outcomes.select("token_id").where(F.col("token_id").isNotNull())
                        .distinct().repartitionByRange(partitions, "token_id")

@@ -94,11 +94,6 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme (for tests that inspect files)."""
-    return path[5:] if path.startswith("file:") else path
-
-
 __all__ = [
     "DEFAULT_BROADCAST_MAX_BYTES",
     "DEFAULT_BROADCAST_MAX_ROWS",
@@ -108,6 +103,5 @@ __all__ = [
     "measure_columns",
     "checkpoint_dir",
     "checkpointed",
-    "local_path",
     "scratch_path",
 ]

@@ -135,3 +135,13 @@ def test_stamps_are_session_wall_clock(spark, scores):
         assert out.select(F.col("updated_at").cast("timestamp_ntz").alias("u")).first().u == T1
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_job_entry_point(spark):
+    root = scratch_path(spark, "test-cli")
+    golden.markets(spark).write.parquet(f"{root}/markets")
+    golden.fills(spark).write.parquet(f"{root}/fills")
+    s = jobs.main(["--markets", f"{root}/markets", "--fills", f"{root}/fills",
+                   "--target", f"{root}/target", "--limit", "2", "--intermediary", "EX"])
+    assert (s["users_processed"], s["total_users_in_db"]) == (2, 2)
+    assert sinks.current_version(spark, f"{root}/target") == 1
