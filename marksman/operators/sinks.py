@@ -135,18 +135,26 @@ def _versions(spark: SparkSession, root: str) -> DataFrame | None:
         return None
 
 
+def _version_numbers(spark: SparkSession, root: str) -> list[int]:
+    """Versions that have data files under ``root`` (from the file listing,
+    not a scan), committed or not."""
+    t = _versions(spark, root)
+    if t is None:
+        return []
+    return sorted({int(m.group(1)) for p in t.inputFiles()
+                   if (m := re.search(r"/version=(\d+)/", p))})
+
+
 def current_version(spark: SparkSession, root: str) -> int | None:
     """Greatest committed version under ``root`` (None before the first).
 
-    Read from the file listing (``inputFiles``), not by a scan, so the cost
-    does not grow with the data of older versions.
+    Committed means the write job finished: its ``_SUCCESS`` marker exists.
+    A version left half-written by a job that died during commit is skipped.
     """
-    t = _versions(spark, root)
-    if t is None:
-        return None
-    found = [int(m.group(1)) for p in t.inputFiles()
-             if (m := re.search(r"/version=(\d+)/", p))]
-    return max(found) if found else None
+    for v in reversed(_version_numbers(spark, root)):
+        if path_exists(spark, f"{root}/version={v}/_SUCCESS"):
+            return v
+    return None
 
 
 def read_snapshot(spark: SparkSession, root: str) -> DataFrame:
@@ -162,12 +170,12 @@ def write_snapshot(df: DataFrame, root: str) -> int:
     """Write ``df`` as the next version; returns its number.
 
     The new version is a new directory written in one Spark job (committed
-    at job end, ``errorifexists``), so the version being read is never
-    overwritten and a failed job publishes nothing.
+    at job end with a ``_SUCCESS`` marker, ``errorifexists``), so the version
+    being read is never overwritten and a failed job publishes nothing.
     """
     spark = df.sparkSession
-    v = current_version(spark, root)
-    version = 1 if v is None else v + 1
+    seen = _version_numbers(spark, root)
+    version = seen[-1] + 1 if seen else 1  # above any half-written version too
     df.write.mode("errorifexists").parquet(f"{root}/version={version}")
     return version
 

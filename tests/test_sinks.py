@@ -145,3 +145,17 @@ def test_job_entry_point(spark):
                    "--target", f"{root}/target", "--limit", "2", "--intermediary", "EX"])
     assert (s["users_processed"], s["total_users_in_db"]) == (2, 2)
     assert sinks.current_version(spark, f"{root}/target") == 1
+
+
+def test_half_written_version_is_skipped(spark, scores):
+    root = scratch_path(spark, "test-partial")
+    b = sinks.coerce_scorecard(scores)
+    sinks.write_snapshot(sinks.upsert(sinks.empty_target(spark), b, now=T0), root)
+    # a version without the commit marker, as a job that died in commit leaves
+    (sinks.upsert(sinks.empty_target(spark), b.limit(1), now=T1).write
+     .option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+     .parquet(f"{root}/version=2"))
+    assert sinks.current_version(spark, root) == 1
+    assert sinks.snapshot_count(sinks.read_snapshot(spark, root)) == 3
+    assert sinks.write_snapshot(sinks.read_snapshot(spark, root), root) == 3
+    assert sinks.current_version(spark, root) == 3
