@@ -171,6 +171,13 @@ def q_position_pnl_fused(spark, sf):
     return _pnl(spark, sf, fused=True)
 
 
+def q_position_pnl_encoded(spark, sf):
+    """The fused plan with token ids swapped for order-preserving codes
+    through the big shuffles (the path long production ids take)."""
+    markets, fills = _inputs(spark, sf)
+    return scoring.fused_pnl(markets, fills, INTERMEDIARIES, encode_tokens=True)
+
+
 def q_trader_rollup(spark, sf):
     return _scores(spark, sf).drop("portfolio_roi", "annual_avg_roi", "annual_portfolio_roi")
 
@@ -274,6 +281,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "position_mark_to_market": q_position_mark_to_market,
     "position_pnl": q_position_pnl,
     "position_pnl_fused": q_position_pnl_fused,
+    "position_pnl_encoded": q_position_pnl_encoded,
     "trader_rollup": q_trader_rollup,
     "trader_ratios": q_trader_ratios,
     "trader_annualised": q_trader_annualised,
