@@ -212,12 +212,17 @@ def q_top_traders_sql_args(spark, sf):
     return df
 
 
+def _adhoc(spark, sf):
+    markets, fills = _inputs(spark, sf)
+    return scorecard.adhoc(scoring.fused_pnl(markets, fills, INTERMEDIARIES, with_units=True))
+
+
 def q_traders_adhoc(spark, sf):
-    return scorecard.adhoc(_pnl(spark, sf, fused=True))
+    return _adhoc(spark, sf)
 
 
 def q_traders_adhoc_sample(spark, sf):
-    return scorecard.adhoc(_pnl(spark, sf, fused=True)).limit(10)
+    return _adhoc(spark, sf).limit(10)
 
 
 def q_coerced_rows(spark, sf):

@@ -72,7 +72,7 @@ def main() -> None:
 
     def q_traders_adhoc():
         m, f = inputs()
-        run_noop(scorecard.adhoc(scoring.fused_pnl(m, f, ims)))
+        run_noop(scorecard.adhoc(scoring.fused_pnl(m, f, ims, with_units=True)))
 
     def q_refresh_job():
         m, f = inputs()

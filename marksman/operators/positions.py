@@ -50,12 +50,17 @@ def positions(ops: DataFrame) -> DataFrame:
     return ops.groupBy(*KEYS).agg(*aggs)
 
 
-def pnl_columns(realized, spent, unrealized_units, scale: int = 2) -> list:
+def pnl_columns(realized, spent, unrealized_units, scale: int = 2,
+                with_units: bool = False) -> list:
     """Profit columns of a position from integer amounts (base units, and
-    10**-scale base units for the valuation), exact up to the final ratio."""
+    10**-scale base units for the valuation), exact up to the final ratio.
+    ``with_units`` adds the integer ``profit_units`` and ``gained_units`` that
+    the wallet rollup sums (so it needs no 38-digit decimal arithmetic)."""
     unit = 10**scale
     gained_units = realized * unit + unrealized_units
-    return [
+    extra = ([(gained_units - spent * unit).alias("profit_units"),
+              gained_units.alias("gained_units")] if with_units else [])
+    return extra + [
         units_to_decimal(gained_units - spent * unit, scale).alias("absolute_profit"),
         ratio_or_zero(gained_units, spent * unit).alias("relative_profit"),
         spent.alias("total_spent"),

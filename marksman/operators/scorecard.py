@@ -27,13 +27,20 @@ def _sums(pnl: DataFrame, scale: int) -> DataFrame:
     integer 10**-scale units. COUNT(DISTINCT market_id) plans as two partial
     aggregates, so a wallet with many positions is combined map-side."""
     unit = F.lit(10**scale)
+
+    def units(name: str, decimal_col: str):
+        # integer hundredths straight from the fused plan, else from the decimal
+        if name in pnl.columns:
+            return F.col(name)
+        return (F.col(decimal_col) * unit).cast("bigint")
+
     return pnl.groupBy("user_id").agg(
         F.count(F.lit(1)).alias("n_positions"),
         F.count_distinct("market_id").alias("n_markets"),
         F.avg("operations_count").alias("avg_ops"),
-        F.sum((F.col("absolute_profit") * unit).cast("bigint")).alias("profit_units"),
+        F.sum(units("profit_units", "absolute_profit")).alias("profit_units"),
         F.avg("relative_profit").alias("avg_rel"),
-        F.sum((F.col("total_gained") * unit).cast("bigint")).alias("gained_units"),
+        F.sum(units("gained_units", "total_gained")).alias("gained_units"),
         F.sum("total_spent").alias("spent"),
         F.min("day_enter").alias("first_at"),
         F.max("day_exit").alias("last_at"),

@@ -60,8 +60,9 @@ def literal_pnl(markets: DataFrame, fills: DataFrame, intermediaries: Sequence[s
 def fused_pnl(markets: DataFrame, fills: DataFrame, intermediaries: Sequence[str], *,
               cash_asset: str = ledger.CASH, scale: int = 2,
               broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
-              encode_tokens: bool | None = None) -> DataFrame:
-    """Per-position profit in the fused plan (same rows as ``literal_pnl``).
+              encode_tokens: bool | None = None, with_units: bool = False) -> DataFrame:
+    """Per-position profit in the fused plan (same rows as ``literal_pnl``;
+    ``with_units`` adds the integer sums the rollup reads).
 
     ``encode_tokens`` swaps token ids for order-preserving integer codes
     before the big shuffles (dedupe, positions, prices) and back after them.
@@ -101,7 +102,7 @@ def fused_pnl(markets: DataFrame, fills: DataFrame, intermediaries: Sequence[str
     return j.select(
         "user_id", "token_id", "market_id", "operations_count",
         *positions.pnl_columns(F.col("realized_usdc"), F.col("total_spent"), unreal_units,
-                               scale),
+                               scale, with_units=with_units),
         "day_enter", "day_exit",
     )
 
@@ -112,7 +113,7 @@ def score_traders(markets: DataFrame, fills: DataFrame, intermediaries: Sequence
                   broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
                   fused: bool = True, encode_tokens: bool | None = None) -> DataFrame:
     """Scorecard of every wallet (not ranked)."""
-    kw = {"encode_tokens": encode_tokens} if fused else {}
+    kw = {"encode_tokens": encode_tokens, "with_units": True} if fused else {}
     build = fused_pnl if fused else literal_pnl
     pnl = build(markets, fills, intermediaries, cash_asset=cash_asset, scale=scale,
                 broadcast_max_rows=broadcast_max_rows, **kw)
