@@ -15,6 +15,14 @@ from marksman.plans.sizing import checkpointed
 # Result sizes of the two scheduled runs.
 PRESETS = {"top": 10_000, "full": 50_000}
 
+# The two exchange-side addresses of the production job. Fills
+# traded against them win the dedupe (priority 2); their own ledger rows are
+# dropped. Used by ``main`` when no ``--intermediary`` is given.
+DEFAULT_INTERMEDIARIES = [
+    "0x4bfb41d5b3570defd03c39a9a4d8de6bd8b8982e",
+    "0xc5d563a36ae78145c45a50134d48a1215220f80a",
+]
+
 
 def refresh(spark: SparkSession, markets: DataFrame, fills: DataFrame, target_root: str, *,
             intermediaries: Sequence[str], limit: int = PRESETS["top"],
@@ -64,17 +72,18 @@ def main(argv: list[str] | None = None) -> dict:
     ap.add_argument("--target", required=True)
     ap.add_argument("--preset", choices=sorted(PRESETS), default="top")
     ap.add_argument("--limit", type=int)
-    ap.add_argument("--intermediary", action="append", default=[])
+    ap.add_argument("--intermediary", action="append", default=None,
+                    help="repeatable; default: DEFAULT_INTERMEDIARIES")
     args = ap.parse_args(argv)
     spark = SparkSession.builder.appName("marksman-refresh").getOrCreate()
     summary = refresh(spark, read_markets(spark, args.markets), read_fills(spark, args.fills),
-                      args.target, intermediaries=args.intermediary,
+                      args.target, intermediaries=args.intermediary or DEFAULT_INTERMEDIARIES,
                       limit=args.limit or PRESETS[args.preset])
     print(json.dumps(summary))
     return summary
 
 
-__all__ = ["PRESETS", "main", "refresh"]
+__all__ = ["DEFAULT_INTERMEDIARIES", "PRESETS", "main", "refresh"]
 
 
 if __name__ == "__main__":
