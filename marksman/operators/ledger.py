@@ -110,7 +110,9 @@ def two_sided(fills: DataFrame, *, cash_asset: str = CASH) -> DataFrame:
     sides = live_fills(fills, cash_asset=cash_asset).select(
         "*", F.explode(F.array(F.lit(1), F.lit(2))).alias("side"))
     sides = sides.select(
-        F.split_part(F.col("id"), F.lit("_"), F.lit(1)).alias("id_"),
+        # text before the first "_" (all of it when there is none), without
+        # building the array that split_part would
+        F.substring_index(F.col("id"), "_", 1).alias("id_"),
         "timestamp",
         pick("maker", "taker").alias("user_id"),
         pick("taker", "maker").alias("agent"),
