@@ -140,12 +140,14 @@ def test_top_breaks_ties_by_wallet(spark):
     assert [r.wallet_address for r in scorecard.top(df, 2).collect()] == ["c", "a"]
 
 
-def test_top_by_threshold_matches_top(spark):
-    df = spark.range(0, 5000).select(
+@pytest.mark.parametrize("rows,n", [(5000, 50), (200_000, 100)])
+def test_top_by_threshold_matches_top(spark, rows, n):
+    # many ties (1000 distinct profits): the threshold keeps every tied row
+    df = spark.range(0, rows).select(
         F.concat(F.lit("w"), F.col("id").cast("string")).alias("wallet_address"),
         ((F.col("id") * 7919) % 1000).cast("double").alias("profit_usdc"))
-    exact = [r.wallet_address for r in scorecard.top(df, 50).collect()]
-    got = [r.wallet_address for r in scorecard.top_by_threshold(df, 50).collect()]
+    exact = [r.wallet_address for r in scorecard.top(df, n).collect()]
+    got = [r.wallet_address for r in scorecard.top_by_threshold(df, n).collect()]
     assert got == exact
 
 
