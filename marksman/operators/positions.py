@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marksman.functions import ratio_or_zero, sum_if, units_to_decimal
+from marksman.operators.valuation import price_units
 
 KEYS = ["user_id", "token_id"]
 
@@ -41,12 +42,22 @@ def balance(ops: DataFrame) -> DataFrame:
     )
 
 
-def positions(ops: DataFrame) -> DataFrame:
+def positions(ops: DataFrame, *, last_trade: bool = False, scale: int = 2) -> DataFrame:
     """Cash flow and balance per position in one pass (plus the greatest
-    ``market_id`` when the rows carry one)."""
+    ``market_id`` when the rows carry one).
+
+    With ``last_trade`` each position also keeps its latest priced trade as a
+    struct (timestamp, id_, price_units), so per-token prices can come from
+    the position table instead of a second read of the deduped ledger (the
+    struct makes this a sort aggregate).
+    """
     aggs = _cashflow_aggs() + [F.sum("token_balance_change").alias("token_balance")]
     if "market_id" in ops.columns:
         aggs.insert(0, F.max("market_id").alias("market_id"))
+    if last_trade:
+        p = price_units(scale)
+        aggs.append(F.max(F.when(p.isNotNull(), F.struct(
+            "timestamp", "id_", p.alias("price_units")))).alias("last_trade"))
     return ops.groupBy(*KEYS).agg(*aggs)
 
 

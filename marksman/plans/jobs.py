@@ -6,10 +6,11 @@ import datetime as dt
 import time
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from marksman.operators import scorecard, sinks
-from marksman.plans.scoring import score_traders
+from marksman.plans.scoring import score_parts
 from marksman.plans.sizing import checkpointed
 
 # Result sizes of the two scheduled runs.
@@ -26,17 +27,27 @@ DEFAULT_INTERMEDIARIES = [
 
 def refresh(spark: SparkSession, markets: DataFrame, fills: DataFrame, target_root: str, *,
             intermediaries: Sequence[str], limit: int = PRESETS["top"],
-            now: dt.datetime | None = None, **score_kw) -> dict:
+            now: dt.datetime | None = None,
+            positions_storage: StorageLevel | None = StorageLevel.MEMORY_AND_DISK,
+            **score_kw) -> dict:
     """Score every wallet, keep the ``limit`` most profitable, upsert them into
     the snapshot under ``target_root`` and report what happened.
 
     The scorecard is checkpointed (it is read by the count, the threshold
     and the final top-N); the ranked batch is checkpointed too (empty check,
-    key check, upsert). Only the summary reaches the driver.
+    key check, upsert). Only the summary reaches the driver. The position
+    table is persisted at ``positions_storage`` while the scorecard is built
+    (prices and valuation both read it) and released right after its
+    checkpoint; ``None`` keeps the cache-free plan.
     """
     started = time.monotonic()
     now = now or dt.datetime.now(dt.timezone.utc).replace(microsecond=0)
-    scores = checkpointed(score_traders(markets, fills, intermediaries, **score_kw))
+    parts = score_parts(markets, fills, intermediaries, positions_storage=positions_storage,
+                        **score_kw)
+    try:
+        scores = checkpointed(parts.pnl)
+    finally:
+        parts.release()
     batch = checkpointed(sinks.coerce_scorecard(scorecard.top_by_threshold(scores, limit)))
     stored, bad_keys = sinks.key_stats(batch)  # one job: size and key check
     if stored == 0:

@@ -84,3 +84,15 @@ def test_encoded_tokens_equal_literal(data):
     a = scoring.fused_pnl(m, f, IMS, encode_tokens=True)
     b = scoring.literal_pnl(m, f, IMS)
     assert sorted(a.collect()) == sorted(b.select(*a.columns).collect())
+
+
+def test_persisted_positions_equal_literal_and_release(data):
+    from pyspark import StorageLevel
+    m, f = data
+    parts = scoring.fused_parts(m, f, IMS, positions_storage=StorageLevel.MEMORY_AND_DISK)
+    assert parts.positions is not None and parts.positions.is_cached
+    b = scoring.literal_pnl(m, f, IMS)
+    assert sorted(parts.pnl.collect()) == sorted(b.select(*parts.pnl.columns).collect())
+    parts.release()
+    assert not parts.positions.is_cached
+    assert scoring.fused_parts(m, f, IMS).positions is None  # default: nothing cached
