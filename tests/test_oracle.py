@@ -1,7 +1,5 @@
 """The correctness gate: every registered query against its DuckDB oracle."""
 
-import pytest
-
 from tests.conftest import SF_SMALL
 from tools.oracle_check import check
 

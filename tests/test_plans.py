@@ -1,9 +1,8 @@
 """Physical plan checks: no Python UDFs, pushdown, size-checked broadcast."""
 
 import pytest
-from pyspark.sql import functions as F
 
-from marksman.operators import ledger, scorecard
+from marksman.operators import ledger
 from marksman.plans import scoring
 from marksman.sources import fixtures, read_fills, read_markets
 from marksman.plans.sizing import scratch_path
