@@ -8,10 +8,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marksman.llm import packing, rans
+from marksman.llm import exact_dedup, packing, piece_bpe, rans
 from marksman.llm.common import read_table
 
 
+def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the one of its equal texts that stays."""
+    rows = exact_dedup.decisions(read_table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "keep_id", "group_size", "kept",
+                       F.lower(F.hex("digest")).alias("text_sha256"))
+
+
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document in interleaved range-coded files, read back."""
     return rans.token_files(read_table(spark, sf_dir, "documents"))
@@ -22,9 +29,21 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"))
 
 
+def op7_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Piece ids of every document by backtracking, and what they decode to."""
+    return piece_bpe.encode_decode(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_exact_dedup": op1_exact_dedup,
     "op3_token_files": op3_token_files,
     "op5_packing": op5_packing,
+    "op7_piece_bpe": op7_piece_bpe,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op1_exact_dedup": """
+        SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+               doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
+        FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))""",
+}
