@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marksman.llm import exact_dedup, packing, piece_bpe, rans
+from marksman.llm import exact_dedup, fingerprints, packing, piece_bpe, rans
 from marksman.llm.common import read_table
 
 
@@ -34,11 +34,17 @@ def op7_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_bpe.encode_decode(read_table(spark, sf_dir, "documents"))
 
 
+def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Packed one-permutation fingerprints of every text and its edited text."""
+    return fingerprints.fingerprints(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op3_token_files": op3_token_files,
     "op5_packing": op5_packing,
     "op7_piece_bpe": op7_piece_bpe,
+    "op10_fingerprints": op10_fingerprints,
 }
 
 ORACLE_SQL: dict[str, str] = {
