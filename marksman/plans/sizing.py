@@ -20,16 +20,25 @@ DEFAULT_BROADCAST_MAX_ROWS = 2_000_000
 DEFAULT_BROADCAST_MAX_BYTES = 256 * 1024 * 1024
 
 
+# Bytes of a value of the fixed-size types; others are measured as JSON text.
+_FIXED = {"boolean": 1, "byte": 1, "short": 2, "integer": 4, "float": 4, "date": 4, "long": 8,
+          "double": 8, "timestamp": 8, "timestamp_ntz": 8, "decimal": 16}
+
+
 def _width(f: T.StructField):
-    if isinstance(f.dataType, (T.StringType, T.BinaryType)):
-        return F.coalesce(F.octet_length(F.col(f.name)), F.lit(0)).cast("bigint")
-    return F.lit(f.dataType.defaultSize).cast("bigint")
+    c = F.col(f"`{f.name}`")
+    fixed = _FIXED.get(f.dataType.typeName())
+    if fixed is not None:
+        return F.lit(fixed).cast("bigint")
+    if not isinstance(f.dataType, (T.StringType, T.BinaryType)):
+        c = F.to_json(F.struct(c))
+    return F.coalesce(F.octet_length(c), F.lit(0)).cast("bigint")
 
 
 def measure_columns(df: DataFrame) -> tuple[int, dict[str, int]]:
     """(rows, payload bytes per column) of ``df`` in one aggregation job:
-    strings and binaries by their byte length, other columns by their fixed
-    size."""
+    strings and binaries by their byte length, nested columns by that of their
+    JSON form, other columns by their fixed size."""
     aggs = [F.count(F.lit(1)).alias("_n")]
     aggs += [F.coalesce(F.sum(_width(f)), F.lit(0)).alias(f"_b{i}")
              for i, f in enumerate(df.schema.fields)]
