@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marksman.llm import exact_dedup, fingerprints, packing, piece_bpe, rans
+from marksman.llm import exact_dedup, fingerprints, packing, piece_bpe, rans, suffix_dedup
 from marksman.llm.common import read_table
 
 
@@ -34,6 +34,15 @@ def op7_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_bpe.encode_decode(read_table(spark, sf_dir, "documents"))
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the 400-byte strings that occur elsewhere."""
+    rows = suffix_dedup.without_repeats(read_table(spark, sf_dir, "documents"))
+    size, left = F.octet_length("__bytes").cast("long"), F.octet_length("__kept").cast("long")
+    return rows.select("doc_id", size.alias("n_bytes"), (size - left).alias("n_removed"),
+                       F.size("__spans").cast("long").alias("n_spans"),
+                       F.sha2("__kept", 256).alias("kept_sha256"))
+
+
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Packed one-permutation fingerprints of every text and its edited text."""
     return fingerprints.fingerprints(read_table(spark, sf_dir, "documents"))
@@ -44,6 +53,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_token_files": op3_token_files,
     "op5_packing": op5_packing,
     "op7_piece_bpe": op7_piece_bpe,
+    "op8_suffix_dedup": op8_suffix_dedup,
     "op10_fingerprints": op10_fingerprints,
 }
 
