@@ -17,8 +17,8 @@ over rows), and one shuffle of the texts by id serves both sides of the join.
 Edge cases: null or empty text has no shingles and the fingerprint ''; two such
 have likeness 1, one with any other 0. Equal texts have equal fingerprints. The
 document after the last id is the first again; a single document follows
-itself. Null is the smallest id. Rows that share an id share the next document,
-which of several rows is the one with the least hash. An empty table gives no
+itself. Null counts as the least 64-bit id. Rows that share an id share the next
+document, which of several rows is the one with the least hash. An empty table gives no
 row; other columns are ignored; texts may be of any length.
 """
 
@@ -130,48 +130,45 @@ def likeness(a: Column, b: Column, bins: int = BINS) -> Column:
             .when(a.isNull() | b.isNull(), F.lit(0.0)).otherwise(close))
 
 
-def next_ids(docs: DataFrame) -> DataFrame:
-    """(doc_id, next_id, n_chars) per distinct id, n_chars of its longest text:
-    the next smaller id, after the last the greatest."""
-    ids = docs.groupBy("doc_id").agg(F.max("n_chars").alias("n_chars"))
-    ids = written(ids.repartitionByRange(F.desc_nulls_last("doc_id"))
-                  .withColumn("part", F.spark_partition_id()), "ordered-ids")
-    heads = ids.groupBy("part").agg(F.max("doc_id").alias("head"))
+def next_ids(keys: DataFrame) -> DataFrame:
+    """(key, next_key, need) per distinct key of (key, n_chars): the next
+    smaller key, after the least the greatest, and a third of the longest text."""
+    ids = keys.groupBy("key").agg(F.max("n_chars").alias("n_chars"))
+    ids = written(ids.repartitionByRange(F.desc("key")).withColumn("part", F.spark_partition_id()),
+                  "ordered-ids")
+    heads = ids.groupBy("part").agg(F.max("key").alias("head"))
     # a row for each range partition: these windows see no more
     parts = Window.orderBy("part")
-    heads = heads.select(
-        "part", F.lead(F.struct("head")).over(parts).alias("following"),
-        F.first(F.struct("head")).over(parts).alias("top"))
-    within = Window.partitionBy("part").orderBy(F.desc_nulls_last("doc_id"))
-    follow = F.lead(F.struct("doc_id")).over(within)
-    return (ids.withColumn("inner_next", follow).join(heads, "part")
-            .select("doc_id", "n_chars", F.coalesce(
-                F.col("inner_next.doc_id"),
-                F.when(F.col("inner_next").isNull(), F.coalesce("following", "top")["head"])
-            ).alias("next_id")))
+    heads = heads.select("part", F.coalesce(F.lead("head").over(parts),
+                                            F.first("head").over(parts.rowsBetween(
+                                                Window.unboundedPreceding, 0))).alias("after"))
+    within = Window.partitionBy("part").orderBy(F.desc("key"))
+    return (ids.withColumn("inner_next", F.lead("key").over(within)).join(heads, "part")
+            .select("key", F.coalesce("inner_next", "after").alias("next_key"),
+                    F.floor(F.col("n_chars") / 3).cast("int").alias("need")))
 
 
 def edited(docs: DataFrame, text: str = "text") -> DataFrame:
     """(doc_id, text, sig, n_chars, edited, next_sig): each document with its
     last third replaced by the beginning of the next document's text."""
-    rows = docs.select("doc_id", text_or_empty(text).alias("text"))
-    rows = rows.select("doc_id", "text", F.length("text").alias("n_chars"))
-    links = written(next_ids(rows.select("doc_id", "n_chars")), "next-ids")
-    # both sides read this shuffle
-    rows = rows.withColumn("sig", signature(F.col("text")))
-    one = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), F.desc("n_chars"))
-    giving = (rows.withColumn("rank", F.row_number().over(one)).filter("rank = 1")
-              .drop("rank", "n_chars"))
-    to = links.select(F.col("next_id").alias("from_id"), F.col("doc_id").alias("to_id"),
-                      F.floor(F.col("n_chars") / 3).cast("int").alias("need"))
-    given = (giving.join(to, F.col("doc_id").eqNullSafe(F.col("from_id")))
-             .select("to_id", F.expr("left(text, need)").alias("prefix"),
-                     F.col("sig").alias("next_sig")))
+    rows = docs.select("doc_id", F.coalesce("doc_id", F.lit(-2**63)).alias("key"),
+                       text_or_empty(text).alias("text"))
+    rows = rows.withColumn("n_chars", F.length("text"))
+    links = written(next_ids(rows.select("key", "n_chars")), "next-ids")
+    # this one shuffle of the texts serves both sides of the join
+    rows = rows.withColumn("sig", signature(F.col("text"))).repartition("key")
+    one = Window.partitionBy("key").orderBy(F.xxhash64("text"), F.desc("n_chars"),
+                                            F.col("doc_id"))
+    giving = rows.withColumn("rank", F.row_number().over(one)).filter("rank = 1").drop("rank")
+    to = links.select(F.col("next_key").alias("key"), F.col("key").alias("to_key"), "need")
+    given = giving.join(to, "key").select(
+        F.col("to_key").alias("key"), F.expr("left(text, need)").alias("prefix"),
+        F.col("sig").alias("next_sig")).repartition("key")
     cut = F.floor(F.col("n_chars") / 3).cast("int")
     new = F.concat(F.expr("left(text, n_chars - int(floor(n_chars / 3)))"),
                    F.substring(F.col("prefix"), F.lit(1), cut))
-    return (rows.join(given, F.col("doc_id").eqNullSafe(F.col("to_id")))
-            .select("doc_id", "text", "sig", "n_chars", new.alias("edited"), "next_sig"))
+    return rows.join(given, "key").select("doc_id", "text", "sig", "n_chars",
+                                          new.alias("edited"), "next_sig")
 
 
 def fingerprints(docs: DataFrame, text: str = "text") -> DataFrame:

@@ -26,3 +26,221 @@ an empty table gives no row; repeated pages (same id) are pages of their own,
 but the runs they share with one another do count as repeated; a null url is a
 host of its own; other columns are ignored; pages may be of any length.
 """
+
+from __future__ import annotations
+
+import re
+from collections.abc import Iterator
+from html.parser import HTMLParser
+from urllib.parse import urlsplit
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from marksman.llm.common import map_arrow, text_or_empty, written
+from marksman.llm.exact_dedup import located
+from marksman.llm.suffix_dedup import repeated_spans
+
+MIN_TOKENS = 8
+COVERED = 0.5
+_CODE = 8  # bytes of a token's code
+
+ARTICLE, OPEN, FURNITURE = 0, 1, 2
+
+_MAIN = {"article", "main"}
+_SKIP = {"head", "script", "style", "template", "noscript", "svg", "math", "iframe", "object",
+         "canvas", "audio", "video", "select", "option", "textarea", "button"}
+_ASIDE = {"nav", "header", "footer", "aside", "form", "menu", "dialog"}
+_INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn",
+           "em", "font", "i", "ins", "kbd", "label", "mark", "q", "s", "samp", "small", "span",
+           "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr", "ruby", "rt", "rp",
+           "img"}
+_VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param",
+         "source", "track", "wbr"}
+# An element that one of these begins closes an open one of the listed kinds.
+_CLOSES = {"p": {"p"}, "li": {"li", "p"}, "dt": {"dt", "dd", "p"}, "dd": {"dt", "dd", "p"},
+           "tr": {"tr", "td", "th", "p"}, "td": {"td", "th", "p"}, "th": {"td", "th", "p"}}
+_CLOSES |= {t: {"p"} for t in ("article", "aside", "blockquote", "div", "dl", "footer", "form",
+                               "h1", "h2", "h3", "h4", "h5", "h6", "header", "hr", "main", "nav",
+                               "ol", "pre", "section", "table", "ul")}
+# Words of class, id and role that mark furniture.
+_MARKS = {"ad", "ads", "advert", "advertisement", "advertising", "banner", "breadcrumb",
+          "breadcrumbs", "comment", "comments", "consent", "contentinfo", "cookie", "cookies",
+          "dialog", "disqus", "footer", "gdpr", "header", "menu", "menubar", "modal", "nav",
+          "navbar", "navigation", "newsletter", "notice", "notices", "overlay", "popup", "promo",
+          "promoted", "related", "replies", "respond", "search", "share", "sharing", "sidebar",
+          "sidenav", "social", "sponsor", "sponsored", "subscribe", "toolbar", "widget"}
+_WORD = re.compile(r"[a-z]+")
+
+
+class _Blocks(HTMLParser):
+    """Collects (kind, text) blocks."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.blocks: list[tuple[int, str]] = []
+        self.stack: list[tuple[str, int, bool]] = []  # tag, kind inside, skipped inside
+        self.kind, self.skipped = OPEN, False
+        self.parts: list[str] = []
+
+    def _flush(self) -> None:
+        text = " ".join("".join(self.parts).split())
+        self.parts = []
+        if text:
+            self.blocks.append((self.kind, text))
+
+    def _pop(self, depth: int) -> None:
+        del self.stack[depth:]
+        self.kind, self.skipped = self.stack[-1][1:] if self.stack else (OPEN, False)
+
+    def handle_starttag(self, tag, attrs):
+        if tag in _VOID:
+            if tag not in _INLINE:
+                self.parts.append(" ")
+                if tag == "hr":
+                    self._flush()
+            return
+        if tag not in _INLINE:
+            self._flush()
+            closes = _CLOSES.get(tag)
+            if closes:
+                for depth in range(len(self.stack) - 1, -1, -1):
+                    name = self.stack[depth][0]
+                    if name in closes:
+                        self._pop(depth)
+                        break
+                    if name not in _INLINE:  # not beyond the enclosing block
+                        break
+        kind, skipped = self.kind, self.skipped or tag in _SKIP
+        marks = {w for k, v in attrs if k in ("class", "id", "role") and v
+                 for w in _WORD.findall(v.lower())}
+        hidden = any(k == "hidden" or (k == "aria-hidden" and v == "true") for k, v in attrs)
+        if tag in _ASIDE or hidden or (marks & _MARKS and tag not in ("html", "body")
+                                       and tag not in _MAIN):
+            kind = FURNITURE
+        elif tag in _MAIN and kind == OPEN or "main" in marks and kind == OPEN:
+            kind = ARTICLE
+        if kind != self.kind:
+            self._flush()
+        self.stack.append((tag, kind, skipped))
+        self.kind, self.skipped = kind, skipped
+
+    def handle_endtag(self, tag):
+        if tag in _VOID:
+            return
+        if tag not in _INLINE:
+            self._flush()
+        for depth in range(len(self.stack) - 1, -1, -1):
+            name = self.stack[depth][0]
+            if name == tag:
+                if self.parts and (self.stack[depth - 1][1] if depth else OPEN) != self.kind:
+                    self._flush()
+                self._pop(depth)
+                return
+            if tag in _INLINE and name not in _INLINE:
+                return  # a stray inline end does not leave its block
+
+    def handle_data(self, data):
+        if not self.skipped:
+            self.parts.append(data)
+
+
+def blocks(html: str) -> list[tuple[int, str]]:
+    """(kind, text) of the page's blocks in page order."""
+    parser = _Blocks()
+    parser.feed(html)
+    parser.close()
+    parser._flush()
+    return parser.blocks
+
+
+def host(url: str | None) -> str:
+    """The url's host in lower case; '' where there is none."""
+    try:
+        return (urlsplit(url or "").hostname or "").lower()
+    except ValueError:
+        return ""
+
+
+def _codes(tokens: list[str], salt: str) -> bytes:
+    """A code for every token; hosts share none."""
+    return b"".join(xxhash.xxh64_digest(f"{salt} {t}") for t in tokens)
+
+
+def parsed(pages: DataFrame) -> DataFrame:
+    """(fid, row, kinds, texts, tokens, data): blocks, the number of tokens of
+    each, and the codes of the tokens outside the article."""
+    schema = "fid long, row long, kinds array<int>, texts array<string>, tokens array<int>, data binary"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                out: list[list] = [[], [], [], []]
+                for url, html in zip(part.column(2).to_pylist(), part.column(3).to_pylist(),
+                                     strict=True):
+                    found = blocks(html)
+                    words = [[] if kind == ARTICLE else text.split() for kind, text in found]
+                    salt = host(url)
+                    for col, value in zip(out, (
+                            [k for k, _ in found], [t for _, t in found],
+                            [len(w) for w in words],
+                            _codes([t for w in words for t in w], salt)), strict=True):
+                        col.append(value)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), part.column(1), pa.array(out[0], pa.list_(pa.int32())),
+                     pa.array(out[1], pa.list_(pa.string())),
+                     pa.array(out[2], pa.list_(pa.int32())), pa.array(out[3], pa.binary())],
+                    ["fid", "row", "kinds", "texts", "tokens", "data"])
+
+    return map_arrow(pages.select("fid", "row", "url", text_or_empty("html").alias("html")), run,
+                     schema)
+
+
+def kept_texts(kinds: list[int], texts: list[str], tokens: list[int],
+               spans: list[dict] | None) -> list[str]:
+    """The blocks that stay: the article's, and open ones that the host's
+    repeated runs cover by less than ``COVERED``."""
+    covered = np.zeros(sum(tokens) + 1, np.int64)
+    for s in spans or []:
+        covered[s["start"] // _CODE:s["end"] // _CODE] = 1
+    total = np.concatenate([[0], np.cumsum(covered)])
+    out, at = [], 0
+    for kind, text, n in zip(kinds, texts, tokens, strict=True):
+        own = int(total[at + n] - total[at])
+        at += n
+        if kind == ARTICLE or (kind == OPEN and own < COVERED * n):
+            out.append(text)
+    return out
+
+
+def main_texts(pages: DataFrame) -> DataFrame:
+    """The pages' columns but ``html``, and ``__text``."""
+    columns = pages.columns
+    pages = located(pages)
+    keyed = pages.select(F.xxhash64("__file").alias("fid"), F.col("__row").alias("row"),
+                         *[F.col(f"`{c}`").alias(f"__c{i}") for i, c in enumerate(columns)])
+    at = {c: f"__c{columns.index(c)}" for c in ("url", "html")}
+    rows = written(parsed(keyed.select("fid", "row", F.col(at["url"]).alias("url"),
+                                       F.col(at["html"]).alias("html"))), "page-blocks")
+    spans = repeated_spans(rows.select("fid", "row", "data"), MIN_TOKENS * _CODE, _CODE, True)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [" ".join(kept_texts(r["kinds"], r["texts"], r["tokens"], r["spans"]))
+                     for i in range(0, batch.num_rows, 256)
+                     for r in batch.slice(i, 256).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(
+                texts, pa.string())], ["fid", "row", "__text"])
+
+    kept = map_arrow(rows.join(spans, ["fid", "row"], "left").select(
+        "fid", "row", "kinds", "texts", "tokens", "spans"), run,
+        "fid long, row long, __text string")
+    return keyed.drop(at["html"]).join(kept, ["fid", "row"]).select(
+        *[F.col(f"__c{i}").alias(c) for i, c in enumerate(columns) if c != "html"], "__text")
+
+
+__all__ = ["blocks", "host", "kept_texts", "main_texts", "parsed"]

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marksman.llm import exact_dedup, fingerprints, packing, piece_bpe, rans, suffix_dedup
+from marksman.llm import exact_dedup, fingerprints, html_main, packing, piece_bpe, rans, suffix_dedup
 from marksman.llm.common import read_table
 
 
@@ -43,6 +43,13 @@ def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2("__kept", 256).alias("kept_sha256"))
 
 
+def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    rows = html_main.main_texts(read_table(spark, sf_dir, "pages"))
+    return rows.select("page_id", "url", F.col("__text").alias("text"),
+                       F.length("__text").cast("long").alias("n_chars"))
+
+
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Packed one-permutation fingerprints of every text and its edited text."""
     return fingerprints.fingerprints(read_table(spark, sf_dir, "documents"))
@@ -54,6 +61,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_packing": op5_packing,
     "op7_piece_bpe": op7_piece_bpe,
     "op8_suffix_dedup": op8_suffix_dedup,
+    "op9_main_text": op9_main_text,
     "op10_fingerprints": op10_fingerprints,
 }
 

@@ -23,7 +23,9 @@ judged on the input.
 5. Spans are joined back to their documents, merged and cut out.
 
 Documents are identified by the file and row they come from. All texts are read
-whole; a text is processed in pieces of ``PIECE`` window starts.
+whole; a text is processed in pieces of ``PIECE`` window starts. ``repeated_spans``
+also serves streams of codes of ``unit`` bytes (windows then start at whole codes)
+and can ask for repetition in another document (``apart``).
 
 Edge cases: null text is the empty text; texts shorter than a window lose
 nothing; an empty table gives no row; repeated rows are documents of their own,
@@ -125,7 +127,7 @@ def _window_least(values: np.ndarray, width: int) -> np.ndarray:
 
 
 def find_runs(data: np.ndarray, begins: np.ndarray, ends: np.ndarray, length: int,
-              hashes: Hashes) -> tuple[np.ndarray, ...]:
+              hashes: Hashes, unit: int = 1) -> tuple[np.ndarray, ...]:
     """Runs in the pieces [begins, ends) of ``data``: (piece, first window's
     place in the data, windows, anchor's offset from it, anchor, context)."""
     none = np.zeros(0, np.int64)
@@ -141,23 +143,26 @@ def find_runs(data: np.ndarray, begins: np.ndarray, ends: np.ndarray, length: in
     np.add.at(edge, begins[fits], 1)
     np.add.at(edge, ends[fits] - length + 1, -1)
     starts = np.flatnonzero(np.cumsum(edge[:-1]))
+    if unit > 1:
+        own = begins[np.searchsorted(begins, starts, side="right") - 1]
+        starts = starts[(starts - own) % unit == 0]
     if not len(starts):
         return (none,) * 4 + (none.astype(np.uint64),) * 2
     a = anchor[starts]
     first = np.ones(len(starts), bool)
-    first[1:] = (a[1:] != a[:-1]) | (starts[1:] != starts[:-1] + 1)
+    first[1:] = (a[1:] != a[:-1]) | (starts[1:] != starts[:-1] + unit)
     at = np.flatnonzero(first)
     place = starts[at]
     windows = np.diff(np.append(at, len(starts)))
     off = a[at] - place
-    context = hashes.spans(data, place, place + windows + length - 1)
+    context = hashes.spans(data, place, place + (windows - 1) * unit + length)
     context = mixed(context + (off * 65536 + windows).astype(np.uint64) * hashes.bases[1])
     piece = np.searchsorted(begins, place, side="right") - 1
     return piece, place, windows, off, gram[a[at]], context
 
 
 def _texts(batch: pa.RecordBatch, column: int) -> tuple[np.ndarray, np.ndarray]:
-    """Bytes and offsets of a string column without nulls."""
+    """Bytes and offsets of a binary column without nulls."""
     col = batch.column(column).cast(pa.large_binary())
     offsets = np.frombuffer(col.buffers()[1], np.int64)[col.offset:col.offset + len(col) + 1]
     raw = col.buffers()[2]
@@ -181,8 +186,8 @@ def _pieces(offsets: np.ndarray, length: int) -> Iterator[list[tuple[int, int, i
         yield held
 
 
-def runs(docs: DataFrame, length: int = LENGTH, text: str = "text") -> DataFrame:
-    """``RUNS`` of located documents."""
+def runs(docs: DataFrame, length: int = LENGTH, unit: int = 1) -> DataFrame:
+    """``RUNS`` of (fid, row, data)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = Hashes()
         for batch in batches:
@@ -197,7 +202,7 @@ def runs(docs: DataFrame, length: int = LENGTH, text: str = "text") -> DataFrame
                 part = np.concatenate([data[b:b + n] for b, n in
                                        zip(begin.tolist(), size.tolist(), strict=True)])
                 piece, place, windows, off, a, c = find_runs(part, own_begin, own_end, length,
-                                                             hashes)
+                                                             hashes, unit)
                 doc = of[piece]
                 in_text = place - own_begin[piece] + begin[piece] - offsets[doc]
                 yield pa.RecordBatch.from_arrays(
@@ -206,34 +211,42 @@ def runs(docs: DataFrame, length: int = LENGTH, text: str = "text") -> DataFrame
                      pa.array(a.view(np.int64)), pa.array(c.view(np.int64))],
                     ["fid", "row", "place", "windows", "off", "a", "c"])
 
-    return map_arrow(docs.select("fid", "row", text_or_empty(text).alias("text")), run, RUNS)
+    return map_arrow(docs.select("fid", "row", "data"), run, RUNS)
 
 
 # ------------------------------------------------------------ suffix arrays
 
-def repeated_windows(data: np.ndarray, begins: np.ndarray, windows: np.ndarray,
-                     length: int) -> np.ndarray:
+def repeated_windows(data: np.ndarray, begins: np.ndarray, windows: np.ndarray, length: int,
+                     unit: int = 1, owner: np.ndarray | None = None) -> np.ndarray:
     """For every window of every context (begins, number of windows), in that
-    order: does it occur at another window start of these contexts?"""
+    order: does it occur at another window start of these contexts (one whose
+    context has another owner, if owners are given)?"""
     words = first_eight(data)
     sa = suffix_array(data, length, words)
     shared = common_prefixes(data, sa, length, words) >= length
-    starts = _starts(begins, windows)
-    is_start = np.zeros(len(data), bool)
-    is_start[starts] = True
+    starts = _starts(begins, windows, unit)
+    window_at = np.full(len(data), -1, np.int64)
+    window_at[starts] = np.arange(len(starts))
     # suffixes with the same first bytes: a group; windows of it at window starts
     group = np.cumsum(~shared)
-    ours = is_start[sa]
-    size = np.bincount(group[ours], minlength=int(group[-1]) + 1)
-    many = np.zeros(len(data), bool)
-    many[sa[ours]] = size[group[ours]] > 1
-    return many[starts]
-
-
-def _starts(begins: np.ndarray, windows: np.ndarray) -> np.ndarray:
-    total = int(windows.sum())
-    own = np.repeat(begins - (np.cumsum(windows) - windows), windows)
-    return own + np.arange(total)
+    window = window_at[sa]
+    ours = window >= 0
+    group, window = group[ours], window[ours]
+    first = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
+    size = np.diff(np.append(first, len(group)))
+    if owner is None:
+        enough = size > 1
+    else:
+        of = np.repeat(owner, windows)[window]
+        enough = np.minimum.reduceat(of, first) != np.maximum.reduceat(of, first)
+    many = np.zeros(len(starts), bool)
+    many[window] = np.repeat(enough, size)
+    return many
+
+
+def _starts(begins: np.ndarray, windows: np.ndarray, unit: int = 1) -> np.ndarray:
+    place = np.arange(int(windows.sum())) - np.repeat(np.cumsum(windows) - windows, windows)
+    return np.repeat(begins, windows) + place * unit
 
 
 def _covered(starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -249,8 +262,8 @@ def _covered(starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
 class _Shard:
     """Contexts gathered for one suffix array."""
 
-    def __init__(self, length: int, hashes: Hashes):
-        self.length, self.hashes = length, hashes
+    def __init__(self, length: int, hashes: Hashes, unit: int, apart: bool):
+        self.length, self.hashes, self.unit, self.apart = length, hashes, unit, apart
         self.rows: list[dict] = []
         self.size = 0
 
@@ -267,13 +280,19 @@ class _Shard:
         sizes = np.array([len(r["bytes"]) for r in rows])
         begins = np.cumsum(sizes + 1) - sizes - 1
         windows = np.array([r["windows"] for r in rows])
-        many = repeated_windows(data, begins, windows, self.length)
+        owner = None
+        if self.apart:  # a context found in several documents is of none
+            docs = {}
+            owner = np.array([docs.setdefault((r["fid"], r["row"]), len(docs)) if r["n"] == 1
+                              else -1 - i for i, r in enumerate(rows)])
+        many = repeated_windows(data, begins, windows, self.length, self.unit, owner)
         ends = np.cumsum(windows)
         out = []
         for r, e, k in zip(rows, ends.tolist(), windows.tolist(), strict=True):
             if r["n"] > 1:
                 continue  # its runs are repeated as a whole
-            for s, t in zip(*_covered(np.flatnonzero(many[e - k:e]), self.length), strict=True):
+            at = np.flatnonzero(many[e - k:e]) * self.unit
+            for s, t in zip(*_covered(at, self.length), strict=True):
                 out.append({"fid": r["fid"], "row": r["row"], "start": r["place"] + int(s),
                             "end": r["place"] + int(t)})
         if rows[0]["splits"] > 1:  # then all are of one anchor
@@ -281,7 +300,7 @@ class _Shard:
         return out
 
     def _sorted_runs(self, rows, data, begins, windows, many) -> list[dict]:
-        starts = _starts(begins, windows)
+        starts = _starts(begins, windows, self.unit)
         d1, d2 = (self.hashes.spans(data, starts, starts + self.length, k) for k in (0, 1))
         context = np.repeat(np.arange(len(rows)), windows)
         fid, row, place, n = (np.array([r[k] for r in rows], np.int64)
@@ -311,11 +330,12 @@ _SHARD_ARROW = pa.schema([
 _SPAN_ARROW = pa.schema(list(_SHARD_ARROW)[:4])
 
 
-def shard_spans(contexts: DataFrame, length: int = LENGTH) -> DataFrame:
+def shard_spans(contexts: DataFrame, length: int = LENGTH, unit: int = 1,
+                apart: bool = False) -> DataFrame:
     """``SHARD_OUT`` of contexts (a, part, splits, n, windows, fid, row, place,
     bytes): one suffix array for several anchors or for a part of one."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, key = _Shard(length, Hashes()), None
+        shard, key = _Shard(length, Hashes(), unit, apart), None
         for batch in batches:
             for row in batch.to_pylist():
                 own = (row["a"], row["part"])
@@ -381,17 +401,24 @@ def cross_shard_spans(sent: DataFrame, length: int = LENGTH) -> DataFrame:
 
 # ------------------------------------------------------------------ operator
 
-def _contexts(docs: DataFrame, edges: DataFrame, length: int, text: str) -> DataFrame:
+def _contexts(docs: DataFrame, edges: DataFrame, length: int, unit: int) -> DataFrame:
     """The bytes of every context in ``edges``, read from its document."""
     wanted = edges.groupBy("fid", "row").agg(F.collect_list(F.struct(
         "a", "part", "splits", "n", "windows", "place")).alias("wanted"))
     wanted, _ = broadcast_if_small(wanted, 200_000, 64 << 20,
                                    measured=_measured(edges, 40))
-    rows = (docs.select("fid", "row", F.encode(text_or_empty(text), "UTF-8").alias("text"))
-            .join(wanted, ["fid", "row"]))
-    rows = rows.select("fid", "row", "text", F.explode("wanted").alias("w"))
+    rows = docs.select("fid", "row", "data").join(wanted, ["fid", "row"])
+    rows = rows.select("fid", "row", "data", F.explode("wanted").alias("w"))
     return rows.select("fid", "row", "w.*", F.expr(
-        f"substring(text, int(w.place) + 1, w.windows + {length - 1})").alias("bytes"))
+        f"substring(data, int(w.place) + 1, (w.windows - 1) * {unit} + {length})").alias("bytes"))
+
+
+def _times(apart: bool) -> Column:
+    """How often a context occurs; ``apart``: 2 if in several documents, else 1."""
+    if not apart:
+        return F.count(F.lit(1))
+    differ = (F.min("fid") != F.max("fid")) | (F.min("row") != F.max("row"))
+    return F.when(differ, 2).otherwise(1).cast("long")
 
 
 def _measured(df: DataFrame, width: int) -> tuple[int, int]:
@@ -399,26 +426,28 @@ def _measured(df: DataFrame, width: int) -> tuple[int, int]:
     return n, n * width
 
 
-def repeated_spans(docs: DataFrame, length: int = LENGTH, text: str = "text") -> DataFrame:
-    """(fid, row, spans): the repeated spans [start, end) of every located
-    document that has any, in order and not touching one another."""
-    found = written(runs(docs, length, text), "suffix-runs")
+def repeated_spans(docs: DataFrame, length: int = LENGTH, unit: int = 1,
+                   apart: bool = False) -> DataFrame:
+    """(fid, row, spans) of (fid, row, data): the repeated spans [start, end) of
+    every document that has any, in order and not touching one another. With
+    ``apart`` a window must occur in another document."""
+    found = written(runs(docs, length, unit), "suffix-runs")
     many, _ = broadcast_if_small(found.groupBy("a").count().filter("count > 1").select("a"))
     found = written(found.join(many, "a", "left_semi"), "suffix-repeated-anchors")
     groups = found.groupBy("a", "c").agg(
-        F.count(F.lit(1)).alias("n"), *[F.first(k).alias(k)
+        _times(apart).alias("n"), *[F.first(k).alias(k)
                                         for k in ("fid", "row", "place", "windows")])
     groups = written(groups, "suffix-contexts")
     whole, _ = broadcast_if_small(groups.filter("n > 1").select("a", "c"))
     whole_spans = found.join(whole, ["a", "c"], "left_semi").select(
         "fid", "row", F.col("place").alias("start"),
-        (F.col("place") + F.col("windows") + length - 1).alias("end"))
+        (F.col("place") + (F.col("windows") - 1) * unit + length).alias("end"))
     different = groups.groupBy("a").agg(F.count(F.lit(1)).alias("contexts")).filter("contexts > 1")
     edges = (groups.join(different, "a")
              .withColumn("splits", F.ceil(F.col("contexts") / SHARD_CONTEXTS).cast("int"))
              .withColumn("part", F.pmod("c", F.col("splits")).cast("int")))
     edges = written(edges.drop("c", "contexts"), "suffix-edges")
-    sent = written(shard_spans(_contexts(docs, edges, length, text), length), "suffix-shards")
+    sent = written(shard_spans(_contexts(docs, edges, length, unit), length, unit, apart), "suffix-shards")
     spans = (whole_spans.unionByName(sent.filter("start is not null").select("fid", "row",
                                                                              "start", "end"))
              .unionByName(cross_shard_spans(sent.filter("bucket is not null").drop(
@@ -461,8 +490,8 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, text: str = "text") -
     keyed = docs.select(F.xxhash64("__file").alias("fid"), F.col("__row").alias("row"),
                         *[F.col(f"`{c}`").alias(f"__c{i}") for i, c in enumerate(columns)])
     at = f"__c{columns.index(text)}"
-    spans = repeated_spans(keyed, length, at)
     rows = keyed.withColumn("__bytes", F.encode(text_or_empty(at), "UTF-8"))
+    spans = repeated_spans(rows.select("fid", "row", F.col("__bytes").alias("data")), length)
     rows = rows.join(spans, ["fid", "row"], "left")
     kept = F.when(F.col("spans").isNull(), F.col("__bytes")).otherwise(
         _kept_bytes(F.col("__bytes"), F.col("spans")))
