@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marksman.llm import exact_dedup, fingerprints, html_main, packing, piece_bpe, rans, suffix_dedup
+from marksman.llm import exact_dedup, fingerprints, html_main, packing, piece_bpe, rans, suffix_dedup, toxicity
 from marksman.llm.common import read_table
 
 
@@ -29,6 +29,17 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A toxicity score for every document, learned from the labels of those
+    that are not held out."""
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 5 == 0
+    lexicon, fitted = toxicity.learn(docs, labels.filter(~held_out))
+    rows = toxicity.score(docs, lexicon, fitted)
+    return rows.select("doc_id", held_out.alias("held_out"), "score",
+                       (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op7_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Piece ids of every document by backtracking, and what they decode to."""
     return piece_bpe.encode_decode(read_table(spark, sf_dir, "documents"))
@@ -59,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op3_token_files": op3_token_files,
     "op5_packing": op5_packing,
+    "op6_toxicity": op6_toxicity,
     "op7_piece_bpe": op7_piece_bpe,
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_main_text": op9_main_text,
