@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marksman.llm import exact_dedup, fingerprints, html_main, packing, piece_bpe, rans, suffix_dedup, toxicity
+from marksman.llm import bag_minhash, exact_dedup, fingerprints, html_main, packing, piece_bpe, rans, suffix_dedup, toxicity
 from marksman.llm.common import read_table
 
 
@@ -24,6 +24,12 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rans.token_files(read_table(spark, sf_dir, "documents"))
 
 
+def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its group of near duplicates."""
+    docs = exact_dedup.located(read_table(spark, sf_dir, "documents"))
+    return bag_minhash.decisions(docs).drop("fid", "row")
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document packed into sequences of 1024 ids by minimum bin slack."""
     return packing.pack(read_table(spark, sf_dir, "documents"))
@@ -69,6 +75,7 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op3_token_files": op3_token_files,
+    "op4_near_dedup": op4_near_dedup,
     "op5_packing": op5_packing,
     "op6_toxicity": op6_toxicity,
     "op7_piece_bpe": op7_piece_bpe,
