@@ -38,7 +38,11 @@ _STATE_CONF = {
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # one bound for all stores of an executor; a store closes with its task
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "128",
+    "spark.sql.streaming.stateStore.rocksdb.writeBufferSizeMB": "2",
+    "spark.sql.streaming.stateStore.unloadOnCommit": "true",
 }
 
 
@@ -59,8 +63,9 @@ def located(docs: DataFrame) -> DataFrame:
         return with_locator(written(docs, "landing"))
 
 
-def _advance(spark: SparkSession, log: str, schema, state: str) -> None:
-    """Feed what is new in the arrival log to the state."""
+def _advanced(spark: SparkSession, log: str, schema, state: str) -> DataFrame:
+    """Feed what is new in the arrival log to the state; all of the state as
+    (digest, keep, n)."""
     before = {k: spark.conf.get(k, None) for k in _STATE_CONF}
     for k, v in _STATE_CONF.items():
         spark.conf.set(k, v)
@@ -71,6 +76,10 @@ def _advance(spark: SparkSession, log: str, schema, state: str) -> None:
         query = (seen.writeStream.outputMode("update").format("noop")
                  .option("checkpointLocation", state).trigger(availableNow=True).start())
         query.awaitTermination()
+        rows = spark.read.format("statestore").load(state)
+        return written(rows.select(
+            F.col("key.digest").alias("digest"), F.col("value.max").alias("keep"),
+            F.col("value.count").alias("n")), "exact-state")
     finally:
         for k, v in before.items():
             if v is None:
@@ -79,12 +88,6 @@ def _advance(spark: SparkSession, log: str, schema, state: str) -> None:
                 spark.conf.set(k, v)
 
 
-def _state(spark: SparkSession, state: str) -> DataFrame:
-    rows = spark.read.format("statestore").load(state)
-    return rows.select(F.col("key.digest").alias("digest"), F.col("value.max").alias("keep"),
-                       F.col("value.count").alias("n"))
-
-
 def decisions(docs: DataFrame, root: str | None = None, text: str = "text",
               digest: Callable[[Column], Column] = sha256) -> DataFrame:
     """(digest, doc_id, __file, __row, keep_id, group_size, kept) of every
@@ -102,8 +105,7 @@ def decisions(docs: DataFrame, root: str | None = None, text: str = "text",
         return arrivals.select("*", F.col("doc_id").alias("keep_id"),
                                F.lit(0).cast("long").alias("group_size"),
                                F.lit(True).alias("kept"))
-    _advance(spark, log, rows.schema, state)
-    seen = _state(spark, state)
+    seen = _advanced(spark, log, rows.schema, state)
     differing = _differing(docs, arrivals, seen, text, digest)
     here = [F.col("doc_id"), *map(F.col, _LOCATOR)]
     result = [*arrivals.columns, F.col("keep.doc_id").alias("keep_id"),
