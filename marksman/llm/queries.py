@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marksman.llm import bag_minhash, exact_dedup, fingerprints, html_main, packing, piece_bpe, rans, suffix_dedup, toxicity
+from marksman.llm import bag_minhash, exact_dedup, fingerprints, html_main, language_id, packing, piece_bpe, rans, suffix_dedup, toxicity
 from marksman.llm.common import read_table
 
 
@@ -19,6 +19,15 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document from its text, declaration and host."""
+    docs = exact_dedup.located(read_table(spark, sf_dir, "documents"))
+    records = language_id.document_records(docs)
+    found = language_id.identify(records, language_id.train(records))
+    ids = docs.select(F.xxhash64("__file").alias("fid"), F.col("__row").alias("row"), "doc_id")
+    return ids.join(found, ["fid", "row"]).drop("fid", "row")
+
+
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document in interleaved range-coded files, read back."""
     return rans.token_files(read_table(spark, sf_dir, "documents"))
@@ -74,6 +83,7 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_language_id": op2_language_id,
     "op3_token_files": op3_token_files,
     "op4_near_dedup": op4_near_dedup,
     "op5_packing": op5_packing,
