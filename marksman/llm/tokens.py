@@ -40,6 +40,7 @@ class WordTokenizer:
         self.starts = np.zeros(1 << 16, bool)  # ids of tokens that begin with a space
         for token, i in self.lib.get_vocab().items():
             self.starts[i] = token.startswith("\u0120")
+        self.stops = dict(zip(",.", self._encode([",", "."]), strict=True))
         self.heads: dict[str, bytes] = {}  # words at a text's start
         self.words: dict[str, bytes] = {}  # words after a space, kept without it
 
@@ -56,9 +57,17 @@ class WordTokenizer:
         heads, tails = ([p for p in ps if p and not p[0].isspace() and not p[-1].isspace()
                          and len(p) <= MAX_WORD_CHARS] for ps in (heads, tails))
         self.heads.update(zip(heads, self._encode(heads), strict=True))
+        # a comma or stop after a letter is a piece of its own
+        known, stops = self.words, self.stops
+        closed = [p for p in tails if p[-1] in stops and p[-2:-1].isalpha()]
+        if closed:
+            tails = set(tails).difference(closed)
+            tails.update(p[:-1] for p in closed if p[:-1] not in known)
+            tails = list(tails)
         for at in range(0, len(tails), 1000):
             some = tails[at:at + 1000]
-            self.words.update(zip(some, self._encode_words(some), strict=True))
+            known.update(zip(some, self._encode_words(some), strict=True))
+        known.update((p, known[p[:-1]] + stops[p[-1]]) for p in closed)
 
     def _encode_words(self, words: list[str]) -> list[bytes]:
         """Ids of " word" for each word, by one call: encoded as one text, cut
