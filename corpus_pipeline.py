@@ -1,9 +1,20 @@
 """A training corpus from raw documents, stage by stage.
 
 Each stage is one operator of ``marksman.llm`` on all the documents that its
-predecessor kept. ``run`` writes each stage's rows as Parquet to the shared
-checkpoint folder and reads them again, so a stage starts from files and no
-lineage crosses stages.
+predecessor kept, and all but the last return the documents' columns. ``run``
+writes each stage's rows as Parquet to the shared checkpoint folder and reads
+them again, so a stage starts from files and no lineage crosses stages.
+
+1. language ID: documents without an identified language go;
+2. exact dedup: of equal texts the one with the largest doc_id stays;
+3. near dedup: of each group of near duplicates the smallest doc_id stays;
+4. suffix-array dedup: bytes covered by a 400-byte string that occurs again are
+   cut out of the texts; characters cut in two go with them; every document
+   stays, with an empty text if nothing is left; ``n_chars`` is counted anew;
+5. packing: the documents' ids in full sequences of 1024.
+
+Empty tables give empty results; the operators' notes say how nulls, repeated
+rows and clashing column names are handled.
 """
 
 from __future__ import annotations
@@ -11,17 +22,50 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from marksman.llm import packing
+from marksman.llm import bag_minhash, exact_dedup, language_id, packing, suffix_dedup
 from marksman.llm.common import read_table, written
 
 
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents whose language was identified."""
+    return language_id.accepted(docs)
+
+
+def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each text."""
+    return exact_dedup.deduplicated(docs)
+
+
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates."""
+    return bag_minhash.deduplicated(docs)
+
+
+def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without their repeated long strings."""
+    rows = suffix_dedup.without_repeats(docs)
+    # a cut inside a character leaves bytes that are no text
+    whole = F.translate(F.make_valid_utf8(F.col("__kept").cast("string")), "�", "")
+    cut = F.size("__spans") > 0
+    out = rows.withColumn("text", F.when(cut, whole).otherwise(F.col("text")))
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.when(cut, F.length("text").cast(
+            docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the kept documents in full sequences of 1024 ids."""
+    """Pieces of the documents in full sequences of 1024 ids."""
     return packing.pack(docs)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("language_id", language),
+    ("exact_dedup", exact),
+    ("near_dedup", near),
+    ("suffix_dedup", repeats),
     ("packing", packed),
 ]
 
