@@ -77,6 +77,9 @@ def common_prefixes(data: np.ndarray, sa: np.ndarray, cap: int,
     before = np.empty(n, np.int64)
     before[sa[0]] = -1
     before[sa[1:]] = sa[:-1]
+    rank = np.empty(n + 1, np.int64)
+    rank[sa] = np.arange(n)
+    rank[n] = -1
     lanes = min(LANES, n)
     length = -(-n // lanes)
     begin = np.arange(lanes, dtype=np.int64) * length
@@ -89,8 +92,13 @@ def common_prefixes(data: np.ndarray, sa: np.ndarray, cap: int,
             begin, run, place = begin[on], run[on], place[on]
             lanes = len(on)
         other = before[place]
-        run = np.maximum(run - 1, 0)
-        run[other < 0] = 0
+        # the recurrence needs the predecessor's next suffix to be in front of
+        # this one, which ties beyond the sorted depth need not keep
+        follows = np.zeros(lanes, bool)
+        if step:
+            last = before[place - 1]
+            follows = (last >= 0) & (rank[last + 1] < rank[place])
+        run = np.where(follows & (other >= 0), np.maximum(run - 1, 0), 0)
         live = np.flatnonzero((other >= 0) & (run < cap))
         while len(live):
             p, q, r = place[live], other[live], run[live]

@@ -188,6 +188,9 @@ def _pieces(offsets: np.ndarray, length: int) -> Iterator[list[tuple[int, int, i
 
 def runs(docs: DataFrame, length: int = LENGTH, unit: int = 1) -> DataFrame:
     """``RUNS`` of (fid, row, data)."""
+    if length < GRAM:
+        raise ValueError(f"windows of fewer than {GRAM} bytes have no anchor")
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = Hashes()
         for batch in batches:
