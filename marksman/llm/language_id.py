@@ -18,7 +18,8 @@ counts. The trigram models are trained on at most ``SAMPLE`` records with a
 declaration (those of least hash), then once more on these records with the
 languages their texts were found to have, so wrong declarations do little harm.
 
-A record is rejected if it has no letters or the background explains it best.
+A record is rejected if it has no letters or the background explains it best by
+a margin that a few unusual words do not reach.
 
 Edge cases: null, empty and letterless texts are 'und' and rejected; a null
 declaration, suffix or host is no evidence; without any declaration all is
@@ -47,6 +48,7 @@ SAMPLE = 4_000
 LEAST_RECORDS = 10  # declarations that fewer sampled records carry are no language
 BUCKETS = 1 << 16
 TEMPER = 200.0  # a text counts as at most so many independent trigrams
+MARGIN = 3.0  # log odds by which the background must win
 SMOOTHING = 20.0  # records a parent's shares weigh as
 _LETTER = re.compile(r"[^\W\d_]")
 
@@ -192,7 +194,7 @@ def _text_evidence(records: DataFrame, model: TextModel) -> DataFrame:
                 texts = part.column(2).to_pylist()
                 scores, n = model.scores(texts)
                 share = _posterior(scores[:, :-1])
-                share[_posterior(scores)[:, -1] > 0.5] = 0
+                share[scores[:, -1] >= scores[:, :-1].max(axis=1) + MARGIN] = 0
                 letters = [bool(_LETTER.search(t)) for t in texts]
                 share[~np.array(letters, bool)] = 0
                 yield pa.RecordBatch.from_arrays(
@@ -269,7 +271,8 @@ def identify(records: DataFrame, model: TextModel | None) -> DataFrame:
     name = F.get(F.array(*map(F.lit, model.languages)),
                  F.array_position("logs", F.col("best")).cast("int") - 1)
     # against the background only the text speaks
-    unknown = ~F.col("letters") | (F.col("und") >= F.array_max(F.slice("scores", 1, k)))
+    unknown = ~F.col("letters") | (
+        F.col("und") >= F.array_max(F.slice("scores", 1, k)) + MARGIN)
     return fused.select(
         "fid", "row", F.when(unknown, UNKNOWN).otherwise(name).alias("language"),
         F.when(unknown, 0.0).otherwise(F.round(1 / weight, 6)).alias("confidence"),
