@@ -10,6 +10,7 @@ from pathlib import Path
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from marksman.plans.sizing import checkpointed, scratch_path
 
@@ -52,7 +53,7 @@ def ship(spark: SparkSession) -> None:
 
 
 def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
-              schema: str) -> DataFrame:
+              schema: str | StructType) -> DataFrame:
     """``df.mapInArrow(run, schema)`` with this package known to the workers."""
     ship(df.sparkSession)
     return df.mapInArrow(run, schema)

@@ -39,10 +39,12 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from marksman.llm.common import map_arrow, text_or_empty, written
+from marksman.llm.common import arrow_rows, map_arrow, text_or_empty, written
 from marksman.llm.exact_dedup import located
 from marksman.llm.suffix_dedup import repeated_spans
+from marksman.plans.sizing import broadcast_if_small
 
 MIN_TOKENS = 8
 COVERED = 0.5
@@ -74,6 +76,7 @@ _MARKS = {"ad", "ads", "advert", "advertisement", "advertising", "banner", "brea
           "promoted", "related", "replies", "respond", "search", "share", "sharing", "sidebar",
           "sidenav", "social", "sponsor", "sponsored", "subscribe", "toolbar", "widget"}
 _WORD = re.compile(r"[a-z]+")
+_CUT_TAG = re.compile(r"<[A-Za-z/!][^<>]*$")  # a page that ends inside a tag
 
 
 class _Blocks(HTMLParser):
@@ -151,7 +154,7 @@ class _Blocks(HTMLParser):
 def blocks(html: str) -> list[tuple[int, str]]:
     """(kind, text) of the page's blocks in page order."""
     parser = _Blocks()
-    parser.feed(html)
+    parser.feed(_CUT_TAG.sub("", html))
     parser.close()
     parser._flush()
     return parser.blocks
@@ -170,46 +173,34 @@ def _codes(tokens: list[str], salt: str) -> bytes:
     return b"".join(xxhash.xxh64_digest(f"{salt} {t}") for t in tokens)
 
 
-def parsed(pages: DataFrame) -> DataFrame:
-    """(fid, row, kinds, texts, tokens, data): blocks, the number of tokens of
-    each, and the codes of the tokens outside the article."""
-    schema = "fid long, row long, kinds array<int>, texts array<string>, tokens array<int>, data binary"
-
+def token_streams(pages: DataFrame) -> DataFrame:
+    """(fid, row, data) of (fid, row, url, html): the codes of a page's tokens
+    outside the article, in page order."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                out: list[list] = [[], [], [], []]
-                for url, html in zip(part.column(2).to_pylist(), part.column(3).to_pylist(),
-                                     strict=True):
-                    found = blocks(html)
-                    words = [[] if kind == ARTICLE else text.split() for kind, text in found]
-                    salt = host(url)
-                    for col, value in zip(out, (
-                            [k for k, _ in found], [t for _, t in found],
-                            [len(w) for w in words],
-                            _codes([t for w in words for t in w], salt)), strict=True):
-                        col.append(value)
+            for part in arrow_rows(batch, 256):
+                data = [_codes([t for kind, text in blocks(html) if kind != ARTICLE
+                                for t in text.split()], host(url))
+                        for url, html in zip(part.column(2).to_pylist(), part.column(3).to_pylist(),
+                                             strict=True)]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), pa.array(out[0], pa.list_(pa.int32())),
-                     pa.array(out[1], pa.list_(pa.string())),
-                     pa.array(out[2], pa.list_(pa.int32())), pa.array(out[3], pa.binary())],
-                    ["fid", "row", "kinds", "texts", "tokens", "data"])
+                    [part.column(0), part.column(1), pa.array(data, pa.binary())],
+                    ["fid", "row", "data"])
 
-    return map_arrow(pages.select("fid", "row", "url", text_or_empty("html").alias("html")), run,
-                     schema)
+    return map_arrow(pages.select("fid", "row", "url", "html"), run,
+                     "fid long, row long, data binary")
 
 
-def kept_texts(kinds: list[int], texts: list[str], tokens: list[int],
-               spans: list[dict] | None) -> list[str]:
+def kept_texts(found: list[tuple[int, str]], spans: list[dict] | None) -> list[str]:
     """The blocks that stay: the article's, and open ones that the host's
     repeated runs cover by less than ``COVERED``."""
+    tokens = [0 if kind == ARTICLE else len(text.split()) for kind, text in found]
     covered = np.zeros(sum(tokens) + 1, np.int64)
     for s in spans or []:
         covered[s["start"] // _CODE:s["end"] // _CODE] = 1
     total = np.concatenate([[0], np.cumsum(covered)])
     out, at = [], 0
-    for kind, text, n in zip(kinds, texts, tokens, strict=True):
+    for (kind, text), n in zip(found, tokens, strict=True):
         own = int(total[at + n] - total[at])
         at += n
         if kind == ARTICLE or (kind == OPEN and own < COVERED * n):
@@ -218,29 +209,37 @@ def kept_texts(kinds: list[int], texts: list[str], tokens: list[int],
 
 
 def main_texts(pages: DataFrame) -> DataFrame:
-    """The pages' columns but ``html``, and ``__text``."""
+    """The pages' columns but ``html``, and ``__text``. Pages are parsed twice,
+    for their token streams and for the result: cheaper than to keep and move
+    the blocks of all pages. Only the spans are joined to the pages."""
     columns = pages.columns
     pages = located(pages)
-    keyed = pages.select(F.xxhash64("__file").alias("fid"), F.col("__row").alias("row"),
+    named = pages.select(F.xxhash64("__file").alias("fid"), F.col("__row").alias("row"),
                          *[F.col(f"`{c}`").alias(f"__c{i}") for i, c in enumerate(columns)])
-    at = {c: f"__c{columns.index(c)}" for c in ("url", "html")}
-    rows = written(parsed(keyed.select("fid", "row", F.col(at["url"]).alias("url"),
-                                       F.col(at["html"]).alias("html"))), "page-blocks")
-    spans = repeated_spans(rows.select("fid", "row", "data"), MIN_TOKENS * _CODE, _CODE, True)
+    url, html = (f"__c{columns.index(c)}" for c in ("url", "html"))
+    named = named.withColumn(html, text_or_empty(html))
+    spans = written(repeated_spans(
+        written(token_streams(named.select("fid", "row", F.col(url).alias("url"),
+                                           F.col(html).alias("html"))), "page-streams"),
+        MIN_TOKENS * _CODE, _CODE, True), "page-spans")
+    spans, _ = broadcast_if_small(spans, 200_000, 64 << 20)
+    rows = named.join(spans, ["fid", "row"], "left").drop("fid", "row")
+    kept = [c for c in rows.columns if c not in (html, "spans")]
+    rows = rows.select(*kept, html, "spans")
+    n = len(kept)
+    schema = T.StructType([rows.schema[c] for c in kept] + [T.StructField("__text", T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [" ".join(kept_texts(r["kinds"], r["texts"], r["tokens"], r["spans"]))
-                     for i in range(0, batch.num_rows, 256)
-                     for r in batch.slice(i, 256).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(
-                texts, pa.string())], ["fid", "row", "__text"])
+            for part in arrow_rows(batch, 256):
+                texts = [" ".join(kept_texts(blocks(h), s)) for h, s in zip(
+                    part.column(n).to_pylist(), part.column(n + 1).to_pylist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([*part.columns[:n], pa.array(texts, pa.string())],
+                                                 [*kept, "__text"])
 
-    kept = map_arrow(rows.join(spans, ["fid", "row"], "left").select(
-        "fid", "row", "kinds", "texts", "tokens", "spans"), run,
-        "fid long, row long, __text string")
-    return keyed.drop(at["html"]).join(kept, ["fid", "row"]).select(
-        *[F.col(f"__c{i}").alias(c) for i, c in enumerate(columns) if c != "html"], "__text")
+    out = map_arrow(rows, run, schema)
+    return out.select(*[F.col(f"__c{i}").alias(c) for i, c in enumerate(columns) if c != "html"],
+                      "__text")
 
 
-__all__ = ["blocks", "host", "kept_texts", "main_texts", "parsed"]
+__all__ = ["blocks", "host", "kept_texts", "main_texts", "token_streams"]
