@@ -9,8 +9,9 @@ oracle does the same). Two kinds of double depend on evaluation order or on
 the libm: averages of ratios (summation order) and ``pow`` in the annualised
 ratios; they are carried as ``avg_roi`` rounded to 6 decimals (``AP`` to 8)
 and the annualised ratios as text with 9 significant digits ('NaN' /
-'Infinity' by name). Exact decimals are carried as DOUBLE. All other values
-are exact (integer sums, one final division) in both engines.
+'Infinity' by name). Decimals are carried as their exact text, which shows
+every digit and the scale (client libraries map the type itself unlike). All
+other values are exact (integer sums, one final division) in both engines.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ import oracle_sql as _oracle
 from marksman.operators import ledger, positions, scorecard, sinks, valuation
 from marksman.plans import jobs, scoring
 from marksman.plans.sizing import broadcast_if_small, scratch_path
-from marksman.sources import fixtures, run_sql
+from marksman.sources import fixtures, rows_as_dicts, run_sql
 
 try:  # the training-data operators are an optional part
     import corpus_pipeline as _pipeline
@@ -44,6 +45,7 @@ FLAGSHIP_SF = "/root/testdata/sf0.001"
 INTERMEDIARIES = fixtures.INTERMEDIARIES
 TARGET_STAMP = dt.datetime(2024, 1, 1)
 BATCH_STAMP = dt.datetime(2024, 2, 1)
+SEVERAL_MARKETS = 40
 
 
 # ---------------------------------------------------------------- helpers
@@ -63,15 +65,14 @@ _STAMPS = {"created_at", "updated_at"}
 
 
 def comparable(df: DataFrame) -> DataFrame:
-    """Order- and libm-sensitive doubles in comparable form; exact decimals
-    as DOUBLE (correctly rounded in both engines, and the type every client
-    library maps alike); audit stamps as naive timestamps. Idempotent."""
+    """Order- and libm-sensitive doubles in comparable form; decimals as text
+    with all their digits; audit stamps as naive timestamps. Idempotent."""
     types = {f.name: f.dataType for f in df.schema.fields}
     cols = []
     for c in df.columns:
         t = types[c]
         if isinstance(t, T.DecimalType):
-            cols.append(F.col(c).cast("double").alias(c))
+            cols.append(F.col(c).cast("string").alias(c))
         elif c in _ROUNDED and isinstance(t, T.DoubleType):
             cols.append(F.round(F.col(c), _ROUNDED[c]).alias(c))
         elif c in _TEXT and isinstance(t, T.DoubleType):
@@ -114,14 +115,15 @@ def _pnl(spark, sf, fused=False):
 
 
 def _upsert_inputs(spark, sf):
-    """Target: the 200 best wallets by portfolio ROI with profit 0, stamped
-    2024-01-01. Batch: the top 100 by profit, to be stamped 2024-02-01."""
+    """Target: every wallet with several markets, profit 0, stamped 2024-01-01
+    (an earlier run). Batch: every wallet with a profit, to be stamped
+    2024-02-01. Both grow with the tables."""
     scores = _scores(spark, sf)
-    earlier = scorecard.top(scores, 200, by="portfolio_roi").withColumn(
+    earlier = scores.where(F.col("markets_count") > SEVERAL_MARKETS).withColumn(
         "profit_usdc", F.lit(0.0))
     target = sinks.upsert(sinks.empty_target(spark), sinks.coerce_scorecard(earlier),
                           now=TARGET_STAMP, next_id=1)
-    batch = sinks.coerce_scorecard(scorecard.top(scores, 100))
+    batch = sinks.coerce_scorecard(scores.where("profit_usdc > 0"))
     return target, batch
 
 
@@ -178,10 +180,18 @@ def q_position_pnl_fused(spark, sf):
 
 
 def q_position_pnl_encoded(spark, sf):
-    """The fused plan with token ids swapped for order-preserving codes
-    through the big shuffles (the path long production ids take)."""
+    """The fused plan on token ids of production length: every id padded to 77
+    characters by one that sorts before all others, so ties fall alike."""
     markets, fills = _inputs(spark, sf)
-    return scoring.fused_pnl(markets, fills, INTERMEDIARIES, encode_tokens=True)
+
+    def long(c):
+        return F.when(c.isin("", ledger.CASH), c).otherwise(F.rpad(c, 77, "!"))
+
+    markets = markets.withColumn("tokens", F.transform("tokens", lambda t: t.withField(
+        "token_id", long(t["token_id"])))).withColumn("winner", long(F.col("winner")))
+    fills = fills.withColumns({c: long(F.col(c)) for c in ("maker_asset_id", "taker_asset_id")})
+    pnl = scoring.fused_pnl(markets, fills, INTERMEDIARIES)
+    return pnl.withColumn("token_id", F.rtrim("token_id", F.lit("!")))
 
 
 def q_trader_rollup(spark, sf):
@@ -208,8 +218,30 @@ def q_traders_scorecard_literal(spark, sf):
     return _scores(spark, sf, fused=False)
 
 
+def q_traders_scorecard_listed(spark, sf):
+    """Intermediaries given as a one-column DataFrame."""
+    markets, fills = _inputs(spark, sf)
+    listed = spark.createDataFrame([(a,) for a in INTERMEDIARIES], "user_id string")
+    return scoring.score_traders(markets, fills, listed)
+
+
 def q_top_traders(spark, sf):
-    return scorecard.top(_scores(spark, sf), 10_000)
+    markets, fills = _inputs(spark, sf)
+    return scoring.top_traders(markets, fills, INTERMEDIARIES, limit=10_000)
+
+
+def q_top_traders_threshold(spark, sf):
+    """The top 100: the limit binds, and the threshold is searched."""
+    markets, fills = _inputs(spark, sf)
+    return scoring.top_traders(markets, fills, INTERMEDIARIES, limit=100)
+
+
+def q_fetched_rows(spark, sf):
+    """A bounded result fetched as dicts and given back as rows."""
+    top = scorecard.top(_scores(spark, sf), 25).select(
+        "wallet_address", "positions_count", "profit_usdc")
+    rows = rows_as_dicts(top, max_rows=25)
+    return spark.createDataFrame([tuple(r[c] for c in top.columns) for r in rows], top.schema)
 
 
 def q_top_traders_sql_args(spark, sf):
@@ -228,11 +260,21 @@ def q_traders_adhoc(spark, sf):
 
 
 def q_traders_adhoc_sample(spark, sf):
-    return _adhoc(spark, sf).limit(10)
+    """An unordered LIMIT 10, as what must hold of any: its rows, its distinct
+    wallets, and how many of its rows the full result has."""
+    full = _adhoc(spark, sf)
+    sample = full.limit(10)
+    found = F.struct(*[F.col(f"s.{c}").eqNullSafe(F.col(f"f.{c}")) for c in
+                       ("tokens_traded", "total_spent_", "day_enter", "day_exit")])
+    both = sample.alias("s").join(full.alias("f"), F.col("s.user_id") == F.col("f.user_id"), "left")
+    every = F.struct(*[F.lit(True)] * 4)
+    return both.agg(F.count(F.lit(1)).alias("n_rows"),
+                    F.count_distinct("s.user_id").alias("n_wallets"),
+                    F.count_if(found == every).alias("n_found"))
 
 
 def q_coerced_rows(spark, sf):
-    return sinks.coerce_scorecard(scorecard.top(_scores(spark, sf), 10_000))
+    return sinks.coerce_scorecard(_scores(spark, sf))
 
 
 def q_key_violations(spark, sf):
@@ -249,16 +291,39 @@ def q_upsert_scorecard(spark, sf):
     return sinks.upsert(target, batch, now=BATCH_STAMP).drop("id")
 
 
-def q_snapshot_count(spark, sf):
-    """Write the target and the upserted batch as two snapshot versions, then
-    count the current one."""
+def _snapshot(spark, sf):
+    """The target and the upserted batch written as two snapshot versions; the
+    current one read back."""
     root = scratch_path(spark, "snapshot-check")
     target, batch = _upsert_inputs(spark, sf)
     sinks.write_snapshot(target, root)
     merged = sinks.upsert(sinks.read_snapshot(spark, root), batch, now=BATCH_STAMP)
     sinks.write_snapshot(merged, root)
-    n = sinks.snapshot_count(sinks.read_snapshot(spark, root))
-    return spark.createDataFrame([(n,)], "total_users bigint")
+    return sinks.read_snapshot(spark, root)
+
+
+def q_snapshot_rows(spark, sf):
+    return _snapshot(spark, sf).drop("id")
+
+
+def q_snapshot_count(spark, sf):
+    return spark.createDataFrame([(sinks.snapshot_count(_snapshot(spark, sf)),)],
+                                 "total_users bigint")
+
+
+def q_empty_summary(spark, sf):
+    """A refresh on the soft-deleted fills alone, which leave nothing to store:
+    zeros, no total, no version written."""
+    markets, fills = _inputs(spark, sf)
+    gone = fills.where("is_deleted = 1")
+    root = scratch_path(spark, "empty-check")
+    s = jobs.refresh(spark, markets, gone, root, intermediaries=INTERMEDIARIES, now=BATCH_STAMP)
+    assert "total_users_in_db" not in s
+    versions = sinks.current_version(spark, root) or 0
+    return gone.agg(F.lit(s["users_processed"]).cast("long").alias("users_processed"),
+                    F.lit(s["users_stored"]).cast("long").alias("users_stored"),
+                    F.lit(versions).cast("long").alias("versions"),
+                    F.count(F.lit(1)).alias("fills_read"))
 
 
 def q_run_summary(spark, sf):
@@ -298,7 +363,10 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "trader_annualised": q_trader_annualised,
     "traders_scorecard": q_traders_scorecard,
     "traders_scorecard_literal": q_traders_scorecard_literal,
+    "traders_scorecard_listed": q_traders_scorecard_listed,
     "top_traders": q_top_traders,
+    "top_traders_threshold": q_top_traders_threshold,
+    "fetched_rows": q_fetched_rows,
     "top_traders_sql_args": q_top_traders_sql_args,
     "traders_adhoc": q_traders_adhoc,
     "traders_adhoc_sample": q_traders_adhoc_sample,
@@ -306,7 +374,9 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "key_violations": q_key_violations,
     "upsert_first_run": q_upsert_first_run,
     "upsert_scorecard": q_upsert_scorecard,
+    "snapshot_rows": q_snapshot_rows,
     "snapshot_count": q_snapshot_count,
+    "empty_summary": q_empty_summary,
     "run_summary": q_run_summary,
 }
 
@@ -329,8 +399,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    """DuckDB SQL per key over the pre-registered test tables. The unordered
-    ``LIMIT 10`` sample has none (rows-only check)."""
+    """DuckDB SQL per key over the pre-registered test tables; none for what
+    SQL cannot express (training-data operators)."""
     out = {k: v for k, v in _oracle.queries().items() if k in _QUERIES}
     if _llm is not None:
         out |= _llm.ORACLE_SQL

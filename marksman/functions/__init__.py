@@ -32,12 +32,46 @@ def trunc_decimal(x: ColumnOrName, scale: int = 2) -> Column:
     return units_to_decimal(trunc_scaled(x, scale), scale, precision=18)
 
 
-def units_to_decimal(units: ColumnOrName, scale: int = 2, precision: int = 38) -> Column:
-    """Exact ``DECIMAL(precision, scale)`` from an integer count of
-    10**-scale units."""
+def units_to_decimal(units: ColumnOrName, scale: int = 2, precision: int = 38,
+                     digits: int | None = None) -> Column:
+    """Exact ``DECIMAL(precision, digits)`` from an integer count of 10**-scale
+    units; ``digits`` defaults to ``scale``."""
     return (
         _col(units).cast(f"decimal({precision},0)") / F.lit(10**scale)
-    ).cast(f"decimal({precision},{scale})")
+    ).cast(f"decimal({precision},{scale if digits is None else digits})")
+
+
+def money(units: ColumnOrName, scale: int = 2) -> Column:
+    """A valuation: price decimals times token decimals, ``DECIMAL(38, 2*scale)``."""
+    return units_to_decimal(units, scale, digits=2 * scale)
+
+
+# Products are refused from here on: the next double below 2**63.
+_BIGINT_LIMIT = 9.2e18
+
+
+def checked_product(a: ColumnOrName, b: ColumnOrName) -> Column:
+    """BIGINT product that fails instead of wrapping, whatever the session's
+    ANSI setting."""
+    x, y = _col(a), _col(b)
+    size = F.abs(x.cast("double") * y.cast("double"))
+    return F.when(size >= _BIGINT_LIMIT, F.raise_error(F.lit("amount exceeds 64 bits"))
+                  .cast("bigint")).otherwise(x * y)
+
+
+def checked_sum(a: ColumnOrName, b: ColumnOrName) -> Column:
+    """BIGINT sum that fails instead of wrapping, whatever the ANSI setting."""
+    x, y = _col(a), _col(b)
+    size = F.abs(x.cast("double") + y.cast("double"))
+    return F.when(size >= _BIGINT_LIMIT, F.raise_error(F.lit("amount exceeds 64 bits"))
+                  .cast("bigint")).otherwise(x + y)
+
+
+def checked_bigint(x: ColumnOrName) -> Column:
+    """A decimal as BIGINT; fails instead of wrapping."""
+    v = _col(x)
+    return F.when(F.abs(v.cast("double")) >= _BIGINT_LIMIT, F.raise_error(
+        F.lit("amount exceeds 64 bits")).cast("bigint")).otherwise(v.cast("bigint"))
 
 
 def safe_ratio(n: ColumnOrName, d: ColumnOrName) -> Column:
@@ -95,8 +129,12 @@ def latest(order: list[ColumnOrName], values: list[ColumnOrName]) -> Column:
 
 __all__ = [
     "annualise",
+    "checked_bigint",
+    "checked_product",
+    "checked_sum",
     "day_diff",
     "latest",
+    "money",
     "ratio_or_zero",
     "safe_ratio",
     "sum_if",

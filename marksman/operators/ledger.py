@@ -3,8 +3,7 @@ intermediary filter and the dedupe by priority.
 
 The ledger itself is narrow (scan, filter, generator, broadcast join). Only
 ``dedupe_by_priority`` shuffles the ledger (one hash exchange on (user_id,
-id_), after a map-side partial aggregate); ``token_codes`` shuffles only the
-token-sized listing table.
+id_), after a map-side partial aggregate).
 """
 
 from __future__ import annotations
@@ -12,16 +11,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from marksman.functions import latest
-from marksman.plans.sizing import checkpointed
+from marksman.plans.sizing import broadcast_if_small
 
 CASH = "0"
 
-LEDGER_COLUMNS = ["id_", "timestamp", "user_id", "agent", "usdc_amount", "token_amount",
-                  "asset_in", "asset_out", "token_id"]
+# Output columns of the operations stage; fixed values, the results carry them.
 OPERATION_COLUMNS = ["id_", "user_id", "agent", "market_id", "timestamp", "asset_in",
                      "asset_out", "operation_type", "token_balance_change",
                      "usdc_balance_change", "token_id"]
@@ -56,32 +53,6 @@ def market_outcomes(markets: DataFrame) -> DataFrame:
     )
 
 
-def token_codes(outcomes: DataFrame, *, partitions: int = 64) -> DataFrame:
-    """Dictionary for listed tokens: (token_id, token_code), codes 0..n-1
-    increasing in token_id order (byte order), so ordering by code equals
-    ordering by id and every tie-break is unchanged.
-
-    No single-task sort: the distinct ids are range-partitioned and
-    checkpointed (so the partitioning is fixed), each partition numbers its
-    rows, and adds the row count of the partitions before it (one small
-    number per partition reaches the driver).
-    """
-    spark = outcomes.sparkSession
-    ids = checkpointed(outcomes.select("token_id").where(F.col("token_id").isNotNull())
-                       .distinct().repartitionByRange(partitions, "token_id")
-                       .withColumn("_part", F.spark_partition_id()))
-    counts = dict(ids.groupBy("_part").count().collect())
-    offsets, running = [], 0
-    for part in sorted(counts):
-        offsets.append((part, running))
-        running += counts[part]
-    off = spark.createDataFrame(offsets or [(0, 0)], "_part int, _offset bigint")
-    in_part = Window.partitionBy("_part").orderBy("token_id")
-    return ids.join(F.broadcast(off), "_part").select(
-        "token_id",
-        (F.row_number().over(in_part) - 1 + F.col("_offset")).cast("int").alias("token_code"))
-
-
 def live_fills(fills: DataFrame, *, cash_asset: str = CASH) -> DataFrame:
     """Fills that are not soft-deleted and trade tokens against cash on at
     least one side (token-for-token swaps drop out)."""
@@ -161,24 +132,31 @@ def exclude_intermediaries(ops: DataFrame, intermediaries: Sequence[str] | DataF
     """Drop rows whose own wallet is an intermediary (``user_id NOT IN``).
 
     A short list is an ``isin`` predicate; a long list given as a one-column
-    DataFrame (``user_id``) becomes a left anti join (broadcast it if small).
+    DataFrame (``user_id``) becomes a left anti join, broadcast if it measures small.
     NULL wallets drop out either way, as with SQL ``NOT IN``.
     """
     if isinstance(intermediaries, DataFrame):
-        return ops.where(F.col("user_id").isNotNull()).join(
-            intermediaries.select("user_id"), "user_id", "left_anti")
+        listed, _ = broadcast_if_small(intermediaries.select("user_id").distinct())
+        return ops.where(F.col("user_id").isNotNull()).join(listed, "user_id", "left_anti")
     return ops.where(~F.col("user_id").isin(list(intermediaries)))
 
 
-def with_priority(ops: DataFrame, intermediaries: Sequence[str]) -> DataFrame:
-    """Priority 2 for rows traded against an intermediary, else 1."""
+def with_priority(ops: DataFrame, intermediaries: Sequence[str] | DataFrame) -> DataFrame:
+    """Priority 2 for rows traded against an intermediary, else 1. A long list
+    comes as a one-column DataFrame (``user_id``), joined on ``agent``."""
+    if isinstance(intermediaries, DataFrame):
+        listed = intermediaries.select(F.col("user_id").alias("agent")).where(
+            F.col("agent").isNotNull()).distinct().withColumn("_listed", F.lit(True))
+        listed, _ = broadcast_if_small(listed)
+        return ops.join(listed, "agent", "left").select(
+            *ops.columns, F.when(F.col("_listed"), F.lit(2)).otherwise(F.lit(1)).alias("priority"))
     return ops.withColumn(
         "priority",
         F.when(F.col("agent").isin(list(intermediaries)), F.lit(2)).otherwise(F.lit(1)),
     )
 
 
-def dedupe_by_priority(ops: DataFrame, intermediaries: Sequence[str], *,
+def dedupe_by_priority(ops: DataFrame, intermediaries: Sequence[str] | DataFrame, *,
                        keep: Sequence[str] | None = None) -> DataFrame:
     """Keep one row per (user_id, id_): the greatest by ``PRIORITY_ORDER``.
 
@@ -199,7 +177,6 @@ def dedupe_by_priority(ops: DataFrame, intermediaries: Sequence[str], *,
 
 __all__ = [
     "CASH",
-    "LEDGER_COLUMNS",
     "OPERATION_COLUMNS",
     "PRIORITY_ORDER",
     "dedupe_by_priority",
@@ -208,7 +185,6 @@ __all__ = [
     "market_outcomes",
     "operations",
     "signed",
-    "token_codes",
     "two_sided",
     "with_priority",
 ]

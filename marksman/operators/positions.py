@@ -1,8 +1,7 @@
 """Position stages, keyed by (user_id, token_id).
 
-``positions`` is the one-pass form: cash flow and balance come out of ONE
-aggregate (numeric buffers only, so it plans as a hash aggregate), and the
-deduped ledger is shuffled once for both. ``cashflow`` and ``balance`` are the single
+``positions`` is the one-pass form: cash flow, balance and the latest priced
+trade come out of ONE aggregate, so the deduped ledger is read once. ``cashflow`` and ``balance`` are the single
 stages, kept for testing the fused form against them.
 """
 
@@ -11,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marksman.functions import ratio_or_zero, sum_if, units_to_decimal
+from marksman.functions import (checked_bigint, checked_product, checked_sum, money,
+                                ratio_or_zero, sum_if)
 from marksman.operators.valuation import price_units
 
 KEYS = ["user_id", "token_id"]
@@ -42,22 +42,17 @@ def balance(ops: DataFrame) -> DataFrame:
     )
 
 
-def positions(ops: DataFrame, *, last_trade: bool = False, scale: int = 2) -> DataFrame:
+def positions(ops: DataFrame, *, scale: int = 2) -> DataFrame:
     """Cash flow and balance per position in one pass (plus the greatest
-    ``market_id`` when the rows carry one).
-
-    With ``last_trade`` each position also keeps its latest priced trade as a
-    struct (timestamp, id_, price_units), so per-token prices can come from
-    the position table instead of a second read of the deduped ledger (the
-    struct makes this a sort aggregate).
-    """
+    ``market_id`` when the rows carry one), with the latest priced trade as a
+    struct (timestamp, id_, price_units): per-token prices come from the
+    position table, so the deduped ledger has one reader."""
     aggs = _cashflow_aggs() + [F.sum("token_balance_change").alias("token_balance")]
     if "market_id" in ops.columns:
         aggs.insert(0, F.max("market_id").alias("market_id"))
-    if last_trade:
-        p = price_units(scale)
-        aggs.append(F.max(F.when(p.isNotNull(), F.struct(
-            "timestamp", "id_", p.alias("price_units")))).alias("last_trade"))
+    p = price_units(scale)
+    aggs.append(F.max(F.when(p.isNotNull(), F.struct(
+        "timestamp", "id_", p.alias("price_units")))).alias("last_trade"))
     return ops.groupBy(*KEYS).agg(*aggs)
 
 
@@ -67,17 +62,19 @@ def pnl_columns(realized, spent, unrealized_units, scale: int = 2,
     10**-scale base units for the valuation), exact up to the final ratio.
     ``with_units`` adds the integer ``profit_units`` and ``gained_units`` that
     the wallet rollup sums (so it needs no 38-digit decimal arithmetic)."""
-    unit = 10**scale
-    gained_units = realized * unit + unrealized_units
-    extra = ([(gained_units - spent * unit).alias("profit_units"),
+    unit = F.lit(10**scale)
+    gained_units = checked_sum(checked_product(realized, unit), unrealized_units)
+    spent_units = checked_product(spent, unit)
+    profit_units = checked_sum(gained_units, -spent_units)
+    extra = ([profit_units.alias("profit_units"),
               gained_units.alias("gained_units")] if with_units else [])
     return extra + [
-        units_to_decimal(gained_units - spent * unit, scale).alias("absolute_profit"),
-        ratio_or_zero(gained_units, spent * unit).alias("relative_profit"),
+        money(profit_units, scale).alias("absolute_profit"),
+        ratio_or_zero(gained_units, spent_units).alias("relative_profit"),
         spent.alias("total_spent"),
-        units_to_decimal(gained_units, scale).alias("total_gained"),
+        money(gained_units, scale).alias("total_gained"),
         realized.alias("realized_usdc"),
-        units_to_decimal(unrealized_units, scale).alias("unrealized_usdc"),
+        money(unrealized_units, scale).alias("unrealized_usdc"),
     ]
 
 
@@ -90,7 +87,7 @@ def pnl(cashflow_df: DataFrame, valuation_df: DataFrame, *, scale: int = 2) -> D
     v = valuation_df.select(*KEYS, "unrealized_usdc")
     j = cashflow_df.join(v, KEYS, "left")
     unreal_units = F.coalesce(
-        (F.col("unrealized_usdc") * F.lit(10**scale)).cast("bigint"), F.lit(0).cast("bigint"))
+        checked_bigint(F.col("unrealized_usdc") * F.lit(10**scale)), F.lit(0).cast("bigint"))
     return j.select(
         *KEYS, "market_id", "operations_count",
         *pnl_columns(F.col("realized_usdc"), F.col("total_spent"), unreal_units, scale),

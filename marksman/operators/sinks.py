@@ -1,20 +1,24 @@
 """Sinks: the keyed scorecard snapshot.
 
-The target is a Parquet table of versions (``<root>/version=N``). A refresh
-writes a new version and never overwrites the one it read, so a failed
-write leaves the previous snapshot current.
+The target is a folder of versions, ``<root>/version=N`` (Parquet), and one of
+markers, ``<root>/_versions/N``. A version counts once its marker exists: the
+marker is made after the data are written, and its atomic creation decides
+between two writers. A refresh never touches the version it reads, so a failed
+write leaves the previous snapshot current. Versions without any marker are an
+error, not an empty target. All but the last ``keep`` versions are deleted.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-import re
+import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.utils import AnalysisException
 
+from marksman.plans.sizing import checkpointed
 from marksman.schemas import (SCORE_MEASURES, SCORECARD, SCORECARD_DEFAULTS, SCORECARD_KEY,
                               SCORECARD_KEY_MAX_LEN)
 
@@ -86,6 +90,23 @@ def key_stats(df: DataFrame, key: str = SCORECARD_KEY,
     return r.n, nulls + duplicates + r.long
 
 
+def new_ids(keys: DataFrame, key: str, first: int) -> DataFrame:
+    """(key, _new_id): dense ids from ``first`` on. The rows are checkpointed, so
+    their partitions stand; each partition numbers its own after those of the
+    partitions before it (one count a partition reaches the driver)."""
+    spark = keys.sparkSession
+    low = F.lit((1 << 33) - 1)
+    rows = checkpointed(keys.select(key, F.monotonically_increasing_id().alias("_at"))).select(
+        key, F.shiftright("_at", 33).alias("_part"), F.col("_at").bitwiseAND(low).alias("_row"))
+    offsets, running = [], first
+    for part, n in sorted(map(tuple, rows.groupBy("_part").count().collect())):
+        offsets.append((part, running))
+        running += n
+    before = spark.createDataFrame(offsets or [(0, first)], "_part bigint, _first bigint")
+    return rows.join(F.broadcast(before), "_part").select(
+        key, (F.col("_first") + F.col("_row")).alias("_new_id"))
+
+
 def upsert(target: DataFrame, batch: DataFrame, *, now: dt.datetime,
            key: str = SCORECARD_KEY, next_id: int | None = None) -> DataFrame:
     """Insert new keys, overwrite the measures of existing ones.
@@ -93,10 +114,10 @@ def upsert(target: DataFrame, batch: DataFrame, *, now: dt.datetime,
     A full outer join on the key with a presence flag: for a key in the batch
     every measure comes from the batch, NULLs included (not ``coalesce``), and
     ``updated_at`` is ``now``; ``created_at`` and ``id`` stay. Keys absent from
-    the batch are untouched; nothing is deleted. New keys get ids above
-    ``next_id`` (default: the target's greatest id + 1), unique, not dense.
-    ``now`` is one literal for the whole batch. The batch must be unique on
-    the key (see ``key_violations``).
+    the batch are untouched; nothing is deleted. New keys, and only they, take
+    the ids from ``next_id`` on (default: the target's greatest id + 1), without
+    gaps. ``now`` is one literal for the whole batch. The batch must be unique
+    on the key (see ``key_violations``).
     """
     if next_id is None:
         top = target.agg(F.max("id")).first()[0]
@@ -105,13 +126,14 @@ def upsert(target: DataFrame, batch: DataFrame, *, now: dt.datetime,
     # an aware one keeps its instant (a Python literal would use the driver
     # process's zone instead)
     now_lit = F.lit(now.isoformat(sep=" ")).cast("timestamp")
-    b = batch.select(key, *SCORE_MEASURES).withColumn("_in_batch", F.lit(True))
+    fresh = new_ids(batch.select(key).join(target.select(key), key, "left_anti"), key, next_id)
+    b = batch.select(key, *SCORE_MEASURES).withColumn("_in_batch", F.lit(True)).join(
+        fresh, key, "left")
     t = target.select(*[f.name for f in SCORECARD])
     j = t.alias("t").join(b.alias("b"), key, "full_outer")
     in_batch = F.col("b._in_batch").isNotNull()
     cols = {key: F.col(key)}
-    new_id = F.lit(next_id).cast("bigint") + F.monotonically_increasing_id()
-    cols["id"] = F.coalesce(F.col("t.id"), new_id)
+    cols["id"] = F.coalesce(F.col("t.id"), F.col("b._new_id"))
     for c in SCORE_MEASURES:
         cols[c] = F.when(in_batch, F.col(f"b.{c}")).otherwise(F.col(f"t.{c}"))
     cols["created_at"] = F.coalesce(F.col("t.created_at"), now_lit)
@@ -119,67 +141,98 @@ def upsert(target: DataFrame, batch: DataFrame, *, now: dt.datetime,
     return j.select(*[cols[f.name].cast(f.dataType).alias(f.name) for f in SCORECARD])
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether ``path`` exists, asked of its Hadoop file system."""
-    jvm = getattr(spark, "_jvm", None) or spark.sparkContext._jvm
+class SnapshotConflict(RuntimeError):
+    """Another writer published a version since this one read the target."""
+
+
+def _fs(spark: SparkSession, path: str):
+    """The path's Hadoop file system, and the path."""
+    jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def _versions(spark: SparkSession, root: str) -> DataFrame | None:
-    if not path_exists(spark, root):
-        return None
-    try:
-        return spark.read.parquet(root)
-    except AnalysisException:
-        return None
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, path)
+    return fs.exists(p)
 
 
-def _version_numbers(spark: SparkSession, root: str) -> list[int]:
-    """Versions that have data files under ``root`` (from the file listing,
-    not a scan), committed or not."""
-    t = _versions(spark, root)
-    if t is None:
+def _listed(spark: SparkSession, path: str, prefix: str = "") -> list[str]:
+    """Names in one folder that begin with ``prefix``; none if it is missing."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
         return []
-    return sorted({int(m.group(1)) for p in t.inputFiles()
-                   if (m := re.search(r"/version=(\d+)/", p))})
+    names = (s.getPath().getName() for s in fs.listStatus(p))
+    return sorted(n for n in names if n.startswith(prefix))
+
+
+def _committed(spark: SparkSession, root: str) -> list[tuple[int, str]]:
+    """(number, data folder) of every committed version, oldest first."""
+    out = []
+    for name in _listed(spark, f"{root}/_versions"):
+        number, _, folder = name.partition(".")
+        if number.isdigit() and folder:
+            out.append((int(number), folder))
+    return sorted(out)
 
 
 def current_version(spark: SparkSession, root: str) -> int | None:
     """Greatest committed version under ``root`` (None before the first).
-
-    Committed means the write job finished: its ``_SUCCESS`` marker exists.
-    A version left half-written by a job that died during commit is skipped.
-    """
-    for v in reversed(_version_numbers(spark, root)):
-        if path_exists(spark, f"{root}/version={v}/_SUCCESS"):
-            return v
+    Raises if there are data of versions but none is committed."""
+    done = _committed(spark, root)
+    if done:
+        return done[-1][0]
+    if _listed(spark, root, "version="):
+        raise RuntimeError(f"{root} holds versions, but none of them is committed")
     return None
 
 
 def read_snapshot(spark: SparkSession, root: str) -> DataFrame:
     """The current snapshot, or an empty target before the first write."""
-    v = current_version(spark, root)
-    if v is None:
+    if current_version(spark, root) is None:
         return empty_target(spark)
-    return (spark.read.schema(SCORECARD).parquet(f"{root}/version={v}")
+    folder = _committed(spark, root)[-1][1]
+    return (spark.read.schema(SCORECARD).parquet(f"{root}/{folder}")
             .select(*[f.name for f in SCORECARD]))
 
 
-def write_snapshot(df: DataFrame, root: str) -> int:
-    """Write ``df`` as the next version; returns its number.
-
-    The new version is a new directory written in one Spark job (committed
-    at job end with a ``_SUCCESS`` marker, ``errorifexists``), so the version
-    being read is never overwritten and a failed job publishes nothing.
-    """
+def write_snapshot(df: DataFrame, root: str, *, base: int | None = None, keep: int = 3) -> int:
+    """Write ``df`` as the version after ``base`` (default: the current one) and
+    return its number. Raises ``SnapshotConflict``, and publishes nothing, if
+    another writer has published that number meanwhile. Afterwards only the
+    last ``keep`` committed versions are kept (at least two: one may be read)."""
     spark = df.sparkSession
-    seen = _version_numbers(spark, root)
-    version = seen[-1] + 1 if seen else 1  # above any half-written version too
-    df.write.mode("errorifexists").parquet(f"{root}/version={version}")
+    done = _committed(spark, root)
+    if base is None:
+        base = done[-1][0] if done else 0
+    version = base + 1
+    folder = f"version={version}-{uuid.uuid4().hex[:8]}"
+    df.write.mode("errorifexists").parquet(f"{root}/{folder}")
+    _publish(spark, root, version, folder)
+    for old, data in _committed(spark, root)[:-max(2, keep)]:
+        for path in (f"{root}/_versions/{old:012d}.{data}", f"{root}/{data}"):
+            fs, p = _fs(spark, path)
+            fs.delete(p, True)
+        fs, p = _fs(spark, f"{root}/_claims/{old:012d}")
+        fs.delete(p, False)
     return version
 
 
+def _publish(spark: SparkSession, root: str, version: int, folder: str) -> None:
+    """Claim the number by creating a file that must not exist yet, then mark
+    the data folder as that version."""
+    done = _committed(spark, root)
+    if done and done[-1][0] >= version:
+        raise SnapshotConflict(f"version {version} of {root} was published meanwhile")
+    fs, claim = _fs(spark, f"{root}/_claims/{version:012d}")
+    try:
+        fs.create(claim, False).close()
+    except Py4JJavaError as e:
+        raise SnapshotConflict(f"version {version} of {root} is claimed by another writer") from e
+    fs, marker = _fs(spark, f"{root}/_versions/{version:012d}.{folder}")
+    fs.create(marker, False).close()
+
+
 def snapshot_count(df: DataFrame) -> int:
     """Row count of a snapshot; 0 when it cannot be counted."""
     try:
@@ -189,11 +242,13 @@ def snapshot_count(df: DataFrame) -> int:
 
 
 __all__ = [
+    "SnapshotConflict",
     "coerce_scorecard",
     "current_version",
     "empty_target",
     "key_stats",
     "key_violations",
+    "new_ids",
     "read_snapshot",
     "snapshot_count",
     "upsert",

@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marksman.functions import safe_ratio, trunc_scaled, units_to_decimal
+from marksman.functions import (checked_product, money, safe_ratio, trunc_scaled,
+                                units_to_decimal)
 
 
 def price_units(scale: int = 2) -> Column:
@@ -58,16 +59,9 @@ def last_price(ops: DataFrame, *, scale: int = 2) -> DataFrame:
     )
 
 
-def last_price_units(ops: DataFrame, *, scale: int = 2) -> DataFrame:
-    """``last_price`` as an integer count of 10**-scale: (token_id,
-    price_units). Reads only the columns it needs."""
-    return (ops.groupBy("token_id").agg(_latest_priced(scale).alias("lt"))
-            .select("token_id", F.col("lt.price_units").alias("price_units")))
-
-
 def last_price_from_positions(pos: DataFrame) -> DataFrame:
     """(token_id, price_units) from the ``last_trade`` structs of
-    ``positions(..., last_trade=True)``: the latest by (timestamp, id_,
+    ``positions``: the latest by (timestamp, id_,
     user_id), the same total order as ``last_price`` (the wallet is constant
     inside a position). Partial step first: only token-sized data moves."""
     lt = F.col("last_trade")
@@ -90,27 +84,20 @@ def mark_to_market(balances: DataFrame, outcomes: DataFrame, prices: DataFrame,
         "token_id", (F.col("last_price") * unit).cast("bigint").alias("price_units"))
     listing = outcomes.select("token_id", "winner")
     j = balances.join(listing, "token_id", "left").join(price, "token_id", "left")
-    value = payout_units(scale) * F.col("token_balance")
+    value = checked_product(payout_units(scale), "token_balance").cast("decimal(20,0)")
     return j.groupBy("user_id", "token_id").agg(
         F.max("market_id").alias("market_id"),
-        units_to_decimal(F.sum(value), scale).alias("unrealized_usdc"),
+        money(F.sum(value), scale).alias("unrealized_usdc"),
         F.max("token_balance").alias("token_balance"),
     )
 
 
-def token_values(outcomes: DataFrame, prices: DataFrame, *, scale: int = 2,
-                 key: str = "token_id") -> DataFrame:
+def token_values(outcomes: DataFrame, prices: DataFrame, *, scale: int = 2) -> DataFrame:
     """Per token: the greatest listing market and the unit value summed over
-    its listings, (key, [token_id,] market_id, unit_units). Token-sized.
-
-    ``key`` names the token key shared by ``outcomes`` and ``prices`` (the
-    id itself, or a dictionary code carried next to the id in ``outcomes``).
-    """
-    cols = [key, "market_id", "winner"] + (["token_id"] if key != "token_id" else [])
-    j = outcomes.select(*cols).join(prices.select(key, "price_units"), key, "left")
-    extra = [F.max("token_id").alias("token_id")] if key != "token_id" else []
-    return j.groupBy(key).agg(
-        *extra,
+    its listings, (token_id, market_id, unit_units). Token-sized."""
+    j = outcomes.select("token_id", "market_id", "winner").join(
+        prices.select("token_id", "price_units"), "token_id", "left")
+    return j.groupBy("token_id").agg(
         F.max("market_id").alias("market_id"),
         F.sum(payout_units(scale)).alias("unit_units"),
     )
@@ -119,7 +106,6 @@ def token_values(outcomes: DataFrame, prices: DataFrame, *, scale: int = 2,
 __all__ = [
     "last_price",
     "last_price_from_positions",
-    "last_price_units",
     "mark_to_market",
     "payout_units",
     "price_units",

@@ -8,6 +8,7 @@ directory, never a machine-local folder.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -72,9 +73,9 @@ def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint directory of the session.
 
-    Read from ``spark.checkpoint.dir`` (the SparkContext setting). Only a
-    local-mode session without one (tests) gets a fresh temporary folder; a
-    cluster session without one is an error.
+    Read from ``spark.checkpoint.dir``. Only a session in this one process
+    (``local``, ``local[n]``) without one gets a folder of its own; any cluster
+    session without one, ``local-cluster`` included, is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -84,7 +85,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if conf:
         sc.setCheckpointDir(conf)
         return sc.getCheckpointDir() or conf
-    if not sc.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
         raise RuntimeError("set spark.checkpoint.dir to a shared folder for this cluster")
     path = tempfile.mkdtemp(prefix="marksman-ckpt-")
     sc.setCheckpointDir(path)

@@ -8,7 +8,6 @@ from collections import defaultdict
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-from pyspark import StorageLevel
 
 from marksman.plans import scoring
 from marksman.schemas import FILLS, MARKETS
@@ -115,16 +114,14 @@ def test_plans_match_brute_force(spark, c):
     m = spark.createDataFrame(markets, MARKETS)
     f = spark.createDataFrame(fills, FILLS)
     expected = brute_force(markets, fills)
-    for variant in ("fused", "encoded", "persisted", "literal"):
-        fused = variant != "literal"
-        if variant == "literal":
-            rows = scoring.literal_pnl(m, f, IMS).collect()
-        elif variant == "persisted":
-            parts = scoring.fused_parts(m, f, IMS, positions_storage=StorageLevel.MEMORY_AND_DISK)
-            rows = parts.pnl.collect()
+    for variant in ("fused", "literal"):
+        fused = variant == "fused"
+        if fused:
+            parts = scoring.fused_parts(m, f, IMS)
+            rows = parts.result.collect()
             parts.release()
         else:
-            rows = scoring.fused_pnl(m, f, IMS, encode_tokens=variant == "encoded").collect()
+            rows = scoring.literal_pnl(m, f, IMS).collect()
         got = {}
         for r in rows:
             got[(r.user_id, r.token_id)] = (r.market_id, r.operations_count, r.realized_usdc,

@@ -160,9 +160,8 @@ def test_long_intermediary_list_as_anti_join(spark):
     assert sorted(by_list.collect()) == sorted(by_df.select(*by_list.columns).collect())
 
 
-def test_long_token_ids_are_encoded_automatically(spark):
-    """Production-like 77-digit token ids take the dictionary-encoded path;
-    results are those of the plain path."""
+def test_long_ids_take_the_same_plan(spark):
+    """77-digit token ids: the same rows and as many jobs to build the plan."""
     from marksman.schemas import FILLS, MARKETS
     long_id = {t: str(10**76 + i) for i, t in enumerate(["T1", "T2", "T3", "T4", "T5"])}
     mk = [(q, c, [{"token_id": long_id[t["token_id"]], "outcome": t["outcome"]} for t in toks],
@@ -170,9 +169,68 @@ def test_long_token_ids_are_encoded_automatically(spark):
     fl = [(i, ts, mk_, tk, long_id.get(a, a), long_id.get(b, b), x, y, d)
           for i, ts, mk_, tk, a, b, x, y, d in golden.FILL_ROWS]
     m, f = spark.createDataFrame(mk, MARKETS), spark.createDataFrame(fl, FILLS)
-    auto = scoring.fused_pnl(m, f, golden.INTERMEDIARIES)
-    plain = scoring.fused_pnl(m, f, golden.INTERMEDIARIES, encode_tokens=False)
-    assert sorted(auto.collect()) == sorted(plain.collect())
-    assert auto.count() == 4
-    p = auto._jdf.queryExecution().executedPlan().toString()
-    assert "token_code" in p
+    status = spark.sparkContext.statusTracker()
+
+    def built(group, markets, fills):
+        spark.sparkContext.setJobGroup(group, group)
+        try:
+            return scoring.fused_pnl(markets, fills, golden.INTERMEDIARIES)
+        finally:
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+    long, short = built("long-ids", m, f), built("short-ids", golden.markets(spark),
+                                                 golden.fills(spark))
+    assert len(status.getJobIdsForGroup("long-ids")) == len(status.getJobIdsForGroup("short-ids"))
+    back = {v: k for k, v in long_id.items()}
+    assert sorted((r.user_id, back[r.token_id], r.absolute_profit) for r in long.collect()) == \
+        sorted((r.user_id, r.token_id, r.absolute_profit) for r in short.collect())
+
+
+def _ranked(spark, kind, rows):
+    i = F.col("id")
+    value = ((i * 7919) % 997).cast("double")
+    share = {"none": 0, "most": 75, "nearly": 90, "all": 100, "null": 100}[kind]
+    gap = F.lit(None).cast("double") if kind == "null" else F.when(
+        i % 2 == 0, F.lit(float("nan")))
+    return spark.range(0, rows).select(
+        F.concat(F.lit("w"), i.cast("string")).alias("wallet_address"),
+        F.when((i * 31) % 100 < share, gap if kind != "all" else F.lit(float("nan")))
+        .otherwise(value).alias("profit_usdc"))
+
+
+@pytest.mark.parametrize("kind", ["none", "most", "nearly", "all", "null"])
+@pytest.mark.parametrize("n", [1, 50, 700])
+def test_top_by_threshold_with_nan_and_null(spark, kind, n):
+    df = _ranked(spark, kind, 6000).repartition(8).cache()
+    exact = [r.wallet_address for r in scorecard.top(df, n).collect()]
+    assert [r.wallet_address for r in scorecard.top_by_threshold(df, n).collect()] == exact
+    df.unpersist()
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_large_amounts_fail_and_never_wrap(spark, ansi):
+    fl = golden.fills(spark, [
+        ("a_1", dt.datetime(2024, 1, 1), "W1", "W2", "0", "T1", 10**12, 2 * 10**17, 0)])
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        for build in (scoring.fused_pnl, scoring.literal_pnl):
+            with pytest.raises(Exception, match="amount exceeds 64 bits"):
+                build(golden.markets(spark), fl, []).collect()
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+
+
+def test_money_types(spark):
+    types = dict(scoring.fused_pnl(golden.markets(spark), golden.fills(spark), []).dtypes)
+    for c in ("absolute_profit", "total_gained", "unrealized_usdc"):
+        assert types[c] == "decimal(38,4)"
+
+
+def test_intermediaries_as_a_dataframe(spark):
+    m, f = golden.markets(spark), golden.fills(spark)
+    listed = spark.createDataFrame([(x,) for x in [*golden.INTERMEDIARIES, None, "no one"]],
+                                   "user_id string")
+    for fused in (True, False):
+        a = scoring.score_traders(m, f, golden.INTERMEDIARIES, fused=fused)
+        b = scoring.score_traders(m, f, listed, fused=fused)
+        assert sorted(map(str, a.collect())) == sorted(map(str, b.collect()))

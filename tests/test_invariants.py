@@ -70,29 +70,26 @@ def test_one_pass_positions_equal_single_stages(data):
     assert sorted(one.collect()) == sorted(two.select(*one.columns).collect())
 
 
-def test_token_codes_follow_id_order(data):
-    m, _ = data
-    rows = ledger.token_codes(ledger.market_outcomes(m), partitions=5).orderBy(
-        "token_code").collect()
-    assert [r.token_code for r in rows] == list(range(len(rows)))
-    ids = [r.token_id for r in rows]
-    assert ids == sorted(ids, key=lambda x: x.encode())
-
-
-def test_encoded_tokens_equal_literal(data):
+def test_held_positions_equal_literal_and_release(data):
+    from marksman.plans.sizing import checkpointed
     m, f = data
-    a = scoring.fused_pnl(m, f, IMS, encode_tokens=True)
     b = scoring.literal_pnl(m, f, IMS)
-    assert sorted(a.collect()) == sorted(b.select(*a.columns).collect())
+    parts = scoring.fused_parts(m, f, IMS)
+    assert [df.is_cached for df in parts.held] == [True]
+    assert sorted(parts.result.collect()) == sorted(b.select(*parts.result.columns).collect())
+    parts.release()
+    assert [df.is_cached for df in parts.held] == [False]
+    parts = scoring.fused_parts(m, f, IMS, hold=checkpointed)
+    assert sorted(parts.result.collect()) == sorted(b.select(*parts.result.columns).collect())
 
 
-def test_persisted_positions_equal_literal_and_release(data):
-    from pyspark import StorageLevel
+def test_the_deduped_ledger_has_one_reader(data):
+    """The plan of the held positions has the one dedupe aggregate; what reads
+    them scans the held table."""
     m, f = data
-    parts = scoring.fused_parts(m, f, IMS, positions_storage=StorageLevel.MEMORY_AND_DISK)
-    assert parts.positions is not None and parts.positions.is_cached
-    b = scoring.literal_pnl(m, f, IMS)
-    assert sorted(parts.pnl.collect()) == sorted(b.select(*parts.pnl.columns).collect())
+    parts = scoring.fused_parts(m, f, IMS)
+    plan = parts.result._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("InMemoryRelation") == 2
+    held = parts.held[0]._jdf.queryExecution().analyzed().toString()
+    assert held.count("id_#") and held.count("max(struct(priority") == 1
     parts.release()
-    assert not parts.positions.is_cached
-    assert scoring.fused_parts(m, f, IMS).positions is None  # default: nothing cached

@@ -47,6 +47,7 @@ def test_listing_join_broadcast_under_bound(inputs):
 
 def test_listing_join_shuffles_over_bound(inputs, spark):
     m, f = inputs
+    spark.catalog.clearCache()  # positions held by other tests
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         df = scoring.fused_pnl(m, f, fixtures.INTERMEDIARIES, broadcast_max_rows=10)

@@ -147,15 +147,103 @@ def test_job_entry_point(spark):
     assert sinks.current_version(spark, f"{root}/target") == 1
 
 
-def test_half_written_version_is_skipped(spark, scores):
+def test_versions_without_a_marker_are_no_target(spark, scores):
     root = scratch_path(spark, "test-partial")
     b = sinks.coerce_scorecard(scores)
+    # data of a writer that died before it published them
+    sinks.upsert(sinks.empty_target(spark), b.limit(1), now=T1).write.parquet(f"{root}/version=1-x")
+    with pytest.raises(RuntimeError, match="none of them is committed"):
+        sinks.read_snapshot(spark, root)
     sinks.write_snapshot(sinks.upsert(sinks.empty_target(spark), b, now=T0), root)
-    # a version without the commit marker, as a job that died in commit leaves
-    (sinks.upsert(sinks.empty_target(spark), b.limit(1), now=T1).write
-     .option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
-     .parquet(f"{root}/version=2"))
     assert sinks.current_version(spark, root) == 1
     assert sinks.snapshot_count(sinks.read_snapshot(spark, root)) == 3
-    assert sinks.write_snapshot(sinks.read_snapshot(spark, root), root) == 3
-    assert sinks.current_version(spark, root) == 3
+
+
+def test_success_markers_do_not_matter(spark, scores):
+    root = scratch_path(spark, "test-nosuccess")
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    conf.set("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+    try:
+        b = sinks.coerce_scorecard(scores)
+        sinks.write_snapshot(sinks.upsert(sinks.empty_target(spark), b, now=T0), root)
+        one = sinks.coerce_scorecard(scores.where("wallet_address = 'W1'"))
+        merged = sinks.upsert(sinks.read_snapshot(spark, root), one, now=T1)
+        sinks.write_snapshot(merged, root)
+        rows = {r.wallet_address: r for r in sinks.read_snapshot(spark, root).collect()}
+        assert len(rows) == 3 and rows["W1"].created_at == T0 and rows["W1"].updated_at == T1
+    finally:
+        conf.unset("mapreduce.fileoutputcommitter.marksuccessfuljobs")
+
+
+def test_two_writers(spark, scores):
+    root = scratch_path(spark, "test-writers")
+    t = sinks.upsert(sinks.empty_target(spark), sinks.coerce_scorecard(scores), now=T0)
+    assert sinks.write_snapshot(t, root) == 1
+    assert sinks.write_snapshot(t, root, base=1) == 2
+    with pytest.raises(sinks.SnapshotConflict):  # it read version 1 as well
+        sinks.write_snapshot(t, root, base=1)
+    fs, claim = sinks._fs(spark, f"{root}/_claims/{3:012d}")
+    fs.create(claim, False).close()  # the other is between claim and marker
+    with pytest.raises(sinks.SnapshotConflict):
+        sinks.write_snapshot(t, root)
+    assert sinks.current_version(spark, root) == 2
+
+
+def test_old_versions_expire(spark, scores):
+    root = scratch_path(spark, "test-expire")
+    t = sinks.upsert(sinks.empty_target(spark), sinks.coerce_scorecard(scores), now=T0)
+    for _ in range(5):
+        sinks.write_snapshot(t, root, keep=2)
+    assert [n for n, _ in sinks._committed(spark, root)] == [4, 5]
+    assert len(sinks._listed(spark, root, "version=")) == 2
+
+
+def test_ids_have_no_gaps(spark):
+    def batch(low, high):
+        return sinks.coerce_scorecard(spark.range(low, high).repartition(7).select(
+            F.concat(F.lit("w"), "id").alias("wallet_address"), F.lit(1.0).alias("profit_usdc")))
+
+    t = sinks.upsert(sinks.empty_target(spark), batch(0, 1000), now=T0)
+    assert sorted(r.id for r in t.collect()) == list(range(1, 1001))
+    t2 = sinks.upsert(t, batch(500, 1300), now=T1)
+    assert sorted(r.id for r in t2.collect()) == list(range(1, 1301))
+
+
+def test_the_job_file_starts_from_anywhere(tmp_path):
+    import os
+    import subprocess
+    import sys
+    from pathlib import Path
+    job = Path(jobs.__file__).resolve()
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    run = lambda *a: subprocess.run([sys.executable, str(job), *a], cwd=tmp_path, env=env,
+                                    capture_output=True, text=True, timeout=120)
+    assert run("--help").returncode == 0
+    missing = run("--markets", "m", "--fills", "f", "--target", "t")
+    assert missing.returncode == 2 and "--intermediary" in missing.stderr
+
+
+def test_limit_zero_is_no_preset(spark):
+    root = scratch_path(spark, "test-zero")
+    golden.markets(spark).write.parquet(f"{root}/markets")
+    golden.fills(spark).write.parquet(f"{root}/fills")
+    s = jobs.main(["--markets", f"{root}/markets", "--fills", f"{root}/fills", "--target",
+                   f"{root}/target", "--limit", "0", "--intermediary", "EX"])
+    assert s["users_processed"] == 0 and sinks.current_version(spark, f"{root}/target") is None
+
+
+def test_a_cluster_needs_a_checkpoint_folder(monkeypatch):
+    from types import SimpleNamespace
+
+    from marksman.plans import sizing
+    for master, ok in (("local[4]", True), ("local", True), ("local-cluster[2,1,1024]", False),
+                       ("yarn", False)):
+        made = []
+        sc = SimpleNamespace(master=master, getCheckpointDir=lambda: made[-1] if made else None,
+                             setCheckpointDir=made.append)
+        session = SimpleNamespace(sparkContext=sc, conf=SimpleNamespace(get=lambda *a: None))
+        if ok:
+            assert sizing.checkpoint_dir(session) == made[0]
+        else:
+            with pytest.raises(RuntimeError):
+                sizing.checkpoint_dir(session)
