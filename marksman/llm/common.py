@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
@@ -52,11 +53,35 @@ def ship(spark: SparkSession) -> None:
     _SHIPPED.add(sc.applicationId)
 
 
+# Rows of an Arrow batch: texts are long, and two batches a core are alive.
+_BATCH_CONF, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 2000
+
+
+def _give_back() -> None:
+    """Return freed memory to the system: workers stay between their tasks."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
               schema: str | StructType) -> DataFrame:
-    """``df.mapInArrow(run, schema)`` with this package known to the workers."""
-    ship(df.sparkSession)
-    return df.mapInArrow(run, schema)
+    """``df.mapInArrow(run, schema)`` with this package known to the workers, in
+    batches of ``BATCH_ROWS`` rows unless the session has set a number."""
+    spark = df.sparkSession
+    ship(spark)
+    if spark.conf.get(_BATCH_CONF) == "10000":  # Spark's default
+        spark.conf.set(_BATCH_CONF, BATCH_ROWS)
+
+    def tidy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            _give_back()
+
+    return df.mapInArrow(tidy, schema)
 
 
 def arrow_rows(batch: pa.RecordBatch, rows: int = 1024) -> Iterator[pa.RecordBatch]:

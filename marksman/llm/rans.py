@@ -46,8 +46,8 @@ LANES = 64
 STEPS = 256
 BLOCK = LANES * STEPS
 SCALE_BITS = 20
-SEGMENT_TOKENS = 1 << 20
-GROUP_BLOCKS = 64  # blocks coded side by side
+SEGMENT_TOKENS = 1 << 21
+GROUP_BLOCKS = 128  # blocks coded side by side
 _LOW = np.uint64(1 << 31)
 _32 = np.uint64(32)
 

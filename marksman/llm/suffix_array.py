@@ -29,8 +29,8 @@ def first_eight(data: np.ndarray) -> np.ndarray:
 
 def _groups(new: np.ndarray) -> np.ndarray:
     """Rank of each sorted place: the place where its group begins."""
-    at = np.arange(len(new), dtype=np.int64)
-    return np.maximum.accumulate(np.where(new, at, 0))
+    at = np.arange(len(new), dtype=np.int32)
+    return np.maximum.accumulate(np.where(new, at, np.int32(0)))
 
 
 def suffix_array(data: np.ndarray, depth: int, words: np.ndarray | None = None) -> np.ndarray:
@@ -43,14 +43,14 @@ def suffix_array(data: np.ndarray, depth: int, words: np.ndarray | None = None)
     new = np.ones(n, bool)
     new[1:] = key[1:] != key[:-1]
     start = _groups(new)
-    rank = np.empty(n + 1, np.int64)
+    rank = np.empty(n + 1, np.int32)
     rank[sa] = start + 1
     rank[n] = 0  # past the end
     h = 8
     # sorted places that share their group with another
     tied = np.flatnonzero(~new | ~np.append(new[1:], True))
     while h < depth and len(tied):
-        group, suffix = start[tied], sa[tied]
+        group, suffix = start[tied].astype(np.int64), sa[tied]
         beyond = rank[np.minimum(suffix + h, n)]
         order = np.argsort((group << 32) | beyond, kind="stable")
         suffix, beyond, group = suffix[order], beyond[order], group[order]

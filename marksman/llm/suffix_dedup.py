@@ -12,9 +12,10 @@ judged on the input.
 2. Anchors that occur once are dropped. Of runs with equal contexts one is kept
    with their number (counted in each task before the shuffle, so a group of
    copies moves little); if there are several, all their windows are repeated.
-3. *Suffix arrays.* Contexts go to shards by anchor. A shard sorts the suffixes
-   of its contexts (Larsson-Sadakane), Kasai's common prefixes tell which
-   windows occur twice among them.
+3. *Suffix arrays.* Contexts go to shards by anchor. Stretches of windows whose
+   hash no other window of the shard has are left out, of equal stretches one
+   is kept; then the shard sorts the suffixes (Larsson-Sadakane), and Kasai's
+   common prefixes tell which windows occur twice.
 4. *Cross-shard merge.* An anchor with more than ``SHARD_CONTEXTS`` different
    contexts is split over several shards. These send the digests of their
    distinct windows as sorted runs, cut by digest into buckets; each bucket is
@@ -42,16 +43,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marksman.llm.common import map_arrow, text_or_empty, written
+from marksman.llm.common import arrow_rows, map_arrow, text_or_empty, written
 from marksman.llm.exact_dedup import located
 from marksman.llm.suffix_array import common_prefixes, first_eight, suffix_array
 from marksman.plans.sizing import broadcast_if_small
 
 LENGTH = 400
 GRAM = 32
-PIECE = 1 << 22
-SHARD_BYTES = 1 << 22
-SHARD_CONTEXTS = 4096
+PIECE = 1 << 19
+SHARD_BYTES = 1 << 20
+SHARD_CONTEXTS = 2048
 _PLACE_BITS = 24  # a place in a chunk of up to 2 * PIECE bytes
 
 RUNS = "fid long, row long, place long, windows int, off int, a long, c long"
@@ -247,6 +248,48 @@ def repeated_windows(data: np.ndarray, begins: np.ndarray, windows: np.ndarray,
     return many
 
 
+def shard_windows(data: np.ndarray, begins: np.ndarray, windows: np.ndarray, times: np.ndarray,
+                  length: int, hashes: Hashes) -> np.ndarray:
+    """``repeated_windows`` of contexts found ``times`` times (all windows of
+    one found several times are repeated). Only stretches of windows that share
+    a hash with another window go into the suffix array, equal ones once."""
+    starts = _starts(begins, windows)
+    context = np.repeat(np.arange(len(begins)), windows)
+    many = times[context] > 1
+    digest = hashes.spans(data, starts, starts + length)
+    _, of, size = np.unique(digest, return_inverse=True, return_counts=True)
+    shared = (size[of] > 1) | many
+    first = shared.copy()
+    first[1:] &= ~shared[:-1] | (context[1:] != context[:-1])
+    at = np.flatnonzero(first)
+    if not len(at):
+        return many
+    stretch = np.cumsum(first) - 1
+    n = np.bincount(stretch[shared], minlength=len(at))
+    begin = starts[at]
+    end = begin + n + length - 1
+    key = mixed(hashes.spans(data, begin, end) ^ mixed(n.astype(np.uint64)))
+    other = hashes.spans(data, begin, end, 1)
+    order = np.lexsort((other, key))
+    new = np.append(True, (np.diff(key[order]) != 0) | (np.diff(other[order]) != 0))
+    kind = np.empty(len(at), np.int64)
+    kind[order] = np.cumsum(new) - 1
+    one = order[new]  # of each kind of stretch the one that is kept
+    often = np.bincount(kind) > 1
+    sizes = end[one] - begin[one] + 1
+    own = np.cumsum(sizes) - sizes
+    part = np.zeros(int(sizes.sum()), np.uint8)
+    for b, e, o in zip(begin[one].tolist(), end[one].tolist(), own.tolist(), strict=True):
+        part[o:o + e - b] = data[b:e]
+    found = repeated_windows(part, own, n[one], length) | np.repeat(often, n[one])
+    # back from kinds to stretches to windows
+    from_kind = np.cumsum(n[one]) - n[one]
+    inner = np.flatnonzero(shared)
+    place = inner - at[stretch[inner]]
+    many[inner] |= found[from_kind[kind[stretch[inner]]] + place]
+    return many
+
+
 def _starts(begins: np.ndarray, windows: np.ndarray, unit: int = 1) -> np.ndarray:
     place = np.arange(int(windows.sum())) - np.repeat(np.cumsum(windows) - windows, windows)
     return np.repeat(begins, windows) + place * unit
@@ -283,12 +326,14 @@ class _Shard:
         sizes = np.array([len(r["bytes"]) for r in rows])
         begins = np.cumsum(sizes + 1) - sizes - 1
         windows = np.array([r["windows"] for r in rows])
-        owner = None
-        if self.apart:  # a context found in several documents is of none
+        if not self.apart:
+            times = np.array([r["n"] for r in rows])
+            many = shard_windows(data, begins, windows, times, self.length, self.hashes)
+        else:  # a context found in several documents is of none
             docs = {}
             owner = np.array([docs.setdefault((r["fid"], r["row"]), len(docs)) if r["n"] == 1
                               else -1 - i for i, r in enumerate(rows)])
-        many = repeated_windows(data, begins, windows, self.length, self.unit, owner)
+            many = repeated_windows(data, begins, windows, self.length, self.unit, owner)
         ends = np.cumsum(windows)
         out = []
         for r, e, k in zip(rows, ends.tolist(), windows.tolist(), strict=True):
@@ -340,7 +385,7 @@ def shard_spans(contexts: DataFrame, length: int = LENGTH, unit: int = 1,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, key = _Shard(length, Hashes(), unit, apart), None
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in (r for part in arrow_rows(batch, 512) for r in part.to_pylist()):
                 own = (row["a"], row["part"])
                 alone = row["splits"] > 1 or (shard.rows and shard.rows[0]["splits"] > 1)
                 if own != key and (alone or shard.size >= SHARD_BYTES):

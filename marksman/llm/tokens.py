@@ -6,8 +6,8 @@ ends there and the next one begins with it. So a text whose spaces are all of
 that kind is the concatenation of its words (" word", the first without the
 space), and the ids of a word can be kept. Words not seen yet are encoded by
 the library in one call per batch; texts with other white space beside a space
-go to the library whole. The cache is emptied at ``MAX_WORDS``; that costs
-time, never changes ids.
+go to the library whole. At ``MAX_WORDS`` the cache keeps only the words of the
+texts at hand; that costs time, never changes ids.
 """
 
 from __future__ import annotations
@@ -35,6 +35,13 @@ class WordTokenizer:
         from tokenizers import Tokenizer
         self.lib = Tokenizer.from_file(path)
         self.lib.encode_special_tokens = True
+        # words come to the library once each: its own cache would only cost
+        self.once = Tokenizer.from_file(path)
+        self.once.encode_special_tokens = True
+        model = self.once.model
+        if hasattr(model, "_resize_cache"):
+            model._resize_cache(0)
+            self.once.model = model
         if self.lib.get_vocab_size() > 1 << 16:
             raise ValueError("ids do not fit 16 bits")
         self.starts = np.zeros(1 << 16, bool)  # ids of tokens that begin with a space
@@ -72,8 +79,8 @@ class WordTokenizer:
     def _encode_words(self, words: list[str]) -> list[bytes]:
         """Ids of " word" for each word, by one call: encoded as one text, cut
         before every id whose token begins with a space (no other has one)."""
-        ids = self.lib.encode_batch_fast(["".join(" " + w for w in words)],
-                                         add_special_tokens=False)[0].ids
+        ids = self.once.encode_batch_fast(["".join(" " + w for w in words)],
+                                          add_special_tokens=False)[0].ids
         ids = np.array(ids, dtype=np.uint16)
         cut = np.flatnonzero(self.starts[ids])
         if len(cut) != len(words):  # a vocabulary that cuts elsewhere
@@ -90,10 +97,11 @@ class WordTokenizer:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as bytes."""
-        if len(self.words) + len(self.heads) > MAX_WORDS:
-            self.words.clear()
-            self.heads.clear()
         split = [t.split(" ") for t in texts]
+        if len(self.words) + len(self.heads) > MAX_WORDS:  # keep what is in use now
+            known = self.words
+            self.words = {w: known[w] for w in set().union(*split).intersection(known)}
+            self.heads.clear()
         self._learn(split)
         out = [self._joined(parts) for parts in split]
         # left: texts with white space beside a space, or a very long word
