@@ -173,7 +173,7 @@ def pack(docs: DataFrame, vocabulary: str | None = None, end_id: int = 0,
         tok = tokenizer(path)
         packer = Packer(capacity, window, TaskContext.get().partitionId() << 32)
         for batch in batches:
-            for part in arrow_rows(batch):
+            for part in arrow_rows(batch, 2048):
                 for doc, raw in zip(part.column(0).to_pylist(),
                                     tok.encode(part.column(1).to_pylist()), strict=True):
                     packer.add(doc, np.frombuffer(raw + end, "<u2"))

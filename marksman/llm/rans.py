@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from marksman.llm.common import arrow_rows, map_arrow, scratch_path, text_or_empty, written
+from marksman.llm.common import arrow_rows, map_arrow, scratch_path, text_or_empty
 from marksman.llm.tokens import default_vocabulary, tokenizer
 
 LANES = 64
@@ -51,7 +51,7 @@ GROUP_BLOCKS = 128  # blocks coded side by side
 _LOW = np.uint64(1 << 31)
 _32 = np.uint64(32)
 
-TOKENS_SCHEMA = "doc_id long, n_tokens long, ids binary"
+TOKENS_SCHEMA = "doc_id long, n_tokens long, ids binary, counts boolean"
 SEGMENT_SCHEMA = ("part long, segment long, doc_ids array<long>, doc_tokens array<long>, "
                   "n_tokens long, words binary, words_crc32 long, block_words array<long>, "
                   "block_crc32 array<long>, states binary")
@@ -170,35 +170,42 @@ class Coder:
 
 def encode_documents(docs: DataFrame, vocabulary: str | None = None, end_id: int = 0,
                      text: str = "text") -> DataFrame:
-    """``TOKENS_SCHEMA``: the ids of every document as 16-bit integers."""
+    """``TOKENS_SCHEMA``: the ids of every document as 16-bit integers, and one
+    row a task (``counts`` is true) with how often each id occurred there."""
     path = vocabulary or default_vocabulary()
     end = int(end_id).to_bytes(2, "little")
+    names = ["doc_id", "n_tokens", "ids", "counts"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok = tokenizer(path)
+        total = np.zeros(1 << 16, np.int64)
         for batch in batches:
-            for part in arrow_rows(batch):
+            for part in arrow_rows(batch, 2048):
                 ids = [x + end for x in tok.encode(part.column(1).to_pylist())]
+                total += np.bincount(np.frombuffer(b"".join(ids), "<u2"), minlength=1 << 16)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0).cast(pa.int64()),
                      pa.array([len(x) // 2 for x in ids], pa.int64()),
-                     pa.array(ids, pa.binary())], ["doc_id", "n_tokens", "ids"])
+                     pa.array(ids, pa.binary()), pa.array([False] * len(ids))], names)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([None], pa.int64()), pa.array([0], pa.int64()),
+             pa.array([total.tobytes()], pa.binary()), pa.array([True])], names)
 
     return map_arrow(docs.select("doc_id", text_or_empty(text).alias("text")), run, TOKENS_SCHEMA)
 
 
 def count_ids(tokens: DataFrame, size: int) -> np.ndarray:
-    """How often each id occurs in the whole corpus: counted in every task,
-    summed by Spark; at most ``size`` rows reach the driver."""
+    """How often each id occurs in the whole corpus: the tasks' counts, summed
+    by Spark; at most ``size`` rows reach the driver."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(size, np.int64)
+        total = np.zeros(1 << 16, np.int64)
         for batch in batches:
             for raw in batch.column(0).to_pylist():
-                total += np.bincount(np.frombuffer(raw, "<u2"), minlength=size)
+                total += np.frombuffer(raw, np.int64)
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], ["id", "n"])
 
-    rows = (map_arrow(tokens.select("ids"), run, "id long, n long")
+    rows = (map_arrow(tokens.filter("counts").select("ids"), run, "id long, n long")
             .groupBy("id").agg(F.sum("n").alias("n")).collect())
     counts = np.zeros(size, np.int64)
     for r in rows:
@@ -251,7 +258,7 @@ def segments(tokens: DataFrame, freq: np.ndarray,
             yield pa.RecordBatch.from_pylist([_segment(coder, part, number, held)],
                                              _SEGMENT_ARROW)
 
-    ordered = (tokens.select("doc_id", "ids").repartitionByRange("doc_id")
+    ordered = (tokens.filter("not counts").select("doc_id", "ids").repartitionByRange("doc_id")
                .sortWithinPartitions("doc_id", "ids"))
     return map_arrow(ordered, run, SEGMENT_SCHEMA)
 
@@ -320,7 +327,10 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: str | None = None,
     vocabulary = vocabulary or default_vocabulary()
     from tokenizers import Tokenizer
     size = Tokenizer.from_file(vocabulary).get_vocab_size()
-    tokens = written(encode_documents(docs, vocabulary, end_id), "token-ids")
+    # by kind in folders of their own: the counts are read without the ids
+    stored = scratch_path(spark, "token-ids")
+    encode_documents(docs, vocabulary, end_id).write.partitionBy("counts").parquet(stored)
+    tokens = spark.read.schema(TOKENS_SCHEMA).parquet(stored)
     freq = frequency_table(count_ids(tokens, size))
     segments(tokens, freq).write.parquet(f"{path}/segments")
     (spark.createDataFrame([(i, int(f)) for i, f in enumerate(freq)], "id int, frequency int")
