@@ -453,8 +453,6 @@ def _contexts(docs: DataFrame, edges: DataFrame, length: int, unit: int) -> Data
     """The bytes of every context in ``edges``, read from its document."""
     wanted = edges.groupBy("fid", "row").agg(F.collect_list(F.struct(
         "a", "part", "splits", "n", "windows", "place")).alias("wanted"))
-    wanted, _ = broadcast_if_small(wanted, 200_000, 64 << 20,
-                                   measured=_measured(edges, 40))
     rows = docs.select("fid", "row", "data").join(wanted, ["fid", "row"])
     rows = rows.select("fid", "row", "data", F.explode("wanted").alias("w"))
     return rows.select("fid", "row", "w.*", F.expr(
@@ -469,11 +467,6 @@ def _times(apart: bool) -> Column:
     return F.when(differ, 2).otherwise(1).cast("long")
 
 
-def _measured(df: DataFrame, width: int) -> tuple[int, int]:
-    n = df.count()
-    return n, n * width
-
-
 def repeated_spans(docs: DataFrame, length: int = LENGTH, unit: int = 1,
                    apart: bool = False) -> DataFrame:
     """(fid, row, spans) of (fid, row, data): the repeated spans [start, end) of
