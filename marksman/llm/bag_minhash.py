@@ -52,7 +52,7 @@ THRESHOLD = 0.8
 # A pair of similarity 0.8 agrees in fewer places with a chance below 1e-6.
 LEAST_AGREEING = 78
 PIVOT_TURNS = 2
-_CHUNK = 1 << 20
+_CHUNK = 1 << 19
 
 SIGNATURES = ("doc_id long, fid long, row long, d1 long, d2 long, bands array<long>, sig binary, n_words int")
 
@@ -174,7 +174,7 @@ def signatures(docs: DataFrame) -> DataFrame:
             for i in range(batch.num_rows):
                 held.append(normal_words(batch.column(3)[i].as_py()))
                 size += len(held[-1])
-                if size >= _CHUNK or len(held) >= 2048:
+                if size >= _CHUNK or len(held) >= 1024:
                     yield some(batch.slice(at, i + 1 - at), held, hashes)
                     held, size, at = [], 0, i + 1
             if held:
