@@ -299,7 +299,9 @@ def near_groups(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
                  else _prefix_pairs(texts.join(buckets.select("node").distinct(), "node",
                                                "left_semi"), labels, tested))
         pairs = written(pairs, "near-pairs")
-        links = written(verified(_agreeing(pairs, inner), texts), "near-links")
+        # written in between: one Python worker a task, not one for each function
+        agreeing = written(_agreeing(pairs, inner), "near-agreeing")
+        links = written(verified(agreeing, texts), "near-links")
         labels = contracted(labels, links)
         tested = pairs if tested is None else tested.unionByName(pairs)
         buckets = written(_open_buckets(buckets, labels), "near-buckets")
