@@ -14,9 +14,12 @@ languages is proportional to the product of
 Counts behind the last three are soft (a record adds its text posterior) and
 come from grouped aggregations over all records, so a host with a third of them
 is summed in each task first. A record's own share is taken out of its host's
-counts. The trigram models are trained on at most ``SAMPLE`` records with a
-declaration (those of least hash), then once more on these records with the
-languages their texts were found to have, so wrong declarations do little harm.
+counts. Declarations are counted over all records, and every one that at least
+``LEAST_RECORDS`` of them carry is a language, however large the table is. Its
+trigram model is trained on its records, of more than ``SAMPLE`` on about so many
+(those of least hash), then once more on all these records with the languages
+their texts were found to have, so wrong declarations do little harm; a language
+that no text is found to have is left out.
 
 A record is rejected if it has no letters or the background explains it best by
 a margin that a few unusual words do not reach.
@@ -44,8 +47,8 @@ from marksman.llm.exact_dedup import located
 from marksman.plans.sizing import broadcast_if_small
 
 UNKNOWN = "und"
-SAMPLE = 4_000
-LEAST_RECORDS = 10  # declarations that fewer sampled records carry are no language
+SAMPLE = 4_000  # records of one declaration to train on
+LEAST_RECORDS = 10  # declarations that fewer records carry are no language
 BUCKETS = 1 << 16
 TEMPER = 200.0  # a text counts as at most so many independent trigrams
 MARGIN = 3.0  # log odds by which the background must win
@@ -82,7 +85,9 @@ class TextModel:
 
     def __init__(self, languages: list[str], counts: np.ndarray):
         self.languages = languages
-        smooth = counts + 0.5
+        # few trigrams are smoothed by less than they are, so that texts in no
+        # language stay below the background
+        smooth = counts + np.minimum(counts.sum(axis=1, keepdims=True) / BUCKETS, 0.5)
         logs = np.log(smooth / smooth.sum(axis=1, keepdims=True))
         flat = np.full((1, BUCKETS), -np.log(BUCKETS))
         self.logs = np.ascontiguousarray(np.concatenate([logs, flat]).T, np.float32)
@@ -104,7 +109,7 @@ def _posterior(scores: np.ndarray) -> np.ndarray:
 
 def _counts(sample: DataFrame, languages: list[str], model: TextModel | None) -> np.ndarray:
     """Trigram counts by language: the declared one, or the one ``model`` finds.
-    Each of few tasks sends one row a language."""
+    Summed in each task, then by Spark; only counts other than 0 are sent."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((len(languages), BUCKETS))
         index = {x: i for i, x in enumerate(languages)}
@@ -115,37 +120,46 @@ def _counts(sample: DataFrame, languages: list[str], model: TextModel | None) ->
                     which = np.array([index.get(x, -1) for x in part.column(1).to_pylist()])
                 else:
                     which = model.scores(texts)[0].argmax(axis=1)
-                    which[which == len(languages)] = -1
+                    which[which == len(model.languages)] = -1
                 bucket, of = trigrams(texts)
                 lang = which[of]
                 known = lang >= 0
-                total += np.bincount(lang[known] * BUCKETS + bucket[known],
-                                     minlength=total.size).reshape(total.shape)
+                at, n = np.unique(lang[known] * BUCKETS + bucket[known], return_counts=True)
+                total.reshape(-1)[at] += n
+        at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(range(len(languages)), pa.int32()),
-             pa.array([row.tobytes() for row in total], pa.binary())], ["i", "counts"])
+            [pa.array(at, pa.int64()), pa.array(total.reshape(-1)[at], pa.float64())], ["at", "n"])
 
-    total = np.zeros((len(languages), BUCKETS))
-    for r in map_arrow(sample.coalesce(4), run, "i int, counts binary").collect():
-        total[r["i"]] += np.frombuffer(r["counts"])
-    return total
+    rows = map_arrow(sample.coalesce(max(4, len(languages))), run, "at long, n double")
+    found = rows.groupBy("at").agg(F.sum("n").alias("n")).toArrow()
+    total = np.zeros(len(languages) * BUCKETS)
+    total[found["at"].to_numpy()] = found["n"].to_numpy()
+    return total.reshape(len(languages), BUCKETS)
+
+
+def _fitted(languages: list[str], counts: np.ndarray) -> TextModel | None:
+    """The model of the languages that have trigrams; None without any."""
+    some = np.flatnonzero(counts.sum(axis=1))
+    return TextModel([languages[i] for i in some], counts[some]) if len(some) else None
 
 
 def train(records: DataFrame, sample: int = SAMPLE) -> TextModel | None:
     """The text models of the declared languages; None without any. ``records``
-    has (fid, row, text, declared)."""
-    order = F.xxhash64("fid", "row")
-    chosen = (records.filter(F.col("declared").isNotNull()).select("fid", "row", "declared")
-              .orderBy(order, "fid", "row").limit(sample))
-    chosen = written(chosen, "language-sample-keys")
-    seen = chosen.groupBy("declared").count().filter(F.col("count") >= LEAST_RECORDS).collect()
-    languages = sorted(r["declared"] for r in seen)
+    has (fid, row, text, declared); of each declaration about ``sample`` are read."""
+    seen = written(records.filter(F.col("declared").isNotNull()).groupBy("declared").agg(
+        F.count(F.lit(1)).alias("n")).filter(F.col("n") >= LEAST_RECORDS), "language-declarations")
+    languages = sorted(r["declared"] for r in seen.collect())
     if not languages:
         return None
-    rows = written(records.select("fid", "row", "text").join(
-        F.broadcast(chosen), ["fid", "row"]).select("text", "declared"), "language-sample")
-    first = TextModel(languages, _counts(rows, languages, None))
-    return TextModel(languages, _counts(rows, languages, first))
+    # a hash is uniform: the least sample / n of a declaration's are about sample
+    place = F.xxhash64("fid", "row") / F.lit(2.0**64) + 0.5
+    rows = written(records.select("fid", "row", "text", "declared").join(
+        F.broadcast(seen), "declared").filter(place * F.col("n") <= sample)
+        .select("text", "declared"), "language-sample")
+    first = _fitted(languages, _counts(rows, languages, None))
+    if first is None:
+        return None
+    return _fitted(first.languages, _counts(rows, first.languages, first))
 
 
 # ---------------------------------------------------------------- evidence

@@ -1,12 +1,13 @@
 """Language ID."""
 
+import random
 from collections import Counter
 
 from pyspark.sql import functions as F
 
 from marksman.llm import language_id
 from marksman.llm.exact_dedup import located
-from tests.llm.data import COLUMNS, documents, hard_cases
+from tests.llm.data import COLUMNS, WORDS, documents, hard_cases
 
 
 def found(records):
@@ -87,3 +88,28 @@ def test_empty_and_undeclared(spark, tmp_path):
     docs = documents(spark, tmp_path).withColumn("lang", F.lit(None).cast("string"))
     rows = language_id.identified(docs).collect()
     assert {r["__language"] for r in rows} == {"und"} and any(r["__kept"] for r in rows)
+
+
+def test_rare_languages_have_models_at_every_size(spark, tmp_path):
+    """12 of 1 500 records are Greek, far fewer than a sample of the table holds;
+    a rare declaration without texts must not keep the junk."""
+    draw = random.Random(5)
+    def text(words):
+        return " ".join(draw.choice(words) for _ in range(60))
+    def junk():
+        return " ".join("".join(draw.choice("bcdfghjklmnpqrstvwxz") for _ in range(7)) for _ in range(60))
+    greek = "και το της που για από ένα στην είναι δεν θα με σε τους μας όταν ημέρα".split()
+    rows = [(text(WORDS), "en") for _ in range(1460)]
+    rows += [(text(greek), "el") for _ in range(12)]
+    rows += [("1 2 3", "zz")] * 12 + [(junk(), None) for _ in range(8)] + [(text(greek), None)] * 8
+    path = str(tmp_path / "rare")
+    (spark.createDataFrame([(1, i, t, d, None, None) for i, (t, d) in enumerate(rows)],
+                           "fid long, row long, text string, declared string, host string, "
+                           "suffix string").write.parquet(path))
+    records = spark.read.parquet(path)
+    model = language_id.train(records, sample=100)
+    assert model.languages == ["el", "en"]
+    got = {r.row: (r.language, r.kept) for r in language_id.identify(records, model).collect()}
+    assert {got[i] for i in range(1460)} == {("en", True)}
+    assert {got[i] for i in [*range(1460, 1472), *range(1492, 1500)]} == {("el", True)}
+    assert {got[i] for i in range(1472, 1492)} == {("und", False)}
