@@ -20,12 +20,18 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Language of every document from its text, declaration and host."""
-    docs = exact_dedup.located(read_table(spark, sf_dir, "documents"))
-    records = language_id.document_records(docs)
-    found = language_id.identify(records, language_id.train(records))
-    ids = docs.select(F.xxhash64("__file").alias("fid"), F.col("__row").alias("row"), "doc_id")
-    return ids.join(found, ["fid", "row"]).drop("fid", "row")
+    """Language of every document from its text, declaration and host, and of
+    every page from its text, markup, suffix, host and domain."""
+    out = []
+    for table, key, records_of in (("documents", "doc_id", language_id.document_records),
+                                   ("pages", "page_id", language_id.page_records)):
+        rows = exact_dedup.located(read_table(spark, sf_dir, table))
+        records = records_of(rows)
+        found = language_id.identify(records, language_id.train(records))
+        ids = rows.select(F.xxhash64("__file").alias("fid"), F.col("__row").alias("row"), key,
+                          F.lit(table).alias("table"))
+        out.append(ids.join(found, ["fid", "row"]).drop("fid", "row"))
+    return out[0].unionByName(out[1], allowMissingColumns=True)
 
 
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,6 +6,7 @@ from collections import Counter
 from pyspark.sql import functions as F
 
 from marksman.llm import language_id
+from marksman.llm.queries import op2_language_id
 from marksman.llm.exact_dedup import located
 from tests.llm.data import COLUMNS, WORDS, documents, hard_cases
 
@@ -113,3 +114,18 @@ def test_rare_languages_have_models_at_every_size(spark, tmp_path):
     assert {got[i] for i in range(1460)} == {("en", True)}
     assert {got[i] for i in [*range(1460, 1472), *range(1492, 1500)]} == {("el", True)}
     assert {got[i] for i in range(1472, 1492)} == {("und", False)}
+
+
+def test_query_identifies_documents_and_pages(spark):
+    folder = "/root/testdata/sf0.01"
+    rows = op2_language_id(spark, folder).collect()
+    for table, key in (("documents", "doc_id"), ("pages", "page_id")):
+        ids = [r[key] for r in spark.read.parquet(f"{folder}/{table}.parquet").select(key).collect()]
+        assert Counter(r[key] for r in rows if r.table == table) == Counter(ids)
+    located_pages = located(spark.read.parquet(f"{folder}/pages.parquet"))
+    declared = {r.page_id: r.declared for r in language_id.page_records(located_pages).join(
+        located_pages.select(F.xxhash64("__file").alias("fid"), F.col("__row").alias("row"),
+                             "page_id"), ["fid", "row"]).collect()}
+    pages = [r for r in rows if r.table == "pages"]
+    assert all(r.doc_id is None for r in pages)
+    assert sum(r.language == declared[r.page_id] for r in pages) >= 0.95 * len(pages)
