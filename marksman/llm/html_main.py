@@ -62,6 +62,9 @@ _INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "da
            "img"}
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param",
          "source", "track", "wbr"}
+# What stands in a head; anything else ends one that is still open.
+_HEAD = {"base", "basefont", "bgsound", "head", "html", "link", "meta", "noframes", "noscript",
+         "script", "style", "template", "title"}
 # An element that one of these begins closes an open one of the listed kinds.
 _CLOSES = {"p": {"p"}, "li": {"li", "p"}, "dt": {"dt", "dd", "p"}, "dd": {"dt", "dd", "p"},
            "tr": {"tr", "td", "th", "p"}, "td": {"td", "th", "p"}, "th": {"td", "th", "p"}}
@@ -99,7 +102,17 @@ class _Blocks(HTMLParser):
         del self.stack[depth:]
         self.kind, self.skipped = self.stack[-1][1:] if self.stack else (OPEN, False)
 
+    def _end_head(self, anywhere: bool = False) -> None:
+        for depth in range(len(self.stack) - 1, -1, -1):
+            if self.stack[depth][0] == "head":
+                self._pop(depth)
+                return
+            if not anywhere:
+                return
+
     def handle_starttag(self, tag, attrs):
+        if tag not in _HEAD:
+            self._end_head(tag == "body")
         if tag in _VOID:
             if tag not in _INLINE:
                 self.parts.append(" ")
@@ -147,6 +160,8 @@ class _Blocks(HTMLParser):
                 return  # a stray inline end does not leave its block
 
     def handle_data(self, data):
+        if self.skipped and data.strip():
+            self._end_head()
         if not self.skipped:
             self.parts.append(data)
 

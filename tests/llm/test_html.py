@@ -40,6 +40,15 @@ def test_broken_markup():
         (FURNITURE, "h"), (FURNITURE, "r"), (ARTICLE, "x")]
 
 
+def test_head_without_end_tag():
+    head = "<html><head><meta charset=utf-8><title>T</title><style>p{}</style><script>x</script>"
+    for body in ("<body><article><p>one</article>", "<article><p>one</article>",
+                 "<link rel=x><br><main>one</main>", "<body class=x><main><b>one</b></main></head>"):
+        assert blocks(head + body) == [(ARTICLE, "one")]
+    assert blocks(head + " one") == [(OPEN, "one")]
+    assert blocks(head + "</head> <body>one") == [(OPEN, "one")]
+
+
 def test_small_table(spark):
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
     want = {}
