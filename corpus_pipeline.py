@@ -46,8 +46,7 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without their repeated long strings."""
     rows = suffix_dedup.without_repeats(docs)
-    # a cut inside a character leaves bytes that are no text
-    whole = F.translate(F.make_valid_utf8(F.col("__kept").cast("string")), "�", "")
+    whole = suffix_dedup.kept_text(F.col("__bytes"), F.col("__spans"))
     cut = F.size("__spans") > 0
     out = rows.withColumn("text", F.when(cut, whole).otherwise(F.col("text")))
     if "n_chars" in docs.columns:

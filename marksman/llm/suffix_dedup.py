@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marksman.llm.common import arrow_rows, map_arrow, text_or_empty, written
+from marksman.llm.common import arrow_rows, let, map_arrow, text_or_empty, written
 from marksman.llm.exact_dedup import located
 from marksman.llm.suffix_array import common_prefixes, first_eight, suffix_array
 from marksman.plans.sizing import broadcast_if_small
@@ -523,6 +523,24 @@ def _kept_bytes(raw: Column, spans: Column) -> Column:
     return F.unhex(F.array_join(parts, ""))
 
 
+def kept_text(raw: Column, spans: Column) -> Column:
+    """The text of ``raw`` without its spans and the characters they cut in two."""
+    def text(b: Column) -> Column:
+        def inside(at: Column) -> Column:  # a byte that continues a character
+            byte = F.hex(b.substr((at + 1).cast("int"), F.lit(1)))
+            return (byte >= "80") & (byte < "C0")
+
+        def moved(at: Column, step: int) -> Column:
+            return F.when(~inside(at), at).when(~inside(at + step), at + step).when(
+                ~inside(at + 2 * step), at + 2 * step).otherwise(at + 3 * step)
+
+        whole = F.transform(spans, lambda s: F.struct(
+            moved(s["start"], -1).alias("start"), moved(s["end"], 1).alias("end")))
+        return let(whole, lambda s: _kept_bytes(b, s))
+
+    return let(raw, text).cast("string")
+
+
 def without_repeats(docs: DataFrame, length: int = LENGTH, text: str = "text") -> DataFrame:
     """``docs`` with three more columns: ``__bytes`` (the text's UTF-8),
     ``__kept`` (what is left of it) and ``__spans`` (what was removed)."""
@@ -541,5 +559,5 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, text: str = "text") -
                            "array<struct<start:bigint,end:bigint>>")).alias("__spans"))
 
 
-__all__ = ["LENGTH", "Hashes", "cross_shard_spans", "find_runs", "merge_runs", "merged_spans",
+__all__ = ["LENGTH", "Hashes", "cross_shard_spans", "find_runs", "kept_text", "merge_runs", "merged_spans",
            "repeated_spans", "repeated_windows", "runs", "shard_spans", "without_repeats"]

@@ -4,7 +4,7 @@ from collections import Counter
 
 import corpus_pipeline
 from marksman.llm import queries
-from tests.llm.data import documents, hard_cases
+from tests.llm.data import documents, hard_cases, prose
 from tests.llm.test_near import components
 from tests.llm.test_suffix import brute
 from tests.llm.test_tokens import check_pieces
@@ -43,6 +43,17 @@ def test_stages(spark, tmp_path):
     check_pieces(rows(four), step("packing", four).collect(), 1024)
 
 
+def test_cuts_at_characters_keep_replacement_characters(spark, tmp_path):
+    """The repeated bytes begin and end inside of characters."""
+    passage = prose(120, 2)
+    docs = documents(spark, tmp_path, [(1, f"own \ufffd one \u00e9{passage}\u00e9 end \ufffd"),
+                                       (2, f"two \u0129{passage}\u00e8 last"), (3, "\ufffd")])
+    rows = corpus_pipeline.repeats(spark, docs, "").collect()
+    assert {r.doc_id: r.text for r in rows} == {
+        1: "own \ufffd one  end \ufffd", 2: "two  last", 3: "\ufffd"}
+    assert all(r.n_chars == len(r.text) for r in rows)
+
+
 def test_empty(spark, tmp_path):
     docs = documents(spark, tmp_path).filter("false")
     for name, stage in corpus_pipeline.STAGES:
