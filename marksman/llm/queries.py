@@ -8,7 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marksman.llm import bag_minhash, exact_dedup, fingerprints, html_main, language_id, packing, piece_bpe, rans, suffix_dedup, toxicity
+from marksman.llm import (bag_minhash, exact_dedup, fingerprints, html_main, language_id, max_sketch,
+                          oracle, packing, piece_bpe, prefix_trie, rans, suffix_dedup, toxicity,
+                          word_windows)
 from marksman.llm.common import read_table
 
 
@@ -87,6 +89,26 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprints(read_table(spark, sf_dir, "documents"))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents for every benchmark item."""
+    return max_sketch.search(read_table(spark, sf_dir, "documents"),
+                             read_table(spark, sf_dir, "benchmark"), 10)
+
+
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the runs of 20 words that start earlier, too."""
+    rows = word_windows.without_repeats(read_table(spark, sf_dir, "documents"), 20)
+    return rows.select("doc_id", F.col("__n_words").alias("n_words"),
+                       F.col("__n_removed").alias("n_removed"),
+                       F.sha2("__kept", 256).alias("kept_sha256"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nodes of the trie of rebuilt conversations."""
+    own = prefix_trie.turns(read_table(spark, sf_dir, "conversations"))
+    return prefix_trie.prefix_nodes(prefix_trie.rebuilt(own))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_language_id": op2_language_id,
@@ -98,11 +120,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_main_text": op9_main_text,
     "op10_fingerprints": op10_fingerprints,
+    "op11_ranked_search": op11_ranked_search,
+    "op12_substring_dedup": op12_substring_dedup,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 ORACLE_SQL: dict[str, str] = {
-    "op1_exact_dedup": """
-        SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
-               doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
-        FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))""",
+    "op1_exact_dedup": oracle.EXACT_DEDUP,
+    "op11_ranked_search": oracle.RANKED_SEARCH,
+    "op12_substring_dedup": oracle.SUBSTRING_DEDUP,
+    "op13_prefix_trie": oracle.PREFIX_TRIE,
 }
