@@ -96,8 +96,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._scratch = path
+    return out
 
 
-__all__ = ["arrow_rows", "checkpointed", "let", "map_arrow", "read_table", "scratch_path", "ship",
+def discard(df: DataFrame) -> None:
+    """Delete the files of a ``written`` table once all that reads it is written."""
+    path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._scratch)
+    path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+__all__ = ["arrow_rows", "checkpointed", "discard", "let", "map_arrow", "read_table", "scratch_path", "ship",
            "text_or_empty", "written"]

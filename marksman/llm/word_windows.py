@@ -45,7 +45,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marksman.llm.common import arrow_rows, map_arrow, text_or_empty, written
+from marksman.llm.common import arrow_rows, discard, map_arrow, text_or_empty, written
 from marksman.llm.exact_dedup import located
 from marksman.llm.suffix_dedup import _window_least, mixed
 from marksman.plans.sizing import DEFAULT_BROADCAST_MAX_ROWS, broadcast_if_small
@@ -249,8 +249,9 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     base = length // 4
     found = written(runs(docs, length), "windows-runs")
     anchors = found.groupBy("a").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    found = written(joined(found, written(anchors, "windows-anchors"), ["a"]).drop("n"),
-                    "windows-repeated")
+    every, found = found, written(
+        joined(found, written(anchors, "windows-anchors"), ["a"]).drop("n"), "windows-repeated")
+    discard(every)
     key = ["a", "c", "windows", "off"]
     groups = written(found.groupBy(*key).agg(
         F.count(F.lit(1)).alias("n"), F.min(_order()).alias("first"), F.first("l").alias("l"),
