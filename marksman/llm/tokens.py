@@ -5,8 +5,9 @@ across a single space that has a non-space on both sides: the match before it
 ends there and the next one begins with it. So a text whose spaces are all of
 that kind is the concatenation of its words (" word", the first without the
 space), and the ids of a word can be kept. Words not seen yet are encoded by
-the library in one call per batch; texts with other white space beside a space
-go to the library whole. At ``MAX_WORDS`` the cache keeps only the words of the
+the library in one call per batch; texts with other white space beside a space,
+or with the content of one of the vocabulary's added tokens (which the library
+finds before it splits), go to the library whole. At ``MAX_WORDS`` the cache keeps only the words of the
 texts at hand; that costs time, never changes ids.
 """
 
@@ -34,16 +35,15 @@ class WordTokenizer:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.lib = Tokenizer.from_file(path)
-        self.lib.encode_special_tokens = True
         # words come to the library once each: its own cache would only cost
         self.once = Tokenizer.from_file(path)
-        self.once.encode_special_tokens = True
         model = self.once.model
         if hasattr(model, "_resize_cache"):
             model._resize_cache(0)
             self.once.model = model
         if self.lib.get_vocab_size() > 1 << 16:
             raise ValueError("ids do not fit 16 bits")
+        self.added = [t.content for t in self.lib.get_added_tokens_decoder().values()]
         self.starts = np.zeros(1 << 16, bool)  # ids of tokens that begin with a space
         for token, i in self.lib.get_vocab().items():
             self.starts[i] = token.startswith("\u0120")
@@ -59,7 +59,7 @@ class WordTokenizer:
 
     def _learn(self, split: list[list[str]]) -> None:
         """Put the words of these texts that are not kept yet into the cache."""
-        heads = {p[0] for p in split}.difference(self.heads)
+        heads = {p[0] for p in split if p}.difference(self.heads)
         tails = set().union(*split).difference(self.words)  # text heads too: harmless
         heads, tails = ([p for p in ps if p and not p[0].isspace() and not p[-1].isspace()
                          and len(p) <= MAX_WORD_CHARS] for ps in (heads, tails))
@@ -97,14 +97,14 @@ class WordTokenizer:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as bytes."""
-        split = [t.split(" ") for t in texts]
+        split = [[] if any(a in t for a in self.added) else t.split(" ") for t in texts]
         if len(self.words) + len(self.heads) > MAX_WORDS:  # keep what is in use now
             known = self.words
             self.words = {w: known[w] for w in set().union(*split).intersection(known)}
             self.heads.clear()
         self._learn(split)
-        out = [self._joined(parts) for parts in split]
-        # left: texts with white space beside a space, or a very long word
+        out = [self._joined(parts) if parts else None for parts in split]
+        # left: texts with white space beside a space, an added token or a very long word
         whole = [i for i, ids in enumerate(out) if ids is None]
         for i, ids in zip(whole, self._encode([texts[i] for i in whole]), strict=True):
             out[i] = ids

@@ -15,7 +15,6 @@ from marksman.llm.tokens import WordTokenizer, default_vocabulary
 from tests.llm.data import documents, hard_cases
 
 LIB = Tokenizer.from_file(default_vocabulary())
-LIB.encode_special_tokens = True
 OWN = WordTokenizer(default_vocabulary())
 TEXT = st.text(st.sampled_from("ab c de.,!'s\n\t  é日9<|endoftext|>"), max_size=60)
 
@@ -31,6 +30,16 @@ def test_words_give_the_library_ids(texts):
     assert got == [expected(t).tolist() for t in texts]
 
 
+def test_added_tokens_are_the_library_ids():
+    added = [t.content for t in LIB.get_added_tokens_decoder().values()]
+    assert added
+    texts = [f"a{a}b" for a in added] + [f"one {a} two  x{a}" for a in added] + [
+        a[:-1] for a in added] + [a + a for a in added]
+    got = [np.frombuffer(x, "<u2").tolist() for x in OWN.encode(texts)]
+    assert got == [expected(t).tolist() for t in texts]
+    assert got[0] == [64, 50256, 65]
+
+
 def test_ids_survive_an_emptied_cache(monkeypatch):
     monkeypatch.setattr("marksman.llm.tokens.MAX_WORDS", 3)
     tok = WordTokenizer(default_vocabulary())
