@@ -33,6 +33,7 @@ processed whole.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marksman.llm.common import map_arrow, text_or_empty, written
+from marksman.llm.common import hot_keys, joined, map_arrow, text_or_empty, written
 from marksman.llm.exact_dedup import located
 from marksman.llm.suffix_dedup import Hashes, mixed
 from marksman.plans.sizing import broadcast_if_small
@@ -139,24 +140,21 @@ def band_keys(value: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np.nda
     return out
 
 
-def _joined(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """The texts' bytes, each with a line feed, and where each begins."""
-    raw = [t.encode() for t in texts]
-    sizes = np.array([len(r) + 1 for r in raw], np.int64)
-    data = np.frombuffer(b"\n".join(raw) + b"\n", np.uint8)
-    return data, np.cumsum(sizes) - sizes
+def _joined(texts: list[str]) -> np.ndarray:
+    """The texts' bytes, each with a line feed."""
+    return np.frombuffer("\n".join([*texts, ""]).encode(), np.uint8)
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """``SIGNATURES`` of (doc_id, fid, row, text): digest of the words, band hashes
+    """``SIGNATURES`` of (doc_id, fid, row, text): SHA-256 (16 bytes) of the words, band hashes
     (none without words) and the low 16 bits of each signature value."""
     def some(ids: pa.RecordBatch, texts: list[str], hashes: Hashes) -> pa.RecordBatch:
-        data, begin = _joined(texts)
-        end = np.append(begin[1:], len(data)) - 1
+        data = _joined(texts)
         doc, item, count, n_words = shingle_counts(data, len(texts), hashes)
         value = bag_minhash(doc, item, count, len(texts))
         keys = band_keys(value).view(np.int64)
-        d1, d2 = (hashes.spans(data, begin, end, k).view(np.int64) for k in (0, 1))
+        d1, d2 = np.frombuffer(b"".join(hashlib.sha256(t.encode()).digest()[:16] for t in texts),
+                               np.int64).reshape(-1, 2).T
         low = (value & np.uint64(0xFFFF)).astype("<u2")
         return pa.RecordBatch.from_arrays(
             [*ids.columns[:3], pa.array(d1), pa.array(d2),
@@ -201,7 +199,7 @@ def verified(pairs: DataFrame, texts: DataFrame, threshold: float = THRESHOLD) -
         hashes = Hashes()
 
         def bag(text: str) -> tuple[np.ndarray, np.ndarray]:
-            _, item, count, _ = shingle_counts(_joined([normal_words(text)])[0], 1, hashes)
+            _, item, count, _ = shingle_counts(_joined([normal_words(text)]), 1, hashes)
             return item, count
 
         known: tuple[int, tuple] | None = None
@@ -295,7 +293,9 @@ def near_groups(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     labels = written(involved.select("node", F.col("node").alias("label")), "near-labels")
     tested = None
     for turn in range(PIVOT_TURNS + 1):
-        pairs = (_pivot_pairs(buckets, labels, tested) if turn < PIVOT_TURNS
+        sizes = written(buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")), "near-sizes")
+        hot = hot_keys(sizes, ["bucket"])
+        pairs = (_pivot_pairs(buckets, sizes, labels, tested, hot) if turn < PIVOT_TURNS
                  else _prefix_pairs(texts.join(buckets.select("node").distinct(), "node",
                                                "left_semi"), labels, tested))
         pairs = written(pairs, "near-pairs")
@@ -304,7 +304,7 @@ def near_groups(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         links = written(verified(agreeing, texts), "near-links")
         labels = contracted(labels, links)
         tested = pairs if tested is None else tested.unionByName(pairs)
-        buckets = written(_open_buckets(buckets, labels), "near-buckets")
+        buckets = written(_open_buckets(buckets, labels, hot), "near-buckets")
         if buckets.isEmpty():
             break
     groups = nodes.select("d1", "d2", "node").join(labels, "node", "left")
@@ -312,31 +312,31 @@ def near_groups(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
             groups.select("d1", "d2", F.coalesce("label", "node").alias("label")))
 
 
-def _open_buckets(buckets: DataFrame, labels: DataFrame) -> DataFrame:
+def _open_buckets(buckets: DataFrame, labels: DataFrame, hot: DataFrame | None) -> DataFrame:
     """Buckets that still span several components."""
     rows = buckets.join(labels, "node")
     several = (rows.groupBy("bucket").agg(F.min("label").alias("a"), F.max("label").alias("b"))
                .filter("a <> b").select("bucket"))
-    return buckets.join(several, "bucket", "left_semi")
+    return joined(buckets, several, ["bucket"], hot)
 
 
-def _pivot_pairs(buckets: DataFrame, labels: DataFrame, tested: DataFrame | None) -> DataFrame:
+def _pivot_pairs(buckets: DataFrame, sizes: DataFrame, labels: DataFrame,
+                 tested: DataFrame | None, hot: DataFrame | None) -> DataFrame:
     """Pairs (u < v) to test: in every bucket a pivot with all nodes of other
     components. The pivot is the node that meets most others in its buckets (of
     edited copies the one nearest to all), later one outside the bucket's
-    largest component."""
-    rows = buckets.join(labels, "node")
-    size = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
-    met = rows.join(size, "bucket").groupBy("node").agg(F.sum("n").alias("met"))
-    rows = rows.join(met, "node")
+    largest component. ``sizes`` has the buckets' nodes, ``hot`` the buckets that
+    must not meet in one task."""
+    met = joined(buckets, sizes, ["bucket"], hot).groupBy("node").agg(F.sum("n").alias("met"))
+    rows = buckets.join(labels, "node").join(met, "node")
     apart = rows
     if tested is not None:
         largest = (rows.groupBy("bucket", "label").count().groupBy("bucket")
                    .agg(F.max(F.struct("count", "label"))["label"].alias("main")))
-        apart = rows.join(largest, "bucket").filter("label <> main")
+        apart = joined(rows, largest, ["bucket"], hot).filter("label <> main")
     pivots = apart.groupBy("bucket").agg(F.max(F.struct("met", "node", "label")).alias("p")).select(
         "bucket", F.col("p.node").alias("pivot"), F.col("p.label").alias("own"))
-    pairs = (rows.join(pivots, "bucket").filter("label <> own")
+    pairs = (joined(rows, pivots, ["bucket"], hot).filter("label <> own")
              .select(F.least("node", "pivot").alias("u"), F.greatest("node", "pivot").alias("v"))
              .distinct())
     return pairs if tested is None else pairs.join(tested, ["u", "v"], "left_anti")
@@ -352,7 +352,7 @@ def _prefix_pairs(texts: DataFrame, labels: DataFrame, tested: DataFrame) -> Dat
         for batch in batches:
             for i in range(batch.num_rows):
                 _, item, count, _ = shingle_counts(
-                    _joined([normal_words(batch.column(1)[i].as_py())])[0], 1, hashes)
+                    _joined([normal_words(batch.column(1)[i].as_py())]), 1, hashes)
                 each = np.repeat(item, count)
                 copy = np.arange(len(each)) - np.repeat(np.cumsum(count) - count, count)
                 token = mixed(each + copy.astype(np.uint64)).view(np.int64)

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from marksman.plans.sizing import checkpointed, scratch_path
+from marksman.plans.sizing import broadcast_if_small, checkpointed, scratch_path
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -107,5 +107,38 @@ def discard(df: DataFrame) -> None:
     path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
-__all__ = ["arrow_rows", "checkpointed", "discard", "let", "map_arrow", "read_table", "scratch_path", "ship",
+# A key is hot from so many rows on, and never more than so many keys are.
+HOT, HOT_KEYS = 2_000, 100_000
+
+
+def hot_keys(sizes: DataFrame, keys: list[str], n: str = "n") -> DataFrame | None:
+    """The keys with by far the most rows, of a (written) table with a row for each
+    key and its number of rows: those of over ``HOT`` rows, and of over a
+    1/``HOT_KEYS`` of all. There cannot be more than ``HOT_KEYS``, so they may be
+    broadcast whatever the size of the data. None if there are none."""
+    total, top = sizes.agg(F.sum(n), F.max(n)).first()
+    bar = max(HOT, (total or 0) // HOT_KEYS)
+    return sizes.filter(F.col(n) > bar).select(*keys) if top and top > bar else None
+
+
+def joined(rows: DataFrame, table: DataFrame, keys: list[str],
+           hot: DataFrame | None) -> DataFrame:
+    """``rows`` inner joined with ``table``, which has one row a key. Rows of hot
+    keys stay where they are and meet a broadcast part of the table, so none of
+    these keys meets in one task; the others are shuffled."""
+    if hot is None:
+        return rows.join(table, keys)
+    hot = F.broadcast(hot)
+    often = rows.join(F.broadcast(table.join(hot, keys, "left_semi")), keys)
+    return often.unionByName(rows.join(hot, keys, "left_anti").join(table, keys))
+
+
+def joined_by_size(rows: DataFrame, table: DataFrame, keys: list[str], n: str = "n") -> DataFrame:
+    """``joined`` with a written table that has each key's number of rows in ``n``;
+    a small one is broadcast as a whole."""
+    whole, fits = broadcast_if_small(table)
+    return rows.join(whole, keys) if fits else joined(rows, table, keys, hot_keys(table, keys, n))
+
+
+__all__ = ["arrow_rows", "checkpointed", "discard", "hot_keys", "joined", "joined_by_size", "let", "map_arrow", "read_table", "scratch_path", "ship",
            "text_or_empty", "written"]

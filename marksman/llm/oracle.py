@@ -53,7 +53,7 @@ kept AS (
     SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY place) AS text
     FROM each_word ANTI JOIN gone USING (doc_id, place) GROUP BY doc_id)
 SELECT doc_id, len(words)::BIGINT AS n_words, len(words) - coalesce(n, 0) AS n_removed,
-       sha256(coalesce(text, '')) AS kept_sha256
+       sha256(coalesce(text, '')) AS kept_sha256, coalesce(text, '') AS text
 FROM d LEFT JOIN kept USING (doc_id)"""
 
 PREFIX_TRIE = r"""

@@ -74,7 +74,10 @@ def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     size, left = F.octet_length("__bytes").cast("long"), F.octet_length("__kept").cast("long")
     return rows.select("doc_id", size.alias("n_bytes"), (size - left).alias("n_removed"),
                        F.size("__spans").cast("long").alias("n_spans"),
-                       F.sha2("__kept", 256).alias("kept_sha256"))
+                       F.sha2("__kept", 256).alias("kept_sha256"),
+                       F.when(F.size("__spans") > 0, suffix_dedup.kept_text(
+                           F.col("__bytes"), F.col("__spans"))).otherwise(
+                           F.coalesce("text", F.lit(""))).alias("text"))
 
 
 def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -100,7 +103,7 @@ def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = word_windows.without_repeats(read_table(spark, sf_dir, "documents"), 20)
     return rows.select("doc_id", F.col("__n_words").alias("n_words"),
                        F.col("__n_removed").alias("n_removed"),
-                       F.sha2("__kept", 256).alias("kept_sha256"))
+                       F.sha2("__kept", 256).alias("kept_sha256"), F.col("__kept").alias("text"))
 
 
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -23,6 +23,11 @@ judged on the input.
    bits.
 5. Spans are joined back to their documents, merged and cut out.
 
+With ``first`` the first document that has a window keeps it (all its places), and
+what one document repeats in itself does not count: of equal contexts those of
+later documents go as a whole, in a shard all windows that an earlier document of
+it has, and of split anchors those of which another shard has an earlier one.
+
 Documents are identified by the file and row they come from. All texts are read
 whole; a text is processed in pieces of ``PIECE`` window starts. ``repeated_spans``
 also serves streams of codes of ``unit`` bytes (windows then start at whole codes)
@@ -40,10 +45,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marksman.llm.common import arrow_rows, let, map_arrow, text_or_empty, written
+from marksman.llm.common import arrow_rows, hot_keys, joined, let, map_arrow, text_or_empty, written
 from marksman.llm.exact_dedup import located
 from marksman.llm.suffix_array import common_prefixes, first_eight, suffix_array
 from marksman.plans.sizing import broadcast_if_small
@@ -61,8 +66,37 @@ SHARD_OUT = (SPANS + ", a long, bucket int, d1 binary, d2 binary, fids binary, r
              "places binary")
 
 
+_PRIME = np.uint64((1 << 61) - 1)
+_LOW32, _LOW29 = np.uint64((1 << 32) - 1), np.uint64((1 << 29) - 1)
+_29, _32, _61 = np.uint64(29), np.uint64(32), np.uint64(61)
+
+
+def _folded(x: np.ndarray) -> np.ndarray:
+    """``x`` modulo 2^61 - 1, but for a few ones above it."""
+    return (x & _PRIME) + (x >> _61)
+
+
+def _canonical(x: np.ndarray) -> np.ndarray:
+    x = _folded(x)
+    return np.where(x >= _PRIME, x - _PRIME, x)
+
+
+def _up32(x: np.ndarray) -> np.ndarray:
+    """``x`` (below 2^63) times 2^32 modulo 2^61 - 1, folded."""
+    return (x >> _29) + ((x & _LOW29) << _32)
+
+
+def product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """``a * b`` modulo 2^61 - 1 of numbers below that."""
+    ah, al, bh, bl = a >> _32, a & _LOW32, b >> _32, b & _LOW32
+    middle = _up32(ah * bl + al * bh)
+    return _canonical(_folded(al * bl) + _folded(middle) + ((ah * bh) << np.uint64(3)))
+
+
 class Hashes:
-    """Random tables and multipliers for the rolling hashes (fixed by a seed)."""
+    """Random tables and multipliers for the rolling hashes (fixed by a seed).
+    Spans are hashed by a polynomial modulo a prime: modulo a power of two some
+    texts (Thue-Morse words) collide whatever the base."""
 
     def __init__(self, seed: int = 20):
         rng = np.random.default_rng(seed)
@@ -70,10 +104,11 @@ class Hashes:
         def odd(n: int) -> np.ndarray:
             return rng.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
-        self.tables = [odd(256) for _ in range(3)]
+        self.tables = [odd(256), *(rng.integers(1, 1 << 32, 256, dtype=np.uint64) for _ in range(2))]
         self.steps = odd(5)
-        self.bases = odd(2)
-        self.powers: list[tuple[np.ndarray, np.ndarray]] = []
+        self.salt = odd(1)[0]
+        self.bases = rng.integers(1 << 60, (1 << 61) - 1, 2, dtype=np.uint64)
+        self.powers = [(np.ones(1, np.uint64), np.ones(1, np.uint64))] * 2
 
     def grams(self, data: np.ndarray) -> np.ndarray:
         """Hash of the ``GRAM`` (2^5) bytes from every place on."""
@@ -84,25 +119,27 @@ class Hashes:
         return mixed(h)
 
     def _powers(self, n: int, k: int) -> tuple[np.ndarray, np.ndarray]:
-        while len(self.powers) < 2:
-            self.powers.append((np.zeros(0, np.uint64), np.zeros(0, np.uint64)))
-        if len(self.powers[k][0]) < n:
+        """Powers of a base and of its inverse, at least ``n`` of them."""
+        while len(self.powers[k][0]) < n:
+            have, prime = len(self.powers[k][0]), (1 << 61) - 1
             base = int(self.bases[k])
-            both = []
-            for b in (base, pow(base, -1, 1 << 64)):
-                p = np.full(n, b, np.uint64)
-                p[0] = 1
-                both.append(np.multiply.accumulate(p))
-            self.powers[k] = (both[0], both[1])
+            self.powers[k] = tuple(
+                np.append(p, product(p, np.uint64(pow(b, have, prime))))
+                for p, b in zip(self.powers[k], (base, pow(base, -1, prime)), strict=True))
         return self.powers[k]
 
     def spans(self, data: np.ndarray, start: np.ndarray, end: np.ndarray,
               k: int = 0) -> np.ndarray:
         """Hash of the bytes [start, end) for many spans."""
-        up, down = self._powers(len(data) + 1, k)
-        total = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(self.tables[1 + k][data] * up[:len(data)], out=total[1:])
-        return mixed((total[end] - total[start]) * down[start])
+        n = len(data)
+        up, down = self._powers(n + 1, k)
+        value = self.tables[1 + k][data]
+        each = _folded(_folded(value * (up[:n] & _LOW32)) + _up32(value * (up[:n] >> _32)))
+        low, high = np.zeros(n + 1, np.uint64), np.zeros(n + 1, np.uint64)
+        np.cumsum(each & _LOW32, out=low[1:])
+        np.cumsum(each >> _32, out=high[1:])
+        total = _canonical(_folded(low[end] - low[start]) + _folded(_up32(high[end] - high[start])))
+        return mixed(product(total, down[start]))
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -157,7 +194,7 @@ def find_runs(data: np.ndarray, begins: np.ndarray, ends: np.ndarray, length: in
     windows = np.diff(np.append(at, len(starts)))
     off = a[at] - place
     context = hashes.spans(data, place, place + (windows - 1) * unit + length)
-    context = mixed(context + (off * 65536 + windows).astype(np.uint64) * hashes.bases[1])
+    context = mixed(context + (off * 65536 + windows).astype(np.uint64) * hashes.salt)
     piece = np.searchsorted(begins, place, side="right") - 1
     return piece, place, windows, off, gram[a[at]], context
 
@@ -221,10 +258,11 @@ def runs(docs: DataFrame, length: int = LENGTH, unit: int = 1) -> DataFrame:
 # ------------------------------------------------------------ suffix arrays
 
 def repeated_windows(data: np.ndarray, begins: np.ndarray, windows: np.ndarray, length: int,
-                     unit: int = 1, owner: np.ndarray | None = None) -> np.ndarray:
+                     unit: int = 1, owner: np.ndarray | None = None,
+                     later: bool = False) -> np.ndarray:
     """For every window of every context (begins, number of windows), in that
     order: does it occur at another window start of these contexts (one whose
-    context has another owner, if owners are given)?"""
+    context has another owner, if owners are given; a smaller one, if ``later``)?"""
     words = first_eight(data)
     sa = suffix_array(data, length, words)
     shared = common_prefixes(data, sa, length, words) >= length
@@ -239,15 +277,49 @@ def repeated_windows(data: np.ndarray, begins: np.ndarray, windows: np.ndarray,
     first = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
     size = np.diff(np.append(first, len(group)))
     if owner is None:
-        enough = size > 1
+        enough = np.repeat(size > 1, size)
     else:
         of = np.repeat(owner, windows)[window]
-        enough = np.minimum.reduceat(of, first) != np.maximum.reduceat(of, first)
+        least = np.minimum.reduceat(of, first)
+        if later:
+            enough = of > np.repeat(least, size)
+        else:
+            enough = np.repeat(least != np.maximum.reduceat(of, first), size)
     many = np.zeros(len(starts), bool)
-    many[window] = np.repeat(enough, size)
+    many[window] = enough
     return many
 
 
+def later_windows(data: np.ndarray, begins: np.ndarray, windows: np.ndarray, owner: np.ndarray,
+                  length: int, hashes: Hashes) -> np.ndarray:
+    """For every window: does a context of a smaller owner have it, too? Only
+    stretches of windows that share a hash with another owner's go into the
+    suffix array."""
+    starts = _starts(begins, windows)
+    context = np.repeat(np.arange(len(begins)), windows)
+    of = owner[context]
+    digest = hashes.spans(data, starts, starts + length)
+    order = np.argsort(digest, kind="stable")
+    new = np.flatnonzero(np.append(True, np.diff(digest[order]) != 0))
+    apart = np.minimum.reduceat(of[order], new) != np.maximum.reduceat(of[order], new)
+    shared = np.empty(len(starts), bool)
+    shared[order] = np.repeat(apart, np.diff(np.append(new, len(order))))
+    first = shared.copy()
+    first[1:] &= ~shared[:-1] | (context[1:] != context[:-1])
+    at = np.flatnonzero(first)
+    if not len(at):
+        return shared
+    n = np.bincount(np.cumsum(first)[shared] - 1, minlength=len(at))
+    begin = starts[at]
+    size = n + length  # one byte between two stretches
+    own = np.cumsum(size) - size
+    part = np.zeros(int(size.sum()), np.uint8)
+    for b, k, o in zip(begin.tolist(), size.tolist(), own.tolist(), strict=True):
+        part[o:o + k - 1] = data[b:b + k - 1]
+    shared[shared] = repeated_windows(part, own, n, length, 1, of[at], True)
+    return shared
+
+
 def shard_windows(data: np.ndarray, begins: np.ndarray, windows: np.ndarray, times: np.ndarray,
                   length: int, hashes: Hashes) -> np.ndarray:
     """``repeated_windows`` of contexts found ``times`` times (all windows of
@@ -308,8 +380,9 @@ def _covered(starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
 class _Shard:
     """Contexts gathered for one suffix array."""
 
-    def __init__(self, length: int, hashes: Hashes, unit: int, apart: bool):
-        self.length, self.hashes, self.unit, self.apart = length, hashes, unit, apart
+    def __init__(self, length: int, hashes: Hashes, unit: int, apart: bool, first: bool):
+        self.length, self.hashes, self.unit = length, hashes, unit
+        self.apart, self.first = apart, first
         self.rows: list[dict] = []
         self.size = 0
 
@@ -326,7 +399,12 @@ class _Shard:
         sizes = np.array([len(r["bytes"]) for r in rows])
         begins = np.cumsum(sizes + 1) - sizes - 1
         windows = np.array([r["windows"] for r in rows])
-        if not self.apart:
+        if self.first:
+            docs = [(r["fid"], r["row"]) for r in rows]
+            rank = {d: i for i, d in enumerate(sorted(set(docs)))}
+            owner = np.array([rank[d] for d in docs])
+            many = later_windows(data, begins, windows, owner, self.length, self.hashes)
+        elif not self.apart:
             times = np.array([r["n"] for r in rows])
             many = shard_windows(data, begins, windows, times, self.length, self.hashes)
         else:  # a context found in several documents is of none
@@ -357,7 +435,10 @@ class _Shard:
         # -1: occurs twice already, only other shards want to know of it
         place = np.where(many | (n[context] > 1), -1, place)
         order = np.lexsort((d2, d1))
-        order = order[np.append(True, (np.diff(d1[order]) != 0) | (np.diff(d2[order]) != 0))]
+        if self.first:  # all places of the windows' first documents here
+            order = order[~many[order]]
+        else:
+            order = order[np.append(True, (np.diff(d1[order]) != 0) | (np.diff(d2[order]) != 0))]
         buckets = rows[0]["splits"]
         bucket = (d1[order] >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
         cuts = np.searchsorted(bucket, np.arange(buckets + 1, dtype=np.uint64))
@@ -379,11 +460,11 @@ _SPAN_ARROW = pa.schema(list(_SHARD_ARROW)[:4])
 
 
 def shard_spans(contexts: DataFrame, length: int = LENGTH, unit: int = 1,
-                apart: bool = False) -> DataFrame:
+                apart: bool = False, first: bool = False) -> DataFrame:
     """``SHARD_OUT`` of contexts (a, part, splits, n, windows, fid, row, place,
     bytes): one suffix array for several anchors or for a part of one."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, key = _Shard(length, Hashes(), unit, apart), None
+        shard, key = _Shard(length, Hashes(), unit, apart, first), None
         for batch in batches:
             for row in (r for part in arrow_rows(batch, 512) for r in part.to_pylist()):
                 own = (row["a"], row["part"])
@@ -400,20 +481,20 @@ def shard_spans(contexts: DataFrame, length: int = LENGTH, unit: int = 1,
     return map_arrow(ordered, run, SHARD_OUT)
 
 
-def merge_runs(parts: list[dict], length: int) -> list[dict]:
+def merge_runs(parts: list[dict], length: int, first: bool = False) -> list[dict]:
     """Spans of windows that occur in two of these sorted runs (one bucket of
-    one anchor; each run is distinct)."""
+    one anchor; each run is distinct). ``first``: that occur in one of a
+    smaller document (each run has those of its first documents)."""
     arrays = [{k: np.frombuffer(p[k], np.uint64 if k in ("d1", "d2") else np.int64)
                for k in ("d1", "d2", "fids", "rows", "places")} for p in parts]
-    d1 = np.concatenate([x["d1"] for x in arrays])
-    d2 = np.concatenate([x["d2"] for x in arrays])
-    order = np.lexsort((d2, d1))
-    d1, d2 = d1[order], d2[order]
+    d1, d2, fid, row = (np.concatenate([x[k] for x in arrays]) for k in ("d1", "d2", "fids", "rows"))
+    order = np.lexsort((row, fid, d2, d1))
+    d1, d2, fid, row = d1[order], d2[order], fid[order], row[order]
     # a digest's second half as its rank, so that one search finds both halves
     new = np.append(True, (np.diff(d1) != 0) | (np.diff(d2) != 0))
     number = np.cumsum(new)
     size = np.bincount(number)
-    key1, key2, key_n = d1[new], d2[new], size[1:]
+    key1, key2, key_n, key_f, key_r = d1[new], d2[new], size[1:], fid[new], row[new]
     out = []
     for x in arrays:
         at = np.searchsorted(key1, x["d1"])
@@ -422,14 +503,15 @@ def merge_runs(parts: list[dict], length: int) -> list[dict]:
         while len(off):
             at[off] += 1
             off = off[key2[at[off]] != x["d2"][off]]
-        hit = np.flatnonzero((key_n[at] > 1) & (x["places"] >= 0))
+        found = ((x["fids"] != key_f[at]) | (x["rows"] != key_r[at])) if first else key_n[at] > 1
+        hit = np.flatnonzero(found & (x["places"] >= 0))
         for f, r, p in zip(x["fids"][hit].tolist(), x["rows"][hit].tolist(),
                            x["places"][hit].tolist(), strict=True):
             out.append({"fid": f, "row": r, "start": p, "end": p + length})
     return out
 
 
-def cross_shard_spans(sent: DataFrame, length: int = LENGTH) -> DataFrame:
+def cross_shard_spans(sent: DataFrame, length: int = LENGTH, first: bool = False) -> DataFrame:
     """``SPANS`` of the sorted runs that split anchors' shards sent."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[dict] = []
@@ -437,11 +519,11 @@ def cross_shard_spans(sent: DataFrame, length: int = LENGTH) -> DataFrame:
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1).to_pylist()[0]
                 if held and (held[0]["a"], held[0]["bucket"]) != (row["a"], row["bucket"]):
-                    yield pa.RecordBatch.from_pylist(merge_runs(held, length), _SPAN_ARROW)
+                    yield pa.RecordBatch.from_pylist(merge_runs(held, length, first), _SPAN_ARROW)
                     held = []
                 held.append(row)
         if held:
-            yield pa.RecordBatch.from_pylist(merge_runs(held, length), _SPAN_ARROW)
+            yield pa.RecordBatch.from_pylist(merge_runs(held, length, first), _SPAN_ARROW)
 
     ordered = sent.repartition("a", "bucket").sortWithinPartitions("a", "bucket")
     return map_arrow(ordered, run, SPANS)
@@ -468,47 +550,60 @@ def _times(apart: bool) -> Column:
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH, unit: int = 1,
-                   apart: bool = False) -> DataFrame:
+                   apart: bool = False, first: bool = False) -> DataFrame:
     """(fid, row, spans) of (fid, row, data): the repeated spans [start, end) of
     every document that has any, in order and not touching one another. With
-    ``apart`` a window must occur in another document."""
+    ``apart`` a window must occur in another document; with ``first`` (units of
+    one byte) in one that comes before by (fid, row)."""
     found = written(runs(docs, length, unit), "suffix-runs")
     many, _ = broadcast_if_small(found.groupBy("a").count().filter("count > 1").select("a"))
     found = written(found.join(many, "a", "left_semi"), "suffix-repeated-anchors")
+    own = F.struct("fid", "row")
     groups = found.groupBy("a", "c").agg(
-        _times(apart).alias("n"), *[F.first(k).alias(k)
-                                        for k in ("fid", "row", "place", "windows")])
+        (F.count(F.lit(1)) if first else _times(apart)).alias("n"),
+        *([F.min(own).alias("lead")] if first else []),
+        *[F.first(k).alias(k) for k in ("fid", "row", "place", "windows")])
     groups = written(groups, "suffix-contexts")
-    whole, _ = broadcast_if_small(groups.filter("n > 1").select("a", "c"))
-    whole_spans = found.join(whole, ["a", "c"], "left_semi").select(
+    whole = groups.filter("n > 1")
+    different = groups.groupBy("a").agg(F.count(F.lit(1)).alias("contexts")).filter("contexts > 1")
+    if first:  # copies in later documents go whole; the first one's stand for them
+        whole = whole.select("a", "c", "n", "lead")
+        copies = joined(found, whole, ["a", "c"], hot_keys(whole, ["a", "c"]))
+        whole_runs = copies.filter(own != F.col("lead"))
+        leads = copies.filter(own == F.col("lead")).select("a", "c", "fid", "row", "place", "windows")
+        groups = leads.unionByName(groups.filter("n = 1").select(*leads.columns)).withColumn(
+            "n", F.lit(1).cast("long"))
+    else:
+        whole, _ = broadcast_if_small(whole.select("a", "c"))
+        whole_runs = found.join(whole, ["a", "c"], "left_semi")
+    whole_spans = whole_runs.select(
         "fid", "row", F.col("place").alias("start"),
         (F.col("place") + (F.col("windows") - 1) * unit + length).alias("end"))
-    different = groups.groupBy("a").agg(F.count(F.lit(1)).alias("contexts")).filter("contexts > 1")
-    edges = (groups.join(different, "a")
+    different = written(different, "suffix-different")
+    edges = (joined(groups, different, ["a"], hot_keys(different, ["a"], "contexts"))
              .withColumn("splits", F.ceil(F.col("contexts") / SHARD_CONTEXTS).cast("int"))
              .withColumn("part", F.pmod("c", F.col("splits")).cast("int")))
     edges = written(edges.drop("c", "contexts"), "suffix-edges")
-    sent = written(shard_spans(_contexts(docs, edges, length, unit), length, unit, apart), "suffix-shards")
+    sent = written(shard_spans(_contexts(docs, edges, length, unit), length, unit, apart, first),
+                   "suffix-shards")
     spans = (whole_spans.unionByName(sent.filter("start is not null").select("fid", "row",
                                                                              "start", "end"))
              .unionByName(cross_shard_spans(sent.filter("bucket is not null").drop(
-                 "fid", "row", "start", "end"), length)))
+                 "fid", "row", "start", "end"), length, first)))
     return merged_spans(spans)
 
 
 def merged_spans(spans: DataFrame) -> DataFrame:
-    """(fid, row, spans) with overlapping and touching spans made one."""
-    each = spans.groupBy("fid", "row").agg(F.array_sort(F.collect_set(F.struct(
-        "start", "end"))).alias("s"))
-    step = F.aggregate(
-        "s", F.array().cast("array<struct<start:bigint,end:bigint>>"),
-        lambda acc, x: F.when(
-            (F.size(acc) == 0) | (F.element_at(acc, -1)["end"] < x["start"]),
-            F.concat(acc, F.array(x))).otherwise(
-            F.concat(F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))), F.array(F.struct(
-                F.element_at(acc, -1)["start"].alias("start"),
-                F.greatest(F.element_at(acc, -1)["end"], x["end"]).alias("end"))))))
-    return each.select("fid", "row", step.alias("spans"))
+    """(fid, row, spans) with overlapping and touching spans made one: a span that
+    begins beyond all before it begins an island."""
+    here = Window.partitionBy("fid", "row").orderBy("start", "end")
+    reach = F.max("end").over(here.rowsBetween(Window.unboundedPreceding, -1))
+    rows = spans.withColumn("new", (reach.isNull() | (reach < F.col("start"))).cast("int"))
+    rows = rows.withColumn("island", F.sum("new").over(here))
+    islands = rows.groupBy("fid", "row", "island").agg(
+        F.min("start").alias("start"), F.max("end").alias("end"))
+    return islands.groupBy("fid", "row").agg(
+        F.array_sort(F.collect_list(F.struct("start", "end"))).alias("spans"))
 
 
 def _kept_bytes(raw: Column, spans: Column) -> Column:
@@ -541,16 +636,25 @@ def kept_text(raw: Column, spans: Column) -> Column:
     return let(raw, text).cast("string")
 
 
-def without_repeats(docs: DataFrame, length: int = LENGTH, text: str = "text") -> DataFrame:
+def without_repeats(docs: DataFrame, length: int = LENGTH, text: str = "text",
+                    first: bool = False) -> DataFrame:
     """``docs`` with three more columns: ``__bytes`` (the text's UTF-8),
-    ``__kept`` (what is left of it) and ``__spans`` (what was removed)."""
+    ``__kept`` (what is left of it) and ``__spans`` (what was removed). With
+    ``first`` the document of least ``doc_id`` (null is least) keeps a window that
+    several have."""
     columns = docs.columns
     docs = located(docs)
-    keyed = docs.select(F.xxhash64("__file").alias("fid"), F.col("__row").alias("row"),
+    if first:  # identified in the documents' order
+        fid = F.coalesce(F.col("doc_id").cast("long"), F.lit(-1 << 63))
+        row = F.xxhash64("__file", "__row")
+    else:
+        fid, row = F.xxhash64("__file"), F.col("__row")
+    keyed = docs.select(fid.alias("fid"), row.alias("row"),
                         *[F.col(f"`{c}`").alias(f"__c{i}") for i, c in enumerate(columns)])
     at = f"__c{columns.index(text)}"
     rows = keyed.withColumn("__bytes", F.encode(text_or_empty(at), "UTF-8"))
-    spans = repeated_spans(rows.select("fid", "row", F.col("__bytes").alias("data")), length)
+    spans = repeated_spans(rows.select("fid", "row", F.col("__bytes").alias("data")), length,
+                           first=first)
     rows = rows.join(spans, ["fid", "row"], "left")
     kept = F.when(F.col("spans").isNull(), F.col("__bytes")).otherwise(
         _kept_bytes(F.col("__bytes"), F.col("spans")))
@@ -559,5 +663,5 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, text: str = "text") -
                            "array<struct<start:bigint,end:bigint>>")).alias("__spans"))
 
 
-__all__ = ["LENGTH", "Hashes", "cross_shard_spans", "find_runs", "kept_text", "merge_runs", "merged_spans",
-           "repeated_spans", "repeated_windows", "runs", "shard_spans", "without_repeats"]
+__all__ = ["LENGTH", "Hashes", "cross_shard_spans", "find_runs", "kept_text", "later_windows",
+           "merge_runs", "merged_spans", "product", "repeated_spans", "repeated_windows", "runs", "shard_spans", "without_repeats"]

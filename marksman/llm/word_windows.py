@@ -26,7 +26,7 @@ extended to twice that length.
 
 A word's hash is xxh3; the hash of a longer window mixes those of its halves, so
 nothing of it is linear in the words. Hot anchors, extensions and windows are joined
-apart, against a broadcast side of a proven size (``joined``).
+apart, against a broadcast side of a proven size (``joined_by_size``).
 
 Edge cases: null text has no words; texts shorter than a window lose nothing; an
 empty table gives no row; documents that share a ``doc_id`` come in the order of their
@@ -45,14 +45,12 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marksman.llm.common import arrow_rows, discard, map_arrow, text_or_empty, written
+from marksman.llm.common import arrow_rows, discard, joined_by_size, map_arrow, text_or_empty, written
 from marksman.llm.exact_dedup import located
 from marksman.llm.suffix_dedup import _window_least, mixed
-from marksman.plans.sizing import DEFAULT_BROADCAST_MAX_ROWS, broadcast_if_small
 
 LENGTH = 20
 PIECE = 1 << 18
-HOT = 20_000
 _WORDS = 1 << 20  # word hashes a task keeps
 _PLACE_BITS = 20
 
@@ -198,22 +196,6 @@ def window_hashes(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
 # ---------------------------------------------------------------- operator
 
-def joined(rows: DataFrame, table: DataFrame, keys: list[str], n: str = "n") -> DataFrame:
-    """``rows`` inner joined with ``table``, which has a row for each key and in ``n``
-    how many rows have it. A small table is broadcast; of a large one only the keys
-    of over ``HOT`` rows, of which there are few, and the rest is shuffled."""
-    small, fits = broadcast_if_small(table)
-    if fits:
-        return rows.join(small, keys)
-    hot, fits = broadcast_if_small(table.filter(F.col(n) > HOT))
-    if not fits:
-        return rows.join(table, keys)
-    often = rows.join(hot, keys)
-    seldom = rows.join(hot.select(*keys), keys, "left_anti").join(
-        table.filter(F.col(n) <= HOT), keys)
-    return often.unionByName(seldom)
-
-
 def _order() -> Column:
     """A document's place in the order (null ids first)."""
     return F.struct(F.col("doc_id").isNotNull().alias("named"), "doc_id", "fid", "row", "at")
@@ -229,7 +211,7 @@ def _surviving(groups: DataFrame, base: int) -> DataFrame:
         "g", "e.*").filter("h is not null")
     several = written(halves.groupBy("side", "h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"),
                       "windows-doubled")
-    found = joined(halves, several, ["side", "h"]).groupBy("g").agg(
+    found = joined_by_size(halves, several, ["side", "h"]).groupBy("g").agg(
         F.max(F.col("side") == 0).alias("left"), F.max(F.col("side") == 1).alias("right"))
     rows = rows.join(found, "g")
     low = F.when(F.col("left"), 0).otherwise(F.greatest(F.col("off") - base + 1, F.lit(0)))
@@ -250,13 +232,13 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     found = written(runs(docs, length), "windows-runs")
     anchors = found.groupBy("a").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     every, found = found, written(
-        joined(found, written(anchors, "windows-anchors"), ["a"]).drop("n"), "windows-repeated")
+        joined_by_size(found, written(anchors, "windows-anchors"), ["a"]).drop("n"), "windows-repeated")
     discard(every)
     key = ["a", "c", "windows", "off"]
     groups = written(found.groupBy(*key).agg(
         F.count(F.lit(1)).alias("n"), F.min(_order()).alias("first"), F.first("l").alias("l"),
         F.first("r").alias("r")), "windows-groups")
-    copies = joined(found, groups.filter("n > 1").select(*key, "n", "first"), key)
+    copies = joined_by_size(found, groups.filter("n > 1").select(*key, "n", "first"), key)
     whole = copies.filter(_order() != F.col("first")).select(
         "fid", "row", F.col("at").alias("start"),
         (F.col("at") + F.col("windows") - 1 + length).alias("end"))
@@ -267,7 +249,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     windows = written(window_hashes(held, length), "windows-hashed")
     same = windows.groupBy("w1", "w2").agg(
         F.count(F.lit(1)).alias("n"), F.min(_order()).alias("first")).filter("n > 1")
-    later = joined(windows, written(same, "windows-same"), ["w1", "w2"]).filter(
+    later = joined_by_size(windows, written(same, "windows-same"), ["w1", "w2"]).filter(
         _order() != F.col("first"))
     return whole.unionByName(later.select("fid", "row", F.col("at").alias("start"),
                                           (F.col("at") + length).alias("end")))
@@ -318,5 +300,5 @@ def _cut(words: list[bytes], spans: pa.ListScalar) -> tuple[str, int, int]:
     return b" ".join([words[i] for i in kept.tolist()]).decode(), len(words), len(words) - len(kept)
 
 
-__all__ = ["LENGTH", "find_runs", "joined", "levels", "repeated_spans", "runs", "window_hashes",
+__all__ = ["LENGTH", "find_runs", "levels", "repeated_spans", "runs", "window_hashes",
            "without_repeats"]

@@ -9,6 +9,7 @@ import pytest
 from marksman.llm import bag_minhash
 from marksman.llm.exact_dedup import located
 from tests.llm.data import COLUMNS, documents, edited, hard_cases, prose
+from tests.llm.test_suffix import thue_morse
 
 
 def test_signatures_are_unbiased():
@@ -122,3 +123,10 @@ def test_empty(spark):
     docs = spark.createDataFrame([], COLUMNS)
     assert bag_minhash.decisions(located(docs)).collect() == []
     assert bag_minhash.deduplicated(docs).collect() == []
+
+
+def test_texts_with_equal_polynomial_hashes_stay_apart(spark, tmp_path):
+    """Modulo 2^64 a Thue-Morse word and its complement collide in every base."""
+    rows = [(i, t) for i, t in enumerate(thue_morse())]
+    out = bag_minhash.deduplicated(documents(spark, tmp_path, rows))
+    assert sorted(r.doc_id for r in out.collect()) == [0, 1]

@@ -110,3 +110,41 @@ def test_codes_in_other_documents(spark):
 def test_empty(spark):
     docs = spark.createDataFrame([], COLUMNS)
     assert suffix_dedup.without_repeats(docs).collect() == []
+
+
+def thue_morse(n=2048):
+    bits = [bin(i).count("1") & 1 for i in range(n)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+
+
+def test_hashes_tell_thue_morse_words_apart():
+    one, other = (np.frombuffer(t.encode(), np.uint8) for t in thue_morse())
+    both = np.concatenate([one, other])
+    hashes = suffix_dedup.Hashes()
+    for k in (0, 1):
+        a, b = hashes.spans(both, np.array([0, 2048]), np.array([2048, 4096]), k)
+        assert a != b
+
+
+def test_thue_morse_texts_are_no_repeats(spark, tmp_path):
+    one, other = thue_morse()
+    rows = [(1, one), (2, other), (3, one[:300])]
+    check(rows, suffix_dedup.without_repeats(documents(spark, tmp_path, rows), length=300), 300)
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 2**61 - 2), st.integers(0, 2**61 - 2)), min_size=1))
+def test_products_modulo_the_prime(pairs):
+    a, b = (np.array(x, np.uint64) for x in zip(*pairs, strict=True))
+    assert suffix_dedup.product(a, b).tolist() == [x * y % (2**61 - 1) for x, y in pairs]
+
+
+def test_spans_are_polynomials():
+    data = np.random.default_rng(1).integers(0, 256, 500, dtype=np.uint8)
+    h = suffix_dedup.Hashes()
+    start, end = np.array([0, 3, 490, 250]), np.array([500, 3, 500, 251])
+    prime, base = 2**61 - 1, int(h.bases[0])
+    want = [sum(int(h.tables[1][c]) * pow(base, i, prime) for i, c in enumerate(data[s:e])) % prime
+            for s, e in zip(start, end, strict=True)]
+    got = h.spans(data, start, end)
+    assert got.tolist() == suffix_dedup.mixed(np.array(want, np.uint64)).tolist()

@@ -72,22 +72,6 @@ def test_hash_is_not_linear():
     assert one[0] != other[0]
 
 
-def test_hot_keys_are_joined_apart(spark, monkeypatch):
-    rows = spark.range(1000).selectExpr("id", "if(id % 3 = 0, 7, id) as k")
-    table = rows.groupBy("k").count().withColumnRenamed("count", "n").filter("k <> 8")
-    want = sorted(map(tuple, rows.join(table, ["k"]).select("id", "k", "n").collect()))
-    monkeypatch.setattr(word_windows, "HOT", 10)
-    real, asked = word_windows.broadcast_if_small, []
-
-    def no_room_at_first(df, *a, **k):
-        asked.append(df)
-        return (df, False) if len(asked) == 1 else real(df, *a, **k)
-
-    monkeypatch.setattr(word_windows, "broadcast_if_small", no_room_at_first)
-    out = word_windows.joined(rows, table, ["k"]).select("id", "k", "n")
-    assert sorted(map(tuple, out.collect())) == want and len(asked) == 2
-
-
 def test_empty_table(spark, tmp_path):
     assert word_windows.without_repeats(documents(spark, tmp_path).limit(0)).collect() == []
     with pytest.raises(ValueError):
