@@ -8,9 +8,11 @@ them again, so a stage starts from files and no lineage crosses stages.
 1. language ID: documents without an identified language go;
 2. exact dedup: of equal texts the one with the largest doc_id stays;
 3. near dedup: of each group of near duplicates the smallest doc_id stays;
-4. suffix-array dedup: bytes covered by a 400-byte string that occurs again are
-   cut out of the texts; characters cut in two go with them; every document
-   stays, with an empty text if nothing is left; ``n_chars`` is counted anew;
+4. suffix-array dedup: bytes covered by a ``PASSAGE``-byte string (about 50 words)
+   that a document with a smaller doc_id has, too, are cut out of the texts;
+   characters cut in two go with them; the first document keeps the passage, and
+   what a document repeats in itself stays; every document stays, with an empty
+   text if nothing is left; ``n_chars`` is counted anew;
 5. packing: the documents' ids in full sequences of 1024.
 
 Empty tables give empty results; the operators' notes say how nulls, repeated
@@ -28,6 +30,10 @@ from marksman.llm import bag_minhash, exact_dedup, language_id, packing, suffix_
 from marksman.llm.common import read_table, written
 
 
+# Bytes of a string that counts as a passage: 50 words of few letters.
+PASSAGE = 280
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents whose language was identified."""
     return language_id.accepted(docs)
@@ -44,8 +50,8 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without their repeated long strings."""
-    rows = suffix_dedup.without_repeats(docs)
+    """All documents, without the long strings that earlier ones have."""
+    rows = suffix_dedup.without_repeats(docs, PASSAGE, first=True)
     whole = suffix_dedup.kept_text(F.col("__bytes"), F.col("__spans"))
     cut = F.size("__spans") > 0
     out = rows.withColumn("text", F.when(cut, whole).otherwise(F.col("text")))
