@@ -53,7 +53,7 @@ THRESHOLD = 0.8
 # A pair of similarity 0.8 agrees in fewer places with a chance below 1e-6.
 LEAST_AGREEING = 78
 PIVOT_TURNS = 2
-_CHUNK = 1 << 19
+_CHUNK = 1 << 17
 
 SIGNATURES = ("doc_id long, fid long, row long, d1 long, d2 long, bands array<long>, sig binary, n_words int")
 

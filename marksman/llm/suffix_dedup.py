@@ -55,7 +55,7 @@ from marksman.plans.sizing import broadcast_if_small
 
 LENGTH = 400
 GRAM = 32
-PIECE = 1 << 19
+PIECE = 1 << 17
 SHARD_BYTES = 1 << 20
 SHARD_CONTEXTS = 2048
 _PLACE_BITS = 24  # a place in a chunk of up to 2 * PIECE bytes
