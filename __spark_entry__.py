@@ -19,6 +19,7 @@ from __future__ import annotations
 import datetime as dt
 import os
 import sys
+import warnings
 from collections.abc import Callable
 
 _HERE = os.path.dirname(os.path.abspath(__file__))
@@ -38,14 +39,17 @@ from marksman.sources import fixtures, rows_as_dicts, run_sql
 try:  # the training-data operators are an optional part
     import corpus_pipeline as _pipeline
     from marksman.llm import queries as _llm
-except ImportError:
+except ImportError as _e:
     _pipeline = _llm = None
+    if _e.name not in ("corpus_pipeline", "marksman.llm"):  # it is there, but cannot run here
+        warnings.warn(f"training-data operators left out: {_e}", stacklevel=2)
 
 FLAGSHIP_SF = "/root/testdata/sf0.001"
 INTERMEDIARIES = fixtures.INTERMEDIARIES
 TARGET_STAMP = dt.datetime(2024, 1, 1)
 BATCH_STAMP = dt.datetime(2024, 2, 1)
 SEVERAL_MARKETS = 40
+ACTIVE_SINCE = _oracle.ACTIVE_SINCE
 
 
 # ---------------------------------------------------------------- helpers
@@ -231,7 +235,7 @@ def q_top_traders(spark, sf):
 
 
 def q_top_traders_threshold(spark, sf):
-    """The top 100: the limit binds, and the threshold is searched."""
+    """The top 100: the limit binds in every group."""
     markets, fills = _inputs(spark, sf)
     return scoring.top_traders(markets, fills, INTERMEDIARIES, limit=100)
 
@@ -259,6 +263,13 @@ def q_traders_adhoc(spark, sf):
     return _adhoc(spark, sf)
 
 
+def q_traders_adhoc_active(spark, sf):
+    """The ad hoc variant with its activity test."""
+    markets, fills = _inputs(spark, sf)
+    pnl = scoring.fused_pnl(markets, fills, INTERMEDIARIES, with_units=True)
+    return scorecard.adhoc(pnl, active_since=ACTIVE_SINCE)
+
+
 def q_traders_adhoc_sample(spark, sf):
     """An unordered LIMIT 10, as what must hold of any: its rows, its distinct
     wallets, and how many of its rows the full result has."""
@@ -277,6 +288,13 @@ def q_coerced_rows(spark, sf):
     return sinks.coerce_scorecard(_scores(spark, sf))
 
 
+def q_coerced_bytes(spark, sf):
+    """Wallets that arrive as bytes with NULs at their end."""
+    scores = _scores(spark, sf)
+    padded = F.concat(F.encode("wallet_address", "UTF-8"), F.unhex(F.lit("0000")))
+    return sinks.coerce_scorecard(scores.withColumn("wallet_address", padded))
+
+
 def q_key_violations(spark, sf):
     return sinks.key_violations(fixtures.fills(spark, sf), key="id")
 
@@ -336,6 +354,16 @@ def q_run_summary(spark, sf):
         "users_processed bigint, users_stored bigint, total_users_in_db bigint")
 
 
+def q_run_stored_rows(spark, sf):
+    """The rows that a refresh stored, after a retry under the same name."""
+    markets, fills = _inputs(spark, sf)
+    root = scratch_path(spark, "stored-check")
+    for _ in range(2):
+        jobs.refresh(spark, markets, fills, root, intermediaries=INTERMEDIARIES,
+                     limit=jobs.PRESETS["top"], now=BATCH_STAMP, run="daily")
+    return sinks.read_snapshot(spark, root).drop("id")
+
+
 # ---------------------------------------------------------------- contract
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -369,8 +397,10 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fetched_rows": q_fetched_rows,
     "top_traders_sql_args": q_top_traders_sql_args,
     "traders_adhoc": q_traders_adhoc,
+    "traders_adhoc_active": q_traders_adhoc_active,
     "traders_adhoc_sample": q_traders_adhoc_sample,
     "coerced_rows": q_coerced_rows,
+    "coerced_bytes": q_coerced_bytes,
     "key_violations": q_key_violations,
     "upsert_first_run": q_upsert_first_run,
     "upsert_scorecard": q_upsert_scorecard,
@@ -378,6 +408,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "snapshot_count": q_snapshot_count,
     "empty_summary": q_empty_summary,
     "run_summary": q_run_summary,
+    "run_stored_rows": q_run_stored_rows,
 }
 
 

@@ -1,8 +1,8 @@
 """Position stages, keyed by (user_id, token_id).
 
-``positions`` is the one-pass form: cash flow, balance and the latest priced
-trade come out of ONE aggregate, so the deduped ledger is read once. ``cashflow`` and ``balance`` are the single
-stages, kept for testing the fused form against them.
+``positions`` is the one-pass form: cash flow and balance come out of ONE aggregate
+on fixed-width buffers. ``cashflow`` and ``balance`` are the single stages, kept for
+testing the fused form against them.
 """
 
 from __future__ import annotations
@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from marksman.functions import (checked_bigint, checked_product, checked_sum, money,
                                 ratio_or_zero, sum_if)
-from marksman.operators.valuation import price_units
 
 KEYS = ["user_id", "token_id"]
 
@@ -42,17 +41,12 @@ def balance(ops: DataFrame) -> DataFrame:
     )
 
 
-def positions(ops: DataFrame, *, scale: int = 2) -> DataFrame:
+def positions(ops: DataFrame) -> DataFrame:
     """Cash flow and balance per position in one pass (plus the greatest
-    ``market_id`` when the rows carry one), with the latest priced trade as a
-    struct (timestamp, id_, price_units): per-token prices come from the
-    position table, so the deduped ledger has one reader."""
+    ``market_id`` when the rows carry one)."""
     aggs = _cashflow_aggs() + [F.sum("token_balance_change").alias("token_balance")]
     if "market_id" in ops.columns:
         aggs.insert(0, F.max("market_id").alias("market_id"))
-    p = price_units(scale)
-    aggs.append(F.max(F.when(p.isNotNull(), F.struct(
-        "timestamp", "id_", p.alias("price_units")))).alias("last_trade"))
     return ops.groupBy(*KEYS).agg(*aggs)
 
 

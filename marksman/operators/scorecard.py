@@ -5,12 +5,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marksman.functions import annualise, day_diff
 from marksman.schemas import SCORE_MEASURES, SCORECARD_KEY
 
+# Groups whose own top n meet in one task.
+TOP_GROUPS = 128
 # Output columns of the two variants; fixed values, the results carry them.
 SCORE_COLUMNS = [SCORECARD_KEY, *SCORE_MEASURES]
 ADHOC_COLUMNS = [
@@ -125,50 +127,22 @@ def top(scores: DataFrame, n: int, *, by: str = "profit_usdc",
 
     Plans as TakeOrderedAndProject: every partition keeps its own top n, and
     one task merges partitions * n rows. Right while that product is small;
-    for large scorecards use ``top_by_threshold``, which gives the same rows.
+    for large scorecards use ``top_by_groups``, which gives the same rows.
     """
     return scores.orderBy(rank_key(by), F.col(tie).asc()).limit(n)
 
 
-def top_by_threshold(scores: DataFrame, n: int, *, by: str = "profit_usdc",
-                     tie: str = "wallet_address") -> DataFrame:
-    """``top`` of a large, materialised scorecard without funnelling partitions
-    * n rows through one task.
-
-    One job counts the rows and the numbers among them. If numbers are more
-    than n, an approximate quantile over them (merged sketches; one number
-    reaches the driver) gives a threshold that about 2n reach, with a rank
-    error below n/2, so at least n pass; only those are sorted. If numbers are
-    at most n, all of them are in the result, and so are the first of the other
-    rows by ``tie``: a threshold on its first six bytes is found likewise.
-
-    The sketch holds about total/n entries a partition (1e9 wallets, n = 10 000:
-    some 1e5 numbers, 2 MB). Call it on a persisted or checkpointed DataFrame.
-    """
-    x = F.col(by)
-    number = x.isNotNull() & ~F.isnan(x)
-    total, numbers = scores.agg(
-        F.count(F.lit(1)), F.coalesce(F.sum(number.cast("bigint")), F.lit(0))).first()
-    if total <= 4 * n:  # everything is a candidate
-        return top(scores, n, by=by, tie=tie)
-    if numbers > n:
-        least = _threshold(scores.where(number), x, numbers, n)
-        return top(scores.where(number & (x >= F.lit(least))), n, by=by, tie=tie)
-    # all numbers, and the first of the others by the tie-break
-    first_bytes = F.conv(F.rpad(F.hex(F.encode(F.coalesce(F.col(tie), F.lit("")), "UTF-8")),
-                                12, "0"), 16, 10).cast("double")
-    others = scores.where(~number)
-    most = -_threshold(others, -first_bytes, total - numbers, n)
-    return top(scores.where(number | (first_bytes <= F.lit(most))), n, by=by, tie=tie)
-
-
-def _threshold(rows: DataFrame, x: Column, count: int, n: int) -> float:
-    """A value of ``x`` that at least ``min(n, count)`` rows reach, and about 2n."""
-    q = max(0.0, 1.0 - 2.0 * n / count)
-    found = rows.select(x.cast("double").alias("x")).approxQuantile(
-        "x", [q], max(1e-9, n / (2.0 * count)))
-    return found[0] if found else float("-inf")
+def top_by_groups(scores: DataFrame, n: int, *, by: str = "profit_usdc",
+                  tie: str = "wallet_address", groups: int = TOP_GROUPS) -> DataFrame:
+    """``top`` as one lazy plan in which no task merges partitions * n rows: the
+    rows are dealt into ``groups`` salted groups, each keeps its own top n, and
+    at most ``groups`` * n rows meet at the end, whatever the number of partitions."""
+    order = [rank_key(by), F.col(tie).asc()]
+    salt = F.pmod(F.xxhash64(tie), F.lit(groups))
+    ranked = scores.withColumn("_rank", F.row_number().over(
+        Window.partitionBy(salt).orderBy(*order)))
+    return top(ranked.where(F.col("_rank") <= n).drop("_rank"), n, by=by, tie=tie)
 
 
 __all__ = ["ADHOC_COLUMNS", "SCORE_COLUMNS", "adhoc", "rank_key", "rollup", "top",
-           "top_by_threshold"]
+           "top_by_groups"]

@@ -1,19 +1,21 @@
 """Sinks: the keyed scorecard snapshot.
 
-The target is a folder of versions, ``<root>/version=N`` (Parquet), and one of
-markers, ``<root>/_versions/N``. A version counts once its marker exists: the
-marker is made after the data are written, and its atomic creation decides
-between two writers. A refresh never touches the version it reads, so a failed
-write leaves the previous snapshot current. Versions without any marker are an
-error, not an empty target. All but the last ``keep`` versions are deleted.
+The target is a folder of versions, ``<root>/version=<number>-<run>`` (Parquet).
+Spark writes a version to ``<root>/_next``, which readers do not list, and a
+complete one is renamed to its name: the rename is the commit. A write that dies
+leaves the current version and, at most, a ``_next`` that the next write overwrites.
+A run that is repeated under its name finds its version and writes none. One refresh
+of a target runs at a time; that is the job scheduler's part.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import logging
+import re
 import uuid
 
-from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -74,183 +76,158 @@ def key_violations(df: DataFrame, key: str = SCORECARD_KEY,
             .where((F.col("n") > 1) | k.isNull() | (F.length(k) > max_len)))
 
 
-def key_stats(df: DataFrame, key: str = SCORECARD_KEY,
-              max_len: int = SCORECARD_KEY_MAX_LEN) -> tuple[int, int]:
-    """(rows, rows breaking NOT NULL / UNIQUE / the length bound) in one
-    aggregation job."""
-    k = F.col(key)
-    r = df.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count(k).alias("non_null"),
-        F.count_distinct(k).alias("distinct"),
-        F.coalesce(F.sum((F.length(k) > max_len).cast("int")), F.lit(0)).alias("long"),
-    ).first()
-    nulls = r.n - r.non_null
-    duplicates = r.non_null - r.distinct
-    return r.n, nulls + duplicates + r.long
-
-
-def new_ids(keys: DataFrame, key: str, first: int) -> DataFrame:
-    """(key, _new_id): dense ids from ``first`` on. The rows are checkpointed, so
-    their partitions stand; each partition numbers its own after those of the
-    partitions before it (one count a partition reaches the driver)."""
-    spark = keys.sparkSession
-    low = F.lit((1 << 33) - 1)
-    rows = checkpointed(keys.select(key, F.monotonically_increasing_id().alias("_at"))).select(
-        key, F.shiftright("_at", 33).alias("_part"), F.col("_at").bitwiseAND(low).alias("_row"))
-    offsets, running = [], first
-    for part, n in sorted(map(tuple, rows.groupBy("_part").count().collect())):
-        offsets.append((part, running))
-        running += n
-    before = spark.createDataFrame(offsets or [(0, first)], "_part bigint, _first bigint")
-    return rows.join(F.broadcast(before), "_part").select(
-        key, (F.col("_first") + F.col("_row")).alias("_new_id"))
-
-
 def upsert(target: DataFrame, batch: DataFrame, *, now: dt.datetime,
-           key: str = SCORECARD_KEY, next_id: int | None = None) -> DataFrame:
+           key: str = SCORECARD_KEY, next_id: int | None = None,
+           max_len: int = SCORECARD_KEY_MAX_LEN) -> DataFrame:
     """Insert new keys, overwrite the measures of existing ones.
 
-    A full outer join on the key with a presence flag: for a key in the batch
-    every measure comes from the batch, NULLs included (not ``coalesce``), and
-    ``updated_at`` is ``now``; ``created_at`` and ``id`` stay. Keys absent from
-    the batch are untouched; nothing is deleted. New keys, and only they, take
-    the ids from ``next_id`` on (default: the target's greatest id + 1), without
-    gaps. ``now`` is one literal for the whole batch. The batch must be unique
-    on the key (see ``key_violations``).
+    One grouped pass over target and batch, tagged by origin: for a key in the
+    batch every measure comes from the batch, NULLs included (not ``coalesce``),
+    and ``updated_at`` is ``now``; ``created_at`` and ``id`` stay. Keys absent from
+    the batch are untouched; nothing is deleted. A key that is NULL, too long or
+    more than once in the target or in the batch fails the pass. The result is
+    checkpointed; new keys, and only they, then take the ids from ``next_id`` on
+    (default: the target's greatest id + 1), without gaps: in each partition they
+    come first, and one count a partition reaches the driver. ``now`` is one literal
+    for the whole batch.
     """
-    if next_id is None:
-        top = target.agg(F.max("id")).first()[0]
-        next_id = 1 if top is None else top + 1
+    spark = target.sparkSession
     # from text: a naive ``now`` is wall-clock time in the session time zone,
     # an aware one keeps its instant (a Python literal would use the driver
     # process's zone instead)
     now_lit = F.lit(now.isoformat(sep=" ")).cast("timestamp")
-    fresh = new_ids(batch.select(key).join(target.select(key), key, "left_anti"), key, next_id)
-    b = batch.select(key, *SCORE_MEASURES).withColumn("_in_batch", F.lit(True)).join(
-        fresh, key, "left")
-    t = target.select(*[f.name for f in SCORECARD])
-    j = t.alias("t").join(b.alias("b"), key, "full_outer")
-    in_batch = F.col("b._in_batch").isNotNull()
-    cols = {key: F.col(key)}
-    cols["id"] = F.coalesce(F.col("t.id"), F.col("b._new_id"))
-    for c in SCORE_MEASURES:
-        cols[c] = F.when(in_batch, F.col(f"b.{c}")).otherwise(F.col(f"t.{c}"))
-    cols["created_at"] = F.coalesce(F.col("t.created_at"), now_lit)
-    cols["updated_at"] = F.when(in_batch, now_lit).otherwise(F.col("t.updated_at"))
-    return j.select(*[cols[f.name].cast(f.dataType).alias(f.name) for f in SCORECARD])
-
-
-class SnapshotConflict(RuntimeError):
-    """Another writer published a version since this one read the target."""
-
-
-def _fs(spark: SparkSession, path: str):
-    """The path's Hadoop file system, and the path."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+    old = target.select(*[f.name for f in SCORECARD], F.lit(False).alias("_in_batch"))
+    fresh = batch.select(
+        *[F.col(f.name).cast(f.dataType) if f.name == key or f.name in SCORE_MEASURES
+          else F.lit(None).cast(f.dataType).alias(f.name) for f in SCORECARD],
+        F.lit(True).alias("_in_batch"))
+    new, had = F.col("_in_batch"), ~F.col("_in_batch")
+    # a key has one row of each origin, so a maximum is that row's value
+    picked = old.unionByName(fresh).groupBy(key).agg(
+        F.count_if(new).alias("_new"), F.count_if(had).alias("_old"),
+        *[F.max(F.when(had, F.col(c))).alias(f"_{c}") for c in ("id", "created_at", "updated_at")],
+        *[F.max(F.when(new, F.col(c))).alias(f"_new_{c}") for c in SCORE_MEASURES],
+        *[F.max(F.when(had, F.col(c))).alias(f"_old_{c}") for c in SCORE_MEASURES])
+    k, in_batch = F.col(key), F.col("_new") > 0
+    broken = k.isNull() | (F.length(k) > max_len) | (F.col("_new") > 1) | (F.col("_old") > 1)
+    checked = F.when(broken, F.raise_error(F.concat(
+        F.lit("key constraint broken (NULL, duplicate or too long): "),
+        F.coalesce(k, F.lit("NULL"))))).otherwise(k)
+    merged = picked.select(
+        checked.alias(key), F.col("_id").alias("id"),
+        *[F.when(in_batch, F.col(f"_new_{c}")).otherwise(F.col(f"_old_{c}")).alias(c)
+          for c in SCORE_MEASURES],
+        F.coalesce("_created_at", now_lit).alias("created_at"),
+        F.when(in_batch, now_lit).otherwise(F.col("_updated_at")).alias("updated_at"))
+    # new keys first in their partition: their numbers in it are 0, 1, ...
+    rows = checkpointed(merged.sortWithinPartitions(F.col("id").isNotNull()).withColumn(
+        "_at", F.monotonically_increasing_id()))
+    part = F.shiftright("_at", 33)
+    sizes = rows.groupBy(part.alias("_part")).agg(
+        F.count_if(F.col("id").isNull()).alias("n"), F.max("id").alias("top")).collect()
+    if next_id is None:
+        next_id = 1 + max((r.top for r in sizes if r.top is not None), default=0)
+    offsets, running = [], next_id
+    for r in sorted(sizes):
+        offsets.append((r[0], running))
+        running += r.n
+    before = spark.createDataFrame(offsets or [(0, next_id)], "_part bigint, _first bigint")
+    given = F.col("_first") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    out = rows.withColumn("_part", part).join(F.broadcast(before), "_part").withColumn(
+        "id", F.coalesce("id", given))
+    return out.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in SCORECARD])
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _fs(spark, path)
-    return fs.exists(p)
+_VERSION = re.compile(r"/version=(\d+)-([^/]+)/[^/]+$")
+_RUN = re.compile(r"[A-Za-z0-9._]+")
 
 
-def _listed(spark: SparkSession, path: str, prefix: str = "") -> list[str]:
-    """Names in one folder that begin with ``prefix``; none if it is missing."""
-    fs, p = _fs(spark, path)
-    if not fs.exists(p):
-        return []
-    names = (s.getPath().getName() for s in fs.listStatus(p))
-    return sorted(n for n in names if n.startswith(prefix))
+def versions(spark: SparkSession, root: str) -> dict[int, str]:
+    """Number and run of every version under ``root``, from Spark's own listing."""
+    try:
+        files = (spark.read.schema(SCORECARD).option("recursiveFileLookup", "true")
+                 .parquet(root).inputFiles())
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return {}
+        raise
+    found = (_VERSION.search(f) for f in files)
+    return {int(m[1]): m[2] for m in found if m}
 
 
-def _committed(spark: SparkSession, root: str) -> list[tuple[int, str]]:
-    """(number, data folder) of every committed version, oldest first."""
-    out = []
-    for name in _listed(spark, f"{root}/_versions"):
-        number, _, folder = name.partition(".")
-        if number.isdigit() and folder:
-            out.append((int(number), folder))
-    return sorted(out)
+def current_version(spark: SparkSession, root: str) -> int | None:
+    """Greatest version under ``root`` (None before the first)."""
+    return max(versions(spark, root), default=None)
 
 
-def current_version(spark: SparkSession, root: str) -> int | None:
-    """Greatest committed version under ``root`` (None before the first).
-    Raises if there are data of versions but none is committed."""
-    done = _committed(spark, root)
-    if done:
-        return done[-1][0]
-    if _listed(spark, root, "version="):
-        raise RuntimeError(f"{root} holds versions, but none of them is committed")
-    return None
+def _folder(root: str, number: int, run: str) -> str:
+    return f"{root}/version={number:06d}-{run}"
 
 
 def read_snapshot(spark: SparkSession, root: str) -> DataFrame:
     """The current snapshot, or an empty target before the first write."""
-    if current_version(spark, root) is None:
+    found = versions(spark, root)
+    if not found:
         return empty_target(spark)
-    folder = _committed(spark, root)[-1][1]
-    return (spark.read.schema(SCORECARD).parquet(f"{root}/{folder}")
+    last = max(found)
+    return (spark.read.schema(SCORECARD).parquet(_folder(root, last, found[last]))
             .select(*[f.name for f in SCORECARD]))
 
 
-def write_snapshot(df: DataFrame, root: str, *, base: int | None = None, keep: int = 3) -> int:
-    """Write ``df`` as the version after ``base`` (default: the current one) and
-    return its number. Raises ``SnapshotConflict``, and publishes nothing, if
-    another writer has published that number meanwhile. Afterwards only the
-    last ``keep`` committed versions are kept (at least two: one may be read)."""
+def _fs(spark: SparkSession, path: str):
+    """The path's Hadoop file system, and the path."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def _renamed(spark: SparkSession, source: str, to: str) -> None:
+    fs, a = _fs(spark, source)
+    if not fs.rename(a, _fs(spark, to)[1]):
+        raise RuntimeError(f"{source} could not be renamed to {to}")
+
+
+def _expired(spark: SparkSession, root: str, keep: int) -> None:
+    """Delete all but the last ``keep`` versions (at least two: one may be read)."""
+    found = versions(spark, root)
+    for number in sorted(found)[:-max(2, keep)]:
+        fs, p = _fs(spark, _folder(root, number, found[number]))
+        fs.delete(p, True)
+
+
+def write_snapshot(df: DataFrame, root: str, *, run: str | None = None, keep: int = 3) -> int:
+    """Write ``df`` as the next version and return its number. If ``run`` has a
+    version already, that one stands and nothing is written."""
     spark = df.sparkSession
-    done = _committed(spark, root)
-    if base is None:
-        base = done[-1][0] if done else 0
-    version = base + 1
-    folder = f"version={version}-{uuid.uuid4().hex[:8]}"
-    df.write.mode("errorifexists").parquet(f"{root}/{folder}")
-    _publish(spark, root, version, folder)
-    for old, data in _committed(spark, root)[:-max(2, keep)]:
-        for path in (f"{root}/_versions/{old:012d}.{data}", f"{root}/{data}"):
-            fs, p = _fs(spark, path)
-            fs.delete(p, True)
-        fs, p = _fs(spark, f"{root}/_claims/{old:012d}")
-        fs.delete(p, False)
-    return version
-
-
-def _publish(spark: SparkSession, root: str, version: int, folder: str) -> None:
-    """Claim the number by creating a file that must not exist yet, then mark
-    the data folder as that version."""
-    done = _committed(spark, root)
-    if done and done[-1][0] >= version:
-        raise SnapshotConflict(f"version {version} of {root} was published meanwhile")
-    fs, claim = _fs(spark, f"{root}/_claims/{version:012d}")
-    try:
-        fs.create(claim, False).close()
-    except Py4JJavaError as e:
-        raise SnapshotConflict(f"version {version} of {root} is claimed by another writer") from e
-    fs, marker = _fs(spark, f"{root}/_versions/{version:012d}.{folder}")
-    fs.create(marker, False).close()
+    run = run or uuid.uuid4().hex[:12]
+    if not _RUN.fullmatch(run):
+        raise ValueError("a run's name is made of letters, digits, dots and underscores")
+    found = versions(spark, root)
+    number = next((n for n, r in found.items() if r == run), None)
+    if number is None:
+        number = max(found, default=0) + 1
+        df.write.mode("overwrite").parquet(f"{root}/_next")
+        _renamed(spark, f"{root}/_next", _folder(root, number, run))
+    _expired(spark, root, keep)
+    return number
 
 
 def snapshot_count(df: DataFrame) -> int:
-    """Row count of a snapshot; 0 when it cannot be counted."""
+    """Row count of a snapshot; 0, and a log entry, when it cannot be counted."""
     try:
         return df.count()
-    except Exception:  # noqa: BLE001 - a failed count reports 0
+    except Exception:  # noqa: BLE001 - the surveyed behaviour: a failed count reports 0
+        logging.getLogger(__name__).exception("the snapshot could not be counted")
         return 0
 
 
 __all__ = [
-    "SnapshotConflict",
     "coerce_scorecard",
     "current_version",
     "empty_target",
-    "key_stats",
     "key_violations",
-    "new_ids",
     "read_snapshot",
     "snapshot_count",
     "upsert",
+    "versions",
     "write_snapshot",
 ]

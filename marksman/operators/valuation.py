@@ -59,15 +59,10 @@ def last_price(ops: DataFrame, *, scale: int = 2) -> DataFrame:
     )
 
 
-def last_price_from_positions(pos: DataFrame) -> DataFrame:
-    """(token_id, price_units) from the ``last_trade`` structs of
-    ``positions``: the latest by (timestamp, id_,
-    user_id), the same total order as ``last_price`` (the wallet is constant
-    inside a position). Partial step first: only token-sized data moves."""
-    lt = F.col("last_trade")
-    latest = F.max(F.struct(lt["timestamp"].alias("timestamp"), lt["id_"].alias("id_"),
-                            F.col("user_id"), lt["price_units"].alias("price_units")))
-    return (pos.where(lt.isNotNull()).groupBy("token_id").agg(latest.alias("lt"))
+def last_price_units(ops: DataFrame, *, scale: int = 2) -> DataFrame:
+    """``last_price`` as an integer count of 10**-scale: (token_id, price_units).
+    Reads only the columns it needs."""
+    return (ops.groupBy("token_id").agg(_latest_priced(scale).alias("lt"))
             .select("token_id", F.col("lt.price_units").alias("price_units")))
 
 
@@ -105,7 +100,7 @@ def token_values(outcomes: DataFrame, prices: DataFrame, *, scale: int = 2) -> D
 
 __all__ = [
     "last_price",
-    "last_price_from_positions",
+    "last_price_units",
     "mark_to_market",
     "payout_units",
     "price_units",

@@ -13,8 +13,8 @@ if __package__ in (None, ""):  # started as a file: make the package importable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marksman.operators import scorecard, sinks
-from marksman.plans.scoring import Intermediaries, score_parts
+from marksman.operators import sinks
+from marksman.plans.scoring import Intermediaries, top_traders
 from marksman.plans.sizing import checkpointed
 
 # Result sizes of the two scheduled runs; fixed values.
@@ -23,31 +23,26 @@ PRESETS = {"top": 10_000, "full": 50_000}
 
 def refresh(spark: SparkSession, markets: DataFrame, fills: DataFrame, target_root: str, *,
             intermediaries: Intermediaries, limit: int = PRESETS["top"],
-            now: dt.datetime | None = None, **score_kw) -> dict:
+            now: dt.datetime | None = None, run: str | None = None, **score_kw) -> dict:
     """Score every wallet, keep the ``limit`` most profitable, upsert them into
     the snapshot under ``target_root`` and report what happened.
 
-    The position table is checkpointed (prices and valuation read it), then the
-    scorecard (counts, threshold and top N), then the ranked batch (empty check,
-    key check, upsert). Only the summary reaches the driver.
+    The ranked batch is checkpointed (empty check, upsert), then the merged target.
+    Only the summary reaches the driver. With ``run``, a name for this refresh, a
+    retry after a failure at any step gives the same version: if the failed attempt
+    had published it, the retry publishes nothing.
     """
     started = time.monotonic()
     now = now or dt.datetime.now(dt.timezone.utc).replace(microsecond=0)
-    scores = checkpointed(score_parts(markets, fills, intermediaries, hold=checkpointed,
-                                      **score_kw).result)
-    batch = checkpointed(sinks.coerce_scorecard(scorecard.top_by_threshold(scores, limit)))
-    stored, bad_keys = sinks.key_stats(batch)  # one job: size and key check
+    batch = checkpointed(sinks.coerce_scorecard(
+        top_traders(markets, fills, intermediaries, limit=limit, **score_kw)))
+    stored = batch.count()
     if stored == 0:
         return {"users_processed": 0, "users_stored": 0,
                 "elapsed_seconds": round(time.monotonic() - started, 3)}
-    if bad_keys:
-        raise ValueError("batch breaks the key constraint (NULL, duplicate or too long)")
-    base = sinks.current_version(spark, target_root) or 0
-    target = sinks.read_snapshot(spark, target_root)
-    if sinks.key_stats(target)[1]:
-        raise ValueError("current snapshot breaks the key constraint")
-    merged = sinks.upsert(target, batch, now=now)
-    sinks.write_snapshot(merged, target_root, base=base)
+    if run is None or run not in sinks.versions(spark, target_root).values():
+        merged = sinks.upsert(sinks.read_snapshot(spark, target_root), batch, now=now)
+        sinks.write_snapshot(merged, target_root, run=run)
     total = sinks.snapshot_count(sinks.read_snapshot(spark, target_root))
     return {
         "users_processed": stored,
@@ -59,7 +54,7 @@ def refresh(spark: SparkSession, markets: DataFrame, fills: DataFrame, target_ro
 
 def main(argv: list[str] | None = None) -> dict:
     """``spark-submit marksman/plans/jobs.py --markets P --fills P --target P
-    --intermediary ADDR [--intermediary ADDR ...] [--preset top|full | --limit N]``"""
+    --intermediary ADDR [--intermediary ADDR ...] [--preset top|full | --limit N] [--run NAME]``"""
     import argparse
     import json
 
@@ -71,12 +66,14 @@ def main(argv: list[str] | None = None) -> dict:
     ap.add_argument("--target", required=True)
     ap.add_argument("--preset", choices=sorted(PRESETS), default="top")
     ap.add_argument("--limit", type=int)
+    ap.add_argument("--run", help="a name for this refresh; a retry under it publishes once")
     ap.add_argument("--intermediary", action="append", required=True,
                     help="an exchange-side address; repeatable")
     args = ap.parse_args(argv)
     spark = SparkSession.builder.appName("marksman-refresh").getOrCreate()
     summary = refresh(spark, read_markets(spark, args.markets), read_fills(spark, args.fills),
                       args.target, intermediaries=args.intermediary,
+                      run=args.run,
                       limit=PRESETS[args.preset] if args.limit is None else args.limit)
     print(json.dumps(summary))
     return summary

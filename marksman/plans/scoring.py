@@ -6,26 +6,23 @@ with fewer exchanges:
 
 * the listing join only filters (left semi join): a token's market is
   attached once per token at the end, so fills never fan out per listing;
-* cash flow, balance and the latest priced trade come out of ONE aggregate per
-  position, the only reader of the deduped ledger;
-* that position table is held (``hold``: persisted on disk, or checkpointed by
-  the job) because two readers follow: last prices per token, and the
-  valuation. Prices and payouts fold into a token-sized table (token_id,
-  market_id, unit value) that is joined to positions, broadcast when its
-  measured rows and bytes are under the bounds.
+* cash flow and balance come out of ONE aggregate per position;
+* prices are a second, narrow aggregate over the same deduped ledger (its shuffle
+  is written once and read twice), fold with the payouts into a token-sized table
+  (token_id, market_id, unit value), and that one is joined to positions, broadcast
+  when its measured rows and bytes are under the bounds.
 
 Exchanges of the fused plan: (user_id, id_) for the dedupe, (user_id, token_id)
 for positions, (token_id) for prices (small), then the wallet rollup. Every
 aggregate has a partial step before its shuffle, so a wallet or token holding a
-large share of all rows is combined map-side.
+large share of all rows is combined map-side. Nothing is persisted: the plan stays
+lazy, and no table outlives the query.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,7 +32,6 @@ from marksman.plans.sizing import (DEFAULT_BROADCAST_MAX_ROWS, broadcast_if_smal
                                     measure_columns)
 
 Intermediaries = Sequence[str] | DataFrame
-Hold = Callable[[DataFrame], DataFrame]
 
 # Columns of the deduped ledger that the position stage reads.
 _POSITION_INPUT = ["timestamp", "token_id", "operation_type", "token_balance_change",
@@ -58,37 +54,13 @@ def literal_pnl(markets: DataFrame, fills: DataFrame, intermediaries: Intermedia
     return positions.pnl(flows, mtm, scale=scale)
 
 
-def on_disk(df: DataFrame) -> DataFrame:
-    """Persisted on the executors' disks; lost blocks are computed again."""
-    return df.persist(StorageLevel.DISK_ONLY)
-
-
-@dataclass
-class FusedParts:
-    """The fused plan's result and the tables held for it (``release`` them
-    once the result is materialised)."""
-    result: DataFrame
-    held: list[DataFrame]
-
-    def release(self) -> None:
-        for df in self.held:
-            df.unpersist()
-
-
-def fused_pnl(markets: DataFrame, fills: DataFrame, intermediaries: Intermediaries,
-              **kw) -> DataFrame:
-    """Per-position profit in the fused plan (same rows as ``literal_pnl``).
-    Options as for ``fused_parts``."""
-    return fused_parts(markets, fills, intermediaries, **kw).result
-
-
-def fused_parts(markets: DataFrame, fills: DataFrame, intermediaries: Intermediaries, *,
-                cash_asset: str = ledger.CASH, scale: int = 2,
-                broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
-                with_units: bool = False, hold: Hold = on_disk) -> FusedParts:
-    """The fused plan: one lazy plan for every input (one job sizes the
-    listings). ``with_units`` adds the integer sums the rollup reads; ``hold``
-    keeps the position table for its two readers."""
+def fused_pnl(markets: DataFrame, fills: DataFrame, intermediaries: Intermediaries, *,
+              cash_asset: str = ledger.CASH, scale: int = 2,
+              broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
+              with_units: bool = False) -> DataFrame:
+    """Per-position profit in the fused plan (same rows as ``literal_pnl``): one
+    lazy plan for every input (one job sizes the listings). ``with_units`` adds
+    the integer sums the rollup reads."""
     outcomes = ledger.market_outcomes(markets)
     # one job sizes the listings; every broadcast side below is no larger
     n, width = measure_columns(outcomes.select("token_id", "market_id"))
@@ -98,19 +70,18 @@ def fused_parts(markets: DataFrame, fills: DataFrame, intermediaries: Intermedia
     ops = ledger.exclude_intermediaries(ledger.signed(trades, cash_asset=cash_asset),
                                         intermediaries)
     ops = ledger.dedupe_by_priority(ops, intermediaries, keep=_POSITION_INPUT)
-    pos = hold(positions.positions(ops, scale=scale))
-    prices = valuation.last_price_from_positions(pos)
+    pos = positions.positions(ops)
+    prices = valuation.last_price_units(ops, scale=scale)
     values, _ = broadcast_if_small(
         valuation.token_values(outcomes, prices, scale=scale), broadcast_max_rows,
         measured=(n, width["token_id"] + width["market_id"] + 12 * n))
-    pnl = pos.join(values, "token_id").select(
+    return pos.join(values, "token_id").select(
         "user_id", "token_id", "market_id", "operations_count",
         *positions.pnl_columns(F.col("realized_usdc"), F.col("total_spent"),
                                checked_product("token_balance", "unit_units"),
                                scale, with_units=with_units),
         "day_enter", "day_exit",
     )
-    return FusedParts(pnl, [pos])
 
 
 def score_traders(markets: DataFrame, fills: DataFrame, intermediaries: Intermediaries, *,
@@ -126,23 +97,11 @@ def score_traders(markets: DataFrame, fills: DataFrame, intermediaries: Intermed
     return scorecard.rollup(pnl, unit=unit, year_days=year_days, scale=scale)
 
 
-def score_parts(markets: DataFrame, fills: DataFrame, intermediaries: Intermediaries, *,
-                unit: float = 1e6, year_days: int = 365, scale: int = 2,
-                **kw) -> FusedParts:
-    """``score_traders`` on the fused plan, with the tables held for it."""
-    parts = fused_parts(markets, fills, intermediaries, scale=scale, with_units=True, **kw)
-    scores = scorecard.rollup(parts.result, unit=unit, year_days=year_days, scale=scale)
-    return FusedParts(scores, parts.held)
-
-
 def top_traders(markets: DataFrame, fills: DataFrame, intermediaries: Intermediaries, *,
                 limit: int = 10_000, **kw) -> DataFrame:
-    """The flagship query: scorecards of the ``limit`` most profitable wallets.
-    The scorecard is held on disk; of a large one only the rows above a counted
-    threshold are sorted, so no task merges every partition's top rows."""
-    return scorecard.top_by_threshold(
-        on_disk(score_traders(markets, fills, intermediaries, **kw)), limit)
+    """The flagship query: scorecards of the ``limit`` most profitable wallets, as
+    one lazy plan."""
+    return scorecard.top_by_groups(score_traders(markets, fills, intermediaries, **kw), limit)
 
 
-__all__ = ["FusedParts", "fused_parts", "fused_pnl", "literal_pnl", "on_disk", "score_parts",
-           "score_traders", "top_traders"]
+__all__ = ["fused_pnl", "literal_pnl", "score_traders", "top_traders"]

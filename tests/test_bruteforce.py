@@ -117,9 +117,7 @@ def test_plans_match_brute_force(spark, c):
     for variant in ("fused", "literal"):
         fused = variant == "fused"
         if fused:
-            parts = scoring.fused_parts(m, f, IMS)
-            rows = parts.result.collect()
-            parts.release()
+            rows = scoring.fused_pnl(m, f, IMS).collect()
         else:
             rows = scoring.literal_pnl(m, f, IMS).collect()
         got = {}

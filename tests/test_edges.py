@@ -141,13 +141,13 @@ def test_top_breaks_ties_by_wallet(spark):
 
 
 @pytest.mark.parametrize("rows,n", [(5000, 50), (200_000, 100)])
-def test_top_by_threshold_matches_top(spark, rows, n):
+def test_top_by_groups_matches_top(spark, rows, n):
     # many ties (1000 distinct profits): the threshold keeps every tied row
     df = spark.range(0, rows).select(
         F.concat(F.lit("w"), F.col("id").cast("string")).alias("wallet_address"),
         ((F.col("id") * 7919) % 1000).cast("double").alias("profit_usdc"))
     exact = [r.wallet_address for r in scorecard.top(df, n).collect()]
-    got = [r.wallet_address for r in scorecard.top_by_threshold(df, n).collect()]
+    got = [r.wallet_address for r in scorecard.top_by_groups(df, n).collect()]
     assert got == exact
 
 
@@ -200,10 +200,10 @@ def _ranked(spark, kind, rows):
 
 @pytest.mark.parametrize("kind", ["none", "most", "nearly", "all", "null"])
 @pytest.mark.parametrize("n", [1, 50, 700])
-def test_top_by_threshold_with_nan_and_null(spark, kind, n):
+def test_top_by_groups_with_nan_and_null(spark, kind, n):
     df = _ranked(spark, kind, 6000).repartition(8).cache()
     exact = [r.wallet_address for r in scorecard.top(df, n).collect()]
-    assert [r.wallet_address for r in scorecard.top_by_threshold(df, n).collect()] == exact
+    assert [r.wallet_address for r in scorecard.top_by_groups(df, n).collect()] == exact
     df.unpersist()
 
 

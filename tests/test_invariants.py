@@ -70,26 +70,30 @@ def test_one_pass_positions_equal_single_stages(data):
     assert sorted(one.collect()) == sorted(two.select(*one.columns).collect())
 
 
-def test_held_positions_equal_literal_and_release(data):
-    from marksman.plans.sizing import checkpointed
+def test_building_top_traders_scores_nothing_and_holds_nothing(spark, data):
+    """Building it runs the one job that sizes the listings; no table is left
+    persisted when its rows are read."""
     m, f = data
-    b = scoring.literal_pnl(m, f, IMS)
-    parts = scoring.fused_parts(m, f, IMS)
-    assert [df.is_cached for df in parts.held] == [True]
-    assert sorted(parts.result.collect()) == sorted(b.select(*parts.result.columns).collect())
-    parts.release()
-    assert [df.is_cached for df in parts.held] == [False]
-    parts = scoring.fused_parts(m, f, IMS, hold=checkpointed)
-    assert sorted(parts.result.collect()) == sorted(b.select(*parts.result.columns).collect())
-
-
-def test_the_deduped_ledger_has_one_reader(data):
-    """The plan of the held positions has the one dedupe aggregate; what reads
-    them scans the held table."""
+    spark.catalog.clearCache()
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("build", "building")
+    try:
+        top = scoring.top_traders(m, f, IMS, limit=10)
+        jobs = len(tracker.getJobIdsForGroup("build"))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs <= 4  # one aggregate, its stages planned one by one
+    plan = top._jdf.queryExecution().analyzed().toString()
+    assert "InMemoryRelation" not in plan and "LogicalRDD" not in plan
+    assert len(top.collect()) == 10
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == before
+
+
+def test_the_deduped_shuffle_is_written_once(data):
+    """Positions and prices read the same exchange."""
     m, f = data
-    parts = scoring.fused_parts(m, f, IMS)
-    plan = parts.result._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("InMemoryRelation") == 2
-    held = parts.held[0]._jdf.queryExecution().analyzed().toString()
-    assert held.count("id_#") and held.count("max(struct(priority") == 1
-    parts.release()
+    df = scoring.fused_pnl(m, f, IMS)
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString()
+    assert "ReusedExchange" in final

@@ -75,12 +75,40 @@ def test_key_violations(spark):
     assert got == {("a", 2), (None, 1), ("x" * 200, 1)}
 
 
-def test_key_stats(spark):
-    df = spark.createDataFrame([("a",), ("a",), (None,), ("x" * 200,), ("ok",)],
-                               "wallet_address string")
-    assert sinks.key_stats(df) == (5, 3)
-    assert sinks.key_stats(df.where("wallet_address = 'ok'")) == (1, 0)
-    assert sinks.key_stats(df.where("false")) == (0, 0)
+@pytest.mark.parametrize("where", ["batch", "target"])
+@pytest.mark.parametrize("keys", [["a", "a"], [None], ["x" * 200]])
+def test_upsert_fails_on_broken_keys(spark, keys, where):
+    def rows(ks):
+        return sinks.coerce_scorecard(spark.createDataFrame(
+            [(k, 1.0) for k in ks], "wallet_address string, profit_usdc double"))
+
+    good = sinks.upsert(sinks.empty_target(spark), rows(["ok"]), now=T0)
+    bad = good.withColumn("wallet_address", F.explode(F.array(*map(F.lit, keys))))
+    with pytest.raises(Exception, match="key constraint broken"):
+        if where == "batch":
+            sinks.upsert(good, rows(keys), now=T1).collect()
+        else:
+            sinks.upsert(bad, rows(["ok"]), now=T1).collect()
+
+
+def test_upsert_has_one_exchange(spark, scores, monkeypatch):
+    plans = []
+    real = sinks.checkpointed
+    monkeypatch.setattr(sinks, "checkpointed", lambda df: plans.append(
+        df._jdf.queryExecution().executedPlan().toString()) or real(df))
+    b = sinks.coerce_scorecard(scores)
+    t = sinks.upsert(sinks.empty_target(spark), b, now=T0)
+    plans.clear()
+    root = scratch_path(spark, "test-exchange")
+    stored = []
+    for name, df in (("t", t), ("b", b)):
+        df.write.parquet(f"{root}/{name}")
+        stored.append(spark.read.schema(df.schema).parquet(f"{root}/{name}"))
+    out = sinks.upsert(*stored, now=T1)
+    assert plans[0].count("Exchange hashpartitioning") == 1 and "Join" not in plans[0]
+    assert "SortAggregate" not in plans[0]
+    after = out._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in after
 
 
 def test_snapshot_versions(spark, scores):
@@ -147,16 +175,55 @@ def test_job_entry_point(spark):
     assert sinks.current_version(spark, f"{root}/target") == 1
 
 
-def test_versions_without_a_marker_are_no_target(spark, scores):
-    root = scratch_path(spark, "test-partial")
+@pytest.mark.parametrize("step", ["write", "rename", "expire"])
+def test_a_crash_at_any_step_leaves_the_target_writable(spark, scores, monkeypatch, step):
+    root = scratch_path(spark, "test-crash")
     b = sinks.coerce_scorecard(scores)
-    # data of a writer that died before it published them
-    sinks.upsert(sinks.empty_target(spark), b.limit(1), now=T1).write.parquet(f"{root}/version=1-x")
-    with pytest.raises(RuntimeError, match="none of them is committed"):
-        sinks.read_snapshot(spark, root)
-    sinks.write_snapshot(sinks.upsert(sinks.empty_target(spark), b, now=T0), root)
-    assert sinks.current_version(spark, root) == 1
+    t = sinks.upsert(sinks.empty_target(spark), b, now=T0)
+    assert sinks.write_snapshot(t, root) == 1
+
+    def dead(*a):
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as m:
+        if step == "write":  # some files of the version are there
+            t.limit(1).write.parquet(f"{root}/_next")
+        else:
+            m.setattr(sinks, "_renamed" if step == "rename" else "_expired", dead)
+            with pytest.raises(KeyboardInterrupt):
+                sinks.write_snapshot(sinks.upsert(t, b, now=T1), root, run="r2")
+    published = step == "expire"
+    assert sinks.current_version(spark, root) == 1 + published
+    stamps = {r.updated_at for r in sinks.read_snapshot(spark, root).collect()}
+    assert stamps == {T1 if published else T0}
+    assert sinks.write_snapshot(sinks.upsert(t, b, now=T1), root, run="r2") == 2
     assert sinks.snapshot_count(sinks.read_snapshot(spark, root)) == 3
+    fs, p = sinks._fs(spark, root)
+    assert sorted(x.getPath().getName() for x in fs.listStatus(p)) == [
+        "version=000001-" + sinks.versions(spark, root)[1], "version=000002-r2"]
+
+
+@pytest.mark.parametrize("step", ["upsert", "_renamed", "snapshot_count"])
+def test_a_retried_run_is_one_version(spark, monkeypatch, step):
+    root = scratch_path(spark, "test-retry")
+    args = (spark, golden.markets(spark), golden.fills(spark), root)
+    kw = dict(intermediaries=golden.INTERMEDIARIES, limit=3, now=T0)
+    jobs.refresh(*args, **kw, run="first")
+
+    def dead(*a, **k):
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as m:
+        m.setattr(sinks, step, dead)
+        with pytest.raises(KeyboardInterrupt):
+            jobs.refresh(*args, **(kw | {"now": T1}), run="second")
+    s = jobs.refresh(*args, **(kw | {"now": T1}), run="second")
+    assert (s["users_stored"], s["total_users_in_db"]) == (3, 3)
+    assert sinks.versions(spark, root) == {1: "first", 2: "second"}
+    rows = sinks.read_snapshot(spark, root).collect()
+    assert sorted(r.id for r in rows) == [1, 2, 3] and {r.updated_at for r in rows} == {T1}
+    with pytest.raises(ValueError):
+        sinks.write_snapshot(sinks.empty_target(spark), root, run="a/b")
 
 
 def test_success_markers_do_not_matter(spark, scores):
@@ -175,27 +242,12 @@ def test_success_markers_do_not_matter(spark, scores):
         conf.unset("mapreduce.fileoutputcommitter.marksuccessfuljobs")
 
 
-def test_two_writers(spark, scores):
-    root = scratch_path(spark, "test-writers")
-    t = sinks.upsert(sinks.empty_target(spark), sinks.coerce_scorecard(scores), now=T0)
-    assert sinks.write_snapshot(t, root) == 1
-    assert sinks.write_snapshot(t, root, base=1) == 2
-    with pytest.raises(sinks.SnapshotConflict):  # it read version 1 as well
-        sinks.write_snapshot(t, root, base=1)
-    fs, claim = sinks._fs(spark, f"{root}/_claims/{3:012d}")
-    fs.create(claim, False).close()  # the other is between claim and marker
-    with pytest.raises(sinks.SnapshotConflict):
-        sinks.write_snapshot(t, root)
-    assert sinks.current_version(spark, root) == 2
-
-
 def test_old_versions_expire(spark, scores):
     root = scratch_path(spark, "test-expire")
     t = sinks.upsert(sinks.empty_target(spark), sinks.coerce_scorecard(scores), now=T0)
     for _ in range(5):
         sinks.write_snapshot(t, root, keep=2)
-    assert [n for n, _ in sinks._committed(spark, root)] == [4, 5]
-    assert len(sinks._listed(spark, root, "version=")) == 2
+    assert sorted(sinks.versions(spark, root)) == [4, 5]
 
 
 def test_ids_have_no_gaps(spark):
