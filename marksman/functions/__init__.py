@@ -50,21 +50,23 @@ def money(units: ColumnOrName, scale: int = 2) -> Column:
 _BIGINT_LIMIT = 9.2e18
 
 
+def _or_fail(result: Column, x: Column, y: Column) -> Column:
+    """``result``; an error if it is NULL although neither operand is."""
+    failed = F.raise_error(F.lit("amount exceeds 64 bits")).cast("bigint")
+    return F.coalesce(result, F.when(x.isNotNull() & y.isNotNull(), failed))
+
+
 def checked_product(a: ColumnOrName, b: ColumnOrName) -> Column:
-    """BIGINT product that fails instead of wrapping, whatever the session's
-    ANSI setting."""
+    """BIGINT product that fails instead of wrapping, whatever the session's ANSI
+    setting. It names its operands twice: pass columns, not long expressions."""
     x, y = _col(a), _col(b)
-    size = F.abs(x.cast("double") * y.cast("double"))
-    return F.when(size >= _BIGINT_LIMIT, F.raise_error(F.lit("amount exceeds 64 bits"))
-                  .cast("bigint")).otherwise(x * y)
+    return _or_fail(F.try_multiply(x, y), x, y)
 
 
 def checked_sum(a: ColumnOrName, b: ColumnOrName) -> Column:
     """BIGINT sum that fails instead of wrapping, whatever the ANSI setting."""
     x, y = _col(a), _col(b)
-    size = F.abs(x.cast("double") + y.cast("double"))
-    return F.when(size >= _BIGINT_LIMIT, F.raise_error(F.lit("amount exceeds 64 bits"))
-                  .cast("bigint")).otherwise(x + y)
+    return _or_fail(F.try_add(x, y), x, y)
 
 
 def checked_bigint(x: ColumnOrName) -> Column:

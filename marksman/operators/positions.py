@@ -50,26 +50,32 @@ def positions(ops: DataFrame) -> DataFrame:
     return ops.groupBy(*KEYS).agg(*aggs)
 
 
-def pnl_columns(realized, spent, unrealized_units, scale: int = 2,
-                with_units: bool = False) -> list:
-    """Profit columns of a position from integer amounts (base units, and
-    10**-scale base units for the valuation), exact up to the final ratio.
-    ``with_units`` adds the integer ``profit_units`` and ``gained_units`` that
-    the wallet rollup sums (so it needs no 38-digit decimal arithmetic)."""
-    unit = F.lit(10**scale)
-    gained_units = checked_sum(checked_product(realized, unit), unrealized_units)
-    spent_units = checked_product(spent, unit)
-    profit_units = checked_sum(gained_units, -spent_units)
-    extra = ([profit_units.alias("profit_units"),
-              gained_units.alias("gained_units")] if with_units else [])
-    return extra + [
-        money(profit_units, scale).alias("absolute_profit"),
-        ratio_or_zero(gained_units, spent_units).alias("relative_profit"),
-        spent.alias("total_spent"),
-        money(gained_units, scale).alias("total_gained"),
-        realized.alias("realized_usdc"),
-        money(unrealized_units, scale).alias("unrealized_usdc"),
-    ]
+def with_pnl(df: DataFrame, before: list[str], after: list[str], *, scale: int = 2,
+             with_units: bool = False) -> DataFrame:
+    """``before``, the profit columns of a position and ``after``, from the integer
+    columns ``realized_usdc``, ``total_spent`` (base units) and ``unrealized_units``
+    (10**-scale base units), exact up to the final ratio. ``with_units`` adds the
+    integer ``profit_units`` and ``gained_units`` that the wallet rollup sums (so it
+    needs no 38-digit decimal arithmetic).
+
+    Amounts are computed step by step in projections of their own, so that no
+    step repeats the one before it inside its overflow check."""
+    unit = F.lit(10**scale).cast("bigint")
+    rows = df.select(*before, *after, "realized_usdc", "total_spent", "unrealized_units")
+    rows = rows.withColumns({"_gross_units": checked_product("realized_usdc", unit),
+                             "_spent_units": checked_product("total_spent", unit)})
+    rows = rows.withColumn("gained_units", checked_sum("_gross_units", "unrealized_units"))
+    rows = rows.withColumn("_lost_units", -F.col("_spent_units"))
+    rows = rows.withColumn("profit_units", checked_sum("gained_units", "_lost_units"))
+    return rows.select(
+        *before, *(["profit_units", "gained_units"] if with_units else []),
+        money(F.col("profit_units"), scale).alias("absolute_profit"),
+        ratio_or_zero("gained_units", "_spent_units").alias("relative_profit"),
+        "total_spent",
+        money(F.col("gained_units"), scale).alias("total_gained"),
+        "realized_usdc",
+        money(F.col("unrealized_units"), scale).alias("unrealized_usdc"),
+        *after)
 
 
 def pnl(cashflow_df: DataFrame, valuation_df: DataFrame, *, scale: int = 2) -> DataFrame:
@@ -79,14 +85,10 @@ def pnl(cashflow_df: DataFrame, valuation_df: DataFrame, *, scale: int = 2) -> D
     Left join on (user_id, token_id); an unmatched valuation counts as 0.
     """
     v = valuation_df.select(*KEYS, "unrealized_usdc")
-    j = cashflow_df.join(v, KEYS, "left")
-    unreal_units = F.coalesce(
-        checked_bigint(F.col("unrealized_usdc") * F.lit(10**scale)), F.lit(0).cast("bigint"))
-    return j.select(
-        *KEYS, "market_id", "operations_count",
-        *pnl_columns(F.col("realized_usdc"), F.col("total_spent"), unreal_units, scale),
-        "day_enter", "day_exit",
-    )
+    j = cashflow_df.join(v, KEYS, "left").withColumn("unrealized_units", F.coalesce(
+        checked_bigint(F.col("unrealized_usdc") * F.lit(10**scale)), F.lit(0).cast("bigint")))
+    return with_pnl(j, [*KEYS, "market_id", "operations_count"], ["day_enter", "day_exit"],
+                    scale=scale)
 
 
-__all__ = ["KEYS", "balance", "cashflow", "pnl", "pnl_columns", "positions"]
+__all__ = ["KEYS", "balance", "cashflow", "pnl", "positions", "with_pnl"]

@@ -75,13 +75,10 @@ def fused_pnl(markets: DataFrame, fills: DataFrame, intermediaries: Intermediari
     values, _ = broadcast_if_small(
         valuation.token_values(outcomes, prices, scale=scale), broadcast_max_rows,
         measured=(n, width["token_id"] + width["market_id"] + 12 * n))
-    return pos.join(values, "token_id").select(
-        "user_id", "token_id", "market_id", "operations_count",
-        *positions.pnl_columns(F.col("realized_usdc"), F.col("total_spent"),
-                               checked_product("token_balance", "unit_units"),
-                               scale, with_units=with_units),
-        "day_enter", "day_exit",
-    )
+    worth = pos.join(values, "token_id").withColumn(
+        "unrealized_units", checked_product("token_balance", "unit_units"))
+    return positions.with_pnl(worth, ["user_id", "token_id", "market_id", "operations_count"],
+                              ["day_enter", "day_exit"], scale=scale, with_units=with_units)
 
 
 def score_traders(markets: DataFrame, fills: DataFrame, intermediaries: Intermediaries, *,
