@@ -4,9 +4,12 @@ A page becomes a stream of blocks in page order: text between block-level tags,
 inline markup dropped, character references decoded, white space folded. Each
 block knows which elements enclose it. Three kinds follow from the markup:
 furniture (navigation, header, footer, aside, form, script and the like, and
-elements whose class, id or role says menu, sidebar, advert, notice, comment,
-...), the article proper (inside ``article`` or ``main``, not in furniture), and
-*open* blocks, about which the markup says nothing.
+elements with a class, id or role that names menu, sidebar, advert, notice, comment,
+...: a whole name such as ``sidebar`` or ``site-nav``, not one that only has the
+word in it, such as ``has-sidebar`` or ``share-price``), the article proper (inside
+``article`` or ``main``), and *open* blocks, about which the markup says nothing. An
+article opens a scope of its own, also in a marked wrapper or a form, but not in
+navigation, header, footer, aside, comments, adverts and the like.
 
 Boilerplate among open blocks is found per host. The hosts' open blocks are
 concatenated into token streams, a suffix array is built for each shard of a
@@ -51,6 +54,7 @@ COVERED = 0.5
 _CODE = 8  # bytes of a token's code
 
 ARTICLE, OPEN, FURNITURE = 0, 1, 2
+_WRAPPER = 3  # furniture in which an article may stand
 
 _MAIN = {"article", "main"}
 _SKIP = {"head", "script", "style", "template", "noscript", "svg", "math", "iframe", "object",
@@ -78,10 +82,31 @@ _MARKS = {"ad", "ads", "advert", "advertisement", "advertising", "banner", "brea
           "navbar", "navigation", "newsletter", "notice", "notices", "overlay", "popup", "promo",
           "promoted", "related", "replies", "respond", "search", "share", "sharing", "sidebar",
           "sidenav", "social", "sponsor", "sponsored", "subscribe", "toolbar", "widget"}
+# Of them, those whose articles are furniture as well (comments, teasers, adverts).
+_CLOSED = {"ad", "ads", "advert", "advertisement", "advertising", "comment", "comments", "disqus",
+           "promo", "promoted", "related", "replies", "respond", "sidebar", "sponsor", "sponsored"}
+# Words that may stand beside one of them in a name.
+_NEUTRAL = {"area", "bar", "block", "box", "container", "global", "inner", "list", "links", "main",
+            "outer", "page", "panel", "primary", "section", "secondary", "site", "slot", "top",
+            "unit", "wrap", "wrapper"}
 _WORD = re.compile(r"[a-z]+")
 _CUT_TAG = re.compile(r"<[A-Za-z/!][^<>]*$")  # a page that ends inside a tag
 
 
+def _marks(attrs: list[tuple[str, str | None]]) -> set[str]:
+    """The marks that class, id and role name: names all of whose words are marks
+    or neutral."""
+    out: set[str] = set()
+    for k, v in attrs:
+        if v and k in ("class", "id", "role"):
+            for name in v.split():
+                words = _WORD.findall(re.sub(r"(?<=[a-z])(?=[A-Z])", " ", name).lower())
+                found = _MARKS.intersection(words)
+                if found and _NEUTRAL.issuperset(found.symmetric_difference(words)):
+                    out |= found
+    return out
+
+
 class _Blocks(HTMLParser):
     """Collects (kind, text) blocks."""
 
@@ -96,7 +121,7 @@ class _Blocks(HTMLParser):
         text = " ".join("".join(self.parts).split())
         self.parts = []
         if text:
-            self.blocks.append((self.kind, text))
+            self.blocks.append((FURNITURE if self.kind == _WRAPPER else self.kind, text))
 
     def _pop(self, depth: int) -> None:
         del self.stack[depth:]
@@ -131,14 +156,20 @@ class _Blocks(HTMLParser):
                     if name not in _INLINE:  # not beyond the enclosing block
                         break
         kind, skipped = self.kind, self.skipped or tag in _SKIP
-        marks = {w for k, v in attrs if k in ("class", "id", "role") and v
-                 for w in _WORD.findall(v.lower())}
+        marks = _marks(attrs)
         hidden = any(k == "hidden" or (k == "aria-hidden" and v == "true") for k, v in attrs)
-        if tag in _ASIDE or hidden or (marks & _MARKS and tag not in ("html", "body")
-                                       and tag not in _MAIN):
+        whole = tag in ("html", "body")
+        if kind == FURNITURE:
+            pass
+        elif hidden or (tag in _ASIDE and tag not in ("form", "dialog")) or (
+                marks & _CLOSED and not whole):
             kind = FURNITURE
-        elif tag in _MAIN and kind == OPEN or "main" in marks and kind == OPEN:
+        elif tag in _MAIN or kind == OPEN and any(
+                k == "role" and v == "main" or k in ("class", "id") and v and "main" in v.split()
+                for k, v in attrs):
             kind = ARTICLE
+        elif tag in _ASIDE or (marks and not whole):
+            kind = _WRAPPER
         if kind != self.kind:
             self._flush()
         self.stack.append((tag, kind, skipped))

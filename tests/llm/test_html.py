@@ -40,6 +40,24 @@ def test_broken_markup():
         (FURNITURE, "h"), (FURNITURE, "r"), (ARTICLE, "x")]
 
 
+def test_articles_open_their_own_scope():
+    one = [(ARTICLE, "one")]
+    for page in ("<div class='layout has-sidebar'><article>one</article></div>",
+                 "<form id=aspnetForm><main>one</main></form>",
+                 "<div class='page modal'><article>one</article></div>",
+                 "<body class='search'><article>one</article>",
+                 "<article><p class='share-price'>one</p></article>",
+                 "<article><section id=search-trees>one</section></article>"):
+        assert blocks(page) == one, page
+    gone = [(FURNITURE, "one")]
+    for page in ("<section class=comments><article>one</article></section>",
+                 "<article class='comment'>one</article>", "<aside><article>one</article></aside>",
+                 "<div id='siteNav'>one</div>", "<div class='cookie-notice'>one</div>",
+                 "<article><div class='ad-slot'>one</div></article>",
+                 "<article><form>one</form></article>", "<div class=sidebar><main>one</main></div>"):
+        assert blocks(page) == gone, page
+
+
 def test_head_without_end_tag():
     head = "<html><head><meta charset=utf-8><title>T</title><style>p{}</style><script>x</script>"
     for body in ("<body><article><p>one</article>", "<article><p>one</article>",
