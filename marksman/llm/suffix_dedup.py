@@ -55,9 +55,9 @@ from marksman.plans.sizing import broadcast_if_small
 
 LENGTH = 400
 GRAM = 32
-PIECE = 1 << 17
-SHARD_BYTES = 1 << 20
-SHARD_CONTEXTS = 2048
+PIECE = 1 << 16
+SHARD_BYTES = 1 << 18
+SHARD_CONTEXTS = 1024
 _PLACE_BITS = 24  # a place in a chunk of up to 2 * PIECE bytes
 
 RUNS = "fid long, row long, place long, windows int, off int, a long, c long"
