@@ -133,10 +133,11 @@ def joined(rows: DataFrame, table: DataFrame, keys: list[str],
     return often.unionByName(rows.join(hot, keys, "left_anti").join(table, keys))
 
 
-def joined_by_size(rows: DataFrame, table: DataFrame, keys: list[str], n: str = "n") -> DataFrame:
+def joined_by_size(rows: DataFrame, table: DataFrame, keys: list[str], n: str = "n",
+                   max_rows: int = 200_000) -> DataFrame:
     """``joined`` with a written table that has each key's number of rows in ``n``;
     a small one is broadcast as a whole."""
-    whole, fits = broadcast_if_small(table)
+    whole, fits = broadcast_if_small(table, max_rows)
     return rows.join(whole, keys) if fits else joined(rows, table, keys, hot_keys(table, keys, n))
 
 

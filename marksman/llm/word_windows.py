@@ -48,6 +48,7 @@ from pyspark.sql import functions as F
 from marksman.llm.common import arrow_rows, discard, joined_by_size, map_arrow, text_or_empty, written
 from marksman.llm.exact_dedup import located
 from marksman.llm.suffix_dedup import _window_least, mixed
+from marksman.plans.sizing import DEFAULT_BROADCAST_MAX_ROWS
 
 LENGTH = 20
 PIECE = 1 << 18
@@ -232,7 +233,8 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     found = written(runs(docs, length), "windows-runs")
     anchors = found.groupBy("a").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     every, found = found, written(
-        joined_by_size(found, written(anchors, "windows-anchors"), ["a"]).drop("n"), "windows-repeated")
+        joined_by_size(found, written(anchors, "windows-anchors"), ["a"],
+                       max_rows=DEFAULT_BROADCAST_MAX_ROWS).drop("n"), "windows-repeated")
     discard(every)
     key = ["a", "c", "windows", "off"]
     groups = written(found.groupBy(*key).agg(

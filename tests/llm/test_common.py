@@ -13,7 +13,7 @@ def test_hot_keys_are_joined_apart(spark, monkeypatch, fits):
     assert common.hot_keys(table, ["k"]) is None
     monkeypatch.setattr(common, "HOT", 10)
     assert [tuple(r) for r in common.hot_keys(table, ["k"]).collect()] == [(7,)]
-    monkeypatch.setattr(common, "broadcast_if_small", lambda df: (df, fits))
+    monkeypatch.setattr(common, "broadcast_if_small", lambda df, rows: (df, fits))
     out = common.joined_by_size(rows, table, ["k"]).select("id", "k", "n")
     assert sorted(map(tuple, out.collect())) == want
 
