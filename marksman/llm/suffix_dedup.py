@@ -535,7 +535,8 @@ def _contexts(docs: DataFrame, edges: DataFrame, length: int, unit: int) -> Data
     """The bytes of every context in ``edges``, read from its document."""
     wanted = edges.groupBy("fid", "row").agg(F.collect_list(F.struct(
         "a", "part", "splits", "n", "windows", "place")).alias("wanted"))
-    rows = docs.select("fid", "row", "data").join(wanted, ["fid", "row"])
+    # hashed, so that the texts are not sorted: a document's contexts are few beside it
+    rows = docs.select("fid", "row", "data").join(wanted.hint("shuffle_hash"), ["fid", "row"])
     rows = rows.select("fid", "row", "data", F.explode("wanted").alias("w"))
     return rows.select("fid", "row", "w.*", F.expr(
         f"substring(data, int(w.place) + 1, (w.windows - 1) * {unit} + {length})").alias("bytes"))
@@ -652,10 +653,12 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, text: str = "text",
     keyed = docs.select(fid.alias("fid"), row.alias("row"),
                         *[F.col(f"`{c}`").alias(f"__c{i}") for i, c in enumerate(columns)])
     at = f"__c{columns.index(text)}"
-    rows = keyed.withColumn("__bytes", F.encode(text_or_empty(at), "UTF-8"))
-    spans = repeated_spans(rows.select("fid", "row", F.col("__bytes").alias("data")), length,
-                           first=first)
-    rows = rows.join(spans, ["fid", "row"], "left")
+    data = F.encode(text_or_empty(at), "UTF-8")
+    spans = written(repeated_spans(keyed.select("fid", "row", data.alias("data")), length,
+                                   first=first), "suffix-spans")
+    # a text is shuffled once, not as bytes as well, and not sorted
+    rows = keyed.join(spans.hint("shuffle_hash"), ["fid", "row"], "left").withColumn(
+        "__bytes", data)
     kept = F.when(F.col("spans").isNull(), F.col("__bytes")).otherwise(
         _kept_bytes(F.col("__bytes"), F.col("spans")))
     return rows.select(*[F.col(f"__c{i}").alias(c) for i, c in enumerate(columns)], "__bytes",
