@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import gc
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
@@ -53,8 +54,11 @@ def ship(spark: SparkSession) -> None:
     _SHIPPED.add(sc.applicationId)
 
 
-# Rows of an Arrow batch: texts are long, and two batches a core are alive.
-_BATCH_CONF, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 2000
+# Rows and bytes of an Arrow batch: texts are long, and of each core's batches
+# several copies are alive (written, sent, read). A longer text is a batch alone.
+BATCH_ROWS, BATCH_BYTES = 2000, 4 << 20
+_BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", str(BATCH_ROWS)),
+          "spark.sql.execution.arrow.maxBytesPerBatch": ("67108864b", str(BATCH_BYTES))}
 
 
 def _give_back() -> None:
@@ -66,16 +70,43 @@ def _give_back() -> None:
         pass
 
 
+# What a worker keeps between the tasks of one operator, and that operator's module.
+_KEPT: dict[str, object] = {}
+_OWNER: list[str] = []
+
+
+def kept(name: str, make: Callable[[], object]) -> object:
+    """``make()``, kept for the later tasks of this worker until it works for
+    another operator."""
+    if name not in _KEPT:
+        _KEPT[name] = make()
+    return _KEPT[name]
+
+
+def _begin(owner: str) -> None:
+    """Drop what the tasks of another operator have left in this worker."""
+    if _OWNER != [owner]:
+        _KEPT.clear()
+        _OWNER[:] = [owner]
+        gc.collect()
+        _give_back()
+
+
 def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
               schema: str | StructType) -> DataFrame:
     """``df.mapInArrow(run, schema)`` with this package known to the workers, in
-    batches of ``BATCH_ROWS`` rows unless the session has set a number."""
+    batches of ``BATCH_ROWS`` rows and ``BATCH_BYTES`` bytes unless the session has
+    set these bounds (they are read when the rows are, so they stay set)."""
     spark = df.sparkSession
     ship(spark)
-    if spark.conf.get(_BATCH_CONF) == "10000":  # Spark's default
-        spark.conf.set(_BATCH_CONF, BATCH_ROWS)
+    for name, (default, value) in _BATCH.items():
+        if spark.conf.get(name) == default:
+            spark.conf.set(name, value)
+
+    owner = run.__module__
 
     def tidy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _begin(owner)
         try:
             yield from run(batches)
         finally:
@@ -141,5 +172,5 @@ def joined_by_size(rows: DataFrame, table: DataFrame, keys: list[str], n: str =
     return rows.join(whole, keys) if fits else joined(rows, table, keys, hot_keys(table, keys, n))
 
 
-__all__ = ["arrow_rows", "checkpointed", "discard", "hot_keys", "joined", "joined_by_size", "let", "map_arrow", "read_table", "scratch_path", "ship",
+__all__ = ["arrow_rows", "checkpointed", "discard", "hot_keys", "joined", "joined_by_size", "kept", "let", "map_arrow", "read_table", "scratch_path", "ship",
            "text_or_empty", "written"]

@@ -18,6 +18,8 @@ from array import array
 
 import numpy as np
 
+from marksman.llm.common import kept
+
 MAX_WORDS = 1_000_000
 MAX_WORD_CHARS = 64
 
@@ -111,14 +113,9 @@ class WordTokenizer:
         return out
 
 
-_LOADED: dict[str, WordTokenizer] = {}
-
-
 def tokenizer(path: str) -> WordTokenizer:
     """The tokenizer of this Python worker (kept between its tasks)."""
-    if path not in _LOADED:
-        _LOADED[path] = WordTokenizer(path)
-    return _LOADED[path]
+    return kept(f"tokenizer {path}", lambda: WordTokenizer(path))
 
 
 __all__ = ["WordTokenizer", "default_vocabulary", "tokenizer"]

@@ -24,3 +24,23 @@ def test_discard(spark):
     common.discard(df)
     path = spark._jvm.org.apache.hadoop.fs.Path(df._scratch)
     assert not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+
+
+def test_kept_until_another_operator():
+    common._begin("a")
+    first = common.kept("words", dict)
+    common._begin("a")
+    assert common.kept("words", dict) is first
+    common._begin("b")
+    assert common.kept("words", dict) is not first
+
+
+def test_batches_are_bounded_by_bytes(spark):
+    def run(batches):
+        import pyarrow as pa
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"n": [b.num_rows], "size": [b.nbytes]})
+
+    texts = spark.range(0, 200, 1, 1).selectExpr("repeat('x', 5000000) as text")
+    out = common.map_arrow(texts, run, "n long, size long").collect()
+    assert sum(r.n for r in out) == 200 and max(r.size for r in out) < 2 * 5_000_100
