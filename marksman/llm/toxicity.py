@@ -44,7 +44,6 @@ from marksman.llm.common import arrow_rows, map_arrow, text_or_empty, written
 SAMPLE = 20_000
 PREFIXES = range(3, 9)
 MAX_TERMS = 20_000
-MAX_WORD = 40
 SCHEMA = "doc_id long, score double"
 
 # Letters of other scripts that look like Latin ones.
@@ -80,7 +79,7 @@ def fold(text: str) -> str:
 
 def terms_of(word: str) -> Iterator[str]:
     """Terms a word is counted under; a whole word ends with a space."""
-    yield f" {word[:MAX_WORD]} "
+    yield f" {word} "
     for n in PREFIXES:
         if len(word) > n:
             yield " " + word[:n]

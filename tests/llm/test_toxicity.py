@@ -99,3 +99,11 @@ def test_labels_of_held_out_rows_are_not_read(spark, tmp_path):
     a, b = ({r.doc_id: r.score for r in op6_toxicity(spark, str(tmp_path / str(f))).collect()}
             for f in (0, 1))
     assert a == b
+
+
+def test_a_long_word_is_matched_whole():
+    word = "abcdefghij" * 7
+    term = next(toxicity.terms_of(word))
+    lexicon = toxicity.Lexicon({term: 2.0}, [])
+    assert lexicon.matches(toxicity.fold(f"so {word.upper()}, there")) == {3: 2.0}
+    assert not lexicon.matches(toxicity.fold(word + "k"))
