@@ -3,7 +3,8 @@ intermediary filter and the dedupe by priority.
 
 The ledger itself is narrow (scan, filter, generator, broadcast join). Only
 ``dedupe_by_priority`` shuffles the ledger (one hash exchange on (user_id,
-id_), after a map-side partial aggregate).
+id_), after a map-side partial aggregate); ``trade_sides`` of trades dealt by
+id_ needs none.
 """
 
 from __future__ import annotations
@@ -102,6 +103,50 @@ def two_sided(fills: DataFrame, *, cash_asset: str = CASH) -> DataFrame:
     )
 
 
+def trades(fills: DataFrame, *, cash_asset: str = CASH) -> DataFrame:
+    """One narrow row per live fill, before it is seen from its two sides: what
+    joins and shuffles carry, at half the rows of the ledger. Both sides trade the
+    same ``token_id``: the taker's asset if the maker pays cash, else the maker's."""
+    maker_pays = F.coalesce(F.col("maker_asset_id") == cash_asset, F.lit(False))
+    taker_pays = F.coalesce(F.col("taker_asset_id") == cash_asset, F.lit(False))
+    return live_fills(fills, cash_asset=cash_asset).select(
+        F.substring_index(F.col("id"), "_", 1).alias("id_"),
+        "timestamp", "maker", "taker",
+        maker_pays.alias("maker_pays"), taker_pays.alias("taker_pays"),
+        "maker_amount_filled", "taker_amount_filled",
+        F.when(maker_pays, F.col("taker_asset_id")).otherwise(F.col("maker_asset_id"))
+        .alias("token_id"),
+    )
+
+
+def trade_sides(trades: DataFrame) -> DataFrame:
+    """``trades`` as signed ledger rows, one per side: the rows of ``signed`` of
+    ``two_sided`` without the asset columns; other columns are kept."""
+    given = {"id_", "timestamp", "maker", "taker", "maker_pays", "taker_pays",
+             "maker_amount_filled", "taker_amount_filled", "token_id"}
+    more = [c for c in trades.columns if c not in given]
+    maker_side = F.col("side") == 1
+
+    def pick(for_maker: str, for_taker: str):
+        return F.when(maker_side, F.col(for_maker)).otherwise(F.col(for_taker))
+
+    sides = trades.select("*", F.explode(F.array(F.lit(1), F.lit(2))).alias("side")).select(
+        "id_", "timestamp", "token_id", *more,
+        pick("maker", "taker").alias("user_id"),
+        pick("taker", "maker").alias("agent"),
+        pick("maker_pays", "taker_pays").alias("buy"),
+        pick("maker_amount_filled", "taker_amount_filled").alias("given"),
+        pick("taker_amount_filled", "maker_amount_filled").alias("received"))
+    return sides.select(
+        "id_", "user_id", "agent", *more, "timestamp",
+        F.when(F.col("buy"), F.lit("BUY")).otherwise(F.lit("SELL")).alias("operation_type"),
+        F.when(F.col("buy"), F.col("received")).otherwise(-F.col("given"))
+        .alias("token_balance_change"),
+        F.when(F.col("buy"), -F.col("given")).otherwise(F.col("received"))
+        .alias("usdc_balance_change"),
+        "token_id")
+
+
 def signed(ledger: DataFrame, *, cash_asset: str = CASH) -> DataFrame:
     """Label each ledger row BUY (gives cash) or SELL and sign the balance
     changes: tokens + on a buy, cash - on a buy, the reverse on a sell."""
@@ -138,7 +183,8 @@ def exclude_intermediaries(ops: DataFrame, intermediaries: Sequence[str] | DataF
     if isinstance(intermediaries, DataFrame):
         listed, _ = broadcast_if_small(intermediaries.select("user_id").distinct())
         return ops.where(F.col("user_id").isNotNull()).join(listed, "user_id", "left_anti")
-    return ops.where(~F.col("user_id").isin(list(intermediaries)))
+    # said outright, so that every branch of a plan reads the same rows
+    return ops.where(F.col("user_id").isNotNull() & ~F.col("user_id").isin(list(intermediaries)))
 
 
 def with_priority(ops: DataFrame, intermediaries: Sequence[str] | DataFrame) -> DataFrame:
@@ -167,9 +213,11 @@ def dedupe_by_priority(ops: DataFrame, intermediaries: Sequence[str] | DataFrame
     later stages read, since fields packed in the struct are not pruned.
     """
     order = [c for c in PRIORITY_ORDER if c == "priority" or c in ops.columns]
-    keys = ["user_id", "id_"]
+    keys = ["id_", "user_id"]  # ids differ sooner than wallets do: cheaper to sort by
     cols = [c for c in (keep if keep is not None else ops.columns) if c not in keys]
     payload = [c for c in cols if c not in order]
+    while not payload and order[-1] not in cols and order[-1] != "priority":
+        order.pop()  # rows alike in all columns before it give the same result
     pri = with_priority(ops, intermediaries)
     picked = pri.groupBy(*keys).agg(latest(order, payload).alias("row"))
     return picked.select("id_", "user_id", *[F.col(f"row.{c}").alias(c) for c in cols])
@@ -185,6 +233,8 @@ __all__ = [
     "market_outcomes",
     "operations",
     "signed",
+    "trade_sides",
+    "trades",
     "two_sided",
     "with_priority",
 ]

@@ -7,6 +7,8 @@ testing the fused form against them.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,13 +43,24 @@ def balance(ops: DataFrame) -> DataFrame:
     )
 
 
-def positions(ops: DataFrame) -> DataFrame:
+def positions(ops: DataFrame, *, also: Sequence[str] = ()) -> DataFrame:
     """Cash flow and balance per position in one pass (plus the greatest
-    ``market_id`` when the rows carry one)."""
+    ``market_id`` when the rows carry one). ``also`` lists columns that follow from
+    the keys and are grouped by too.
+
+    Operations with and without an ``id_`` are counted apart and added, so that
+    this aggregate reads the columns that the prices read: both share one shuffle."""
     aggs = _cashflow_aggs() + [F.sum("token_balance_change").alias("token_balance")]
     if "market_id" in ops.columns:
         aggs.insert(0, F.max("market_id").alias("market_id"))
-    return ops.groupBy(*KEYS).agg(*aggs)
+    if "id_" in ops.columns:
+        aggs += [F.count("id_").alias("_named"),
+                 F.count_if(F.col("id_").isNull()).alias("_unnamed")]
+    out = ops.groupBy(*KEYS, *also).agg(*aggs)
+    if "id_" in ops.columns:
+        out = out.withColumn("operations_count", F.col("_named") + F.col("_unnamed")).drop(
+            "_named", "_unnamed")
+    return out
 
 
 def with_pnl(df: DataFrame, before: list[str], after: list[str], *, scale: int = 2,
@@ -78,7 +91,8 @@ def with_pnl(df: DataFrame, before: list[str], after: list[str], *, scale: int =
         *after)
 
 
-def pnl(cashflow_df: DataFrame, valuation_df: DataFrame, *, scale: int = 2) -> DataFrame:
+def pnl(cashflow_df: DataFrame, valuation_df: DataFrame, *, scale: int = 2,
+        with_units: bool = False) -> DataFrame:
     """Profit per position: realised + unrealised - spent, and the gross
     multiple (realised + unrealised) / spent, 0 when nothing was spent.
 
@@ -88,7 +102,7 @@ def pnl(cashflow_df: DataFrame, valuation_df: DataFrame, *, scale: int = 2) -> D
     j = cashflow_df.join(v, KEYS, "left").withColumn("unrealized_units", F.coalesce(
         checked_bigint(F.col("unrealized_usdc") * F.lit(10**scale)), F.lit(0).cast("bigint")))
     return with_pnl(j, [*KEYS, "market_id", "operations_count"], ["day_enter", "day_exit"],
-                    scale=scale)
+                    scale=scale, with_units=with_units)
 
 
 __all__ = ["KEYS", "balance", "cashflow", "pnl", "positions", "with_pnl"]

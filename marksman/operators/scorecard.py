@@ -13,6 +13,9 @@ from marksman.schemas import SCORE_MEASURES, SCORECARD_KEY
 
 # Groups whose own top n meet in one task.
 TOP_GROUPS = 128
+# Tasks over which the positions of one wallet are dealt, by market; a power of two.
+WALLET_SHARES = 4
+SHARE = "_wallet_share"
 # Output columns of the two variants; fixed values, the results carry them.
 SCORE_COLUMNS = [SCORECARD_KEY, *SCORE_MEASURES]
 ADHOC_COLUMNS = [
@@ -22,29 +25,61 @@ ADHOC_COLUMNS = [
 ]
 
 
+def dealt(rows: DataFrame) -> DataFrame:
+    """Positions dealt by wallet and share of its markets: every market of a wallet
+    is whole in one task, and no wallet is."""
+    share = F.xxhash64("market_id").bitwiseAND(F.lit(WALLET_SHARES - 1).cast("bigint"))
+    return rows.withColumn(SHARE, share).repartition("user_id", SHARE)
+
+
 def _sums(pnl: DataFrame, scale: int) -> DataFrame:
-    """One aggregate per wallet over positions, money summed exactly as
-    integer 10**-scale units. COUNT(DISTINCT market_id) plans as two partial
-    aggregates, so a wallet with many positions is combined map-side."""
-    unit = F.lit(10**scale)
+    """One row per wallet over its positions, money summed exactly as integer
+    10**-scale units.
 
-    def units(name: str, decimal_col: str):
-        # integer hundredths straight from the fused plan, else from the decimal;
-        # summed as decimals, which do not wrap
-        x = F.col(name) if name in pnl.columns else F.col(decimal_col) * unit
-        return x.cast("decimal(20,0)")
-
-    return pnl.groupBy("user_id").agg(
-        F.count(F.lit(1)).alias("n_positions"),
-        F.count_distinct("market_id").alias("n_markets"),
-        F.avg("operations_count").alias("avg_ops"),
-        F.sum(units("profit_units", "absolute_profit")).alias("profit_units"),
-        F.avg("relative_profit").alias("avg_rel"),
-        F.sum(units("gained_units", "total_gained")).alias("gained_units"),
+    The positions are shuffled once (``dealt``, here unless they are already); the
+    markets of a wallet are counted there, and at most ``WALLET_SHARES`` rows a
+    wallet move again."""
+    unit = F.lit(10**scale)
+    low = F.lit((1 << 32) - 1).cast("bigint")
+
+    def parts(c: str, units: str, decimal_col: str) -> list[Column]:
+        # integer hundredths straight from the plan, summed as two halves that do not
+        # wrap; else from the decimal, summed as a decimal
+        if units not in pnl.columns:
+            return [F.sum((F.col(decimal_col) * unit).cast("decimal(20,0)")).alias(c)]
+        return [F.sum(F.shiftright(units, 32)).alias(f"{c}_high"),
+                F.sum(F.col(units).bitwiseAND(low)).alias(f"{c}_low")]
+
+    def whole(c: str, units: str) -> Column:
+        if units not in pnl.columns:
+            return F.sum(c)
+        return (F.sum(f"{c}_high").cast("decimal(19,0)") * F.lit(1 << 32)
+                + F.sum(f"{c}_low").cast("decimal(19,0)"))
+
+    rows = pnl if SHARE in pnl.columns else dealt(pnl)
+    per_market = rows.groupBy("user_id", SHARE, "market_id").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum("operations_count").alias("ops"),
+        F.count("operations_count").alias("n_ops"),
+        *parts("profit", "profit_units", "absolute_profit"),
+        F.sum("relative_profit").alias("rel"),
+        F.count("relative_profit").alias("n_rel"),
+        *parts("gained", "gained_units", "total_gained"),
         F.sum("total_spent").alias("spent"),
         F.min("day_enter").alias("first_at"),
         F.max("day_exit").alias("last_at"),
     )
+    return per_market.groupBy("user_id").agg(
+        F.sum("n").alias("n_positions"),
+        F.count("market_id").alias("n_markets"),
+        F.try_divide(F.sum("ops").cast("double"), F.sum("n_ops").cast("double")).alias("avg_ops"),
+        whole("profit", "profit_units").alias("profit_units"),
+        F.try_divide(F.sum("rel"), F.sum("n_rel").cast("double")).alias("avg_rel"),
+        whole("gained", "gained_units").alias("gained_units"),
+        F.sum("spent").alias("spent"),
+        F.min("first_at").alias("first_at"),
+        F.max("last_at").alias("last_at"),
+    )
 
 
 def rollup(pnl: DataFrame, *, unit: float = 1e6, year_days: int = 365,
@@ -144,5 +179,5 @@ def top_by_groups(scores: DataFrame, n: int, *, by: str = "profit_usdc",
     return top(ranked.where(F.col("_rank") <= n).drop("_rank"), n, by=by, tie=tie)
 
 
-__all__ = ["ADHOC_COLUMNS", "SCORE_COLUMNS", "adhoc", "rank_key", "rollup", "top",
+__all__ = ["ADHOC_COLUMNS", "SCORE_COLUMNS", "SHARE", "adhoc", "dealt", "rank_key", "rollup", "top",
            "top_by_groups"]

@@ -38,7 +38,7 @@ def _latest_priced(scale: int) -> Column:
     """Aggregate: the latest priced trade by (timestamp, id_, user_id), a
     total order on deduped rows; trades without a price are skipped."""
     p = price_units(scale)
-    return F.max(F.when(p.isNotNull(), F.struct("timestamp", "id_", "user_id",
+    return F.max(F.when(p.isNotNull(), F.struct("timestamp", "id_", "user_id", "operation_type",
                                                  p.alias("price_units"))))
 
 
@@ -59,11 +59,16 @@ def last_price(ops: DataFrame, *, scale: int = 2) -> DataFrame:
     )
 
 
-def last_price_units(ops: DataFrame, *, scale: int = 2) -> DataFrame:
+def last_price_units(ops: DataFrame, *, scale: int = 2, shares: str | None = None) -> DataFrame:
     """``last_price`` as an integer count of 10**-scale: (token_id, price_units).
-    Reads only the columns it needs."""
-    return (ops.groupBy("token_id").agg(_latest_priced(scale).alias("lt"))
-            .select("token_id", F.col("lt.price_units").alias("price_units")))
+    Reads only the columns it needs. With ``shares``, a column by which the rows of
+    a token are dealt, each share keeps its latest trade first."""
+    if shares is None:
+        latest = ops.groupBy("token_id").agg(_latest_priced(scale).alias("lt"))
+    else:
+        latest = (ops.groupBy("token_id", shares).agg(_latest_priced(scale).alias("lt"))
+                  .groupBy("token_id").agg(F.max("lt").alias("lt")))
+    return latest.select("token_id", F.col("lt.price_units").alias("price_units"))
 
 
 def mark_to_market(balances: DataFrame, outcomes: DataFrame, prices: DataFrame, *,

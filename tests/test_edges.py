@@ -234,3 +234,35 @@ def test_intermediaries_as_a_dataframe(spark):
         a = scoring.score_traders(m, f, golden.INTERMEDIARIES, fused=fused)
         b = scoring.score_traders(m, f, listed, fused=fused)
         assert sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
+
+
+def test_trade_sides_are_the_two_sided_ledger(spark):
+    """Narrow trades give the same signed rows, odd fills included."""
+    from marksman.schemas import FILLS
+    t = dt.datetime(2024, 1, 1)
+    assets = [("0", "t1"), ("t1", "0"), ("0", "0"), ("0", None), (None, "0"), ("t1", "t2")]
+    fills = spark.createDataFrame(
+        [(f"x{i}_1", t, "w1" if i else None, "w2", a, b, 3, 5, 0) for i, (a, b) in
+         enumerate(assets)], FILLS)
+    cols = ["id_", "user_id", "agent", "timestamp", "operation_type", "token_balance_change",
+            "usdc_balance_change", "token_id"]
+    was = ledger.signed(ledger.two_sided(fills)).select(*cols)
+    now = ledger.trade_sides(ledger.trades(fills)).select(*cols)
+    assert was.count() == 10
+    assert sorted(map(str, now.collect())) == sorted(map(str, was.collect()))
+
+
+def test_money_of_a_wallet_beyond_64_bits(spark):
+    """Sums of amounts that each fit 64 bits do not wrap."""
+    rows = [("w", f"t{i}", f"m{i % 3}", x, x) for i, x in enumerate(
+        [2**62, 2**62, 2**62, -5, -(2**33)])]
+    pnl = spark.createDataFrame(
+        rows, "user_id string, token_id string, market_id string, profit_units bigint, "
+        "gained_units bigint").select(
+        "*", F.lit(1).cast("bigint").alias("operations_count"),
+        F.lit(0.5).alias("relative_profit"), F.lit(7).cast("bigint").alias("total_spent"),
+        F.lit(dt.datetime(2024, 1, 1)).alias("day_enter"),
+        F.lit(dt.datetime(2024, 1, 2)).alias("day_exit"))
+    r = scorecard.rollup(pnl).first()
+    assert r.profit_usdc == float(3 * 2**62 - 5 - 2**33) / 1e8
+    assert (r.positions_count, r.markets_count, r.avg_roi) == (5, 3, 50.0)

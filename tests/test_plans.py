@@ -72,3 +72,41 @@ def test_every_aggregate_has_a_partial_step(inputs):
     assert "partial_max(struct(priority" in p          # dedupe combines map-side
     assert "partial_sum" in p and "partial_count" in p  # positions and rollup
     assert "Window" not in p                           # no whole-group operator
+
+
+def shuffled(spark, df) -> list[str]:
+    """The exchanges of the plan as it ran, with joins by shuffle."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df.collect()
+        lines = plan(df).split("Initial Plan")[0].splitlines()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    return [line.strip(" +-:") for line in lines if "Exchange" in line]
+
+
+def test_positions_and_prices_read_one_shuffle(inputs, spark):
+    """No shuffle carries the ledger's two rows a fill; the operations on a token are
+    shuffled once, for positions, prices and values alike."""
+    m, f = inputs
+    ran = shuffled(spark, scoring.score_traders(m, f, fixtures.INTERMEDIARIES,
+                                                broadcast_max_rows=10))
+    assert not any("hashpartitioning(user_id" in x and "id_#" in x for x in ran)
+    dealt = [x for x in ran if "REPARTITION_BY_COL" in x and "hashpartitioning(token_id" in x]
+    assert len(dealt) == 2 and sum("ReusedExchange" in x for x in dealt) == 1
+    wallets = [x for x in ran if "hashpartitioning(user_id" in x]
+    assert len(wallets) == 2  # positions by wallet and share, then their sums
+
+
+def test_literal_plan_shuffles_fills_once(inputs, spark):
+    m, f = inputs
+    ran = shuffled(spark, scoring.literal_pnl(m, f, fixtures.INTERMEDIARIES,
+                                              broadcast_max_rows=10))
+    dealt = [x for x in ran if "hashpartitioning(id_" in x]
+    assert sum("ReusedExchange" not in x for x in dealt) == 1
+
+
+def test_upsert_inputs_score_once(spark):
+    import __spark_entry__ as e
+    target, batch = e._upsert_inputs(spark, SF_SMALL)
+    assert "FileScan" not in plan(batch) and "FileScan" not in plan(target)
