@@ -140,6 +140,7 @@ def upsert(target: DataFrame, batch: DataFrame, *, now: dt.datetime,
 
 _VERSION = re.compile(r"/version=(\d+)-([^/]+)/[^/]+$")
 _RUN = re.compile(r"[A-Za-z0-9._]+")
+_STORED = "stored"
 
 
 def versions(spark: SparkSession, root: str) -> dict[int, str]:
@@ -194,9 +195,21 @@ def _expired(spark: SparkSession, root: str, keep: int) -> None:
         fs.delete(p, True)
 
 
-def write_snapshot(df: DataFrame, root: str, *, run: str | None = None, keep: int = 3) -> int:
+def stored_by(spark: SparkSession, root: str, run: str) -> int | None:
+    """The ``stored`` that ``run`` published its version with, from the files' schema;
+    None if it has published none or no such number."""
+    number = next((n for n, r in versions(spark, root).items() if r == run), None)
+    if number is None:
+        return None
+    schema = spark.read.parquet(_folder(root, number, run)).schema
+    return schema[SCORECARD_KEY].metadata.get(_STORED)
+
+
+def write_snapshot(df: DataFrame, root: str, *, run: str | None = None, keep: int = 3,
+                   stored: int | None = None) -> int:
     """Write ``df`` as the next version and return its number. If ``run`` has a
-    version already, that one stands and nothing is written."""
+    version already, that one stands and nothing is written. ``stored``, the rows of
+    the batch, goes into the version's files as metadata of the key."""
     spark = df.sparkSession
     run = run or uuid.uuid4().hex[:12]
     if not _RUN.fullmatch(run):
@@ -205,6 +218,8 @@ def write_snapshot(df: DataFrame, root: str, *, run: str | None = None, keep: in
     number = next((n for n, r in found.items() if r == run), None)
     if number is None:
         number = max(found, default=0) + 1
+        if stored is not None:
+            df = df.withMetadata(SCORECARD_KEY, {_STORED: stored})
         df.write.mode("overwrite").parquet(f"{root}/_next")
         _renamed(spark, f"{root}/_next", _folder(root, number, run))
     _expired(spark, root, keep)
@@ -227,6 +242,7 @@ __all__ = [
     "key_violations",
     "read_snapshot",
     "snapshot_count",
+    "stored_by",
     "upsert",
     "versions",
     "write_snapshot",

@@ -30,19 +30,22 @@ def refresh(spark: SparkSession, markets: DataFrame, fills: DataFrame, target_ro
     The ranked batch is checkpointed (empty check, upsert), then the merged target.
     Only the summary reaches the driver. With ``run``, a name for this refresh, a
     retry after a failure at any step gives the same version: if the failed attempt
-    had published it, the retry publishes nothing.
+    had published it, the retry publishes nothing, scores nothing and reports what
+    that version stored.
     """
     started = time.monotonic()
     now = now or dt.datetime.now(dt.timezone.utc).replace(microsecond=0)
-    batch = checkpointed(sinks.coerce_scorecard(
-        top_traders(markets, fills, intermediaries, limit=limit, **score_kw)))
-    stored = batch.count()
-    if stored == 0:
-        return {"users_processed": 0, "users_stored": 0,
-                "elapsed_seconds": round(time.monotonic() - started, 3)}
-    if run is None or run not in sinks.versions(spark, target_root).values():
-        merged = sinks.upsert(sinks.read_snapshot(spark, target_root), batch, now=now)
-        sinks.write_snapshot(merged, target_root, run=run)
+    stored = None if run is None else sinks.stored_by(spark, target_root, run)
+    if stored is None:
+        batch = checkpointed(sinks.coerce_scorecard(
+            top_traders(markets, fills, intermediaries, limit=limit, **score_kw)))
+        stored = batch.count()
+        if stored == 0:
+            return {"users_processed": 0, "users_stored": 0,
+                    "elapsed_seconds": round(time.monotonic() - started, 3)}
+        if run is None or run not in sinks.versions(spark, target_root).values():
+            merged = sinks.upsert(sinks.read_snapshot(spark, target_root), batch, now=now)
+            sinks.write_snapshot(merged, target_root, run=run, stored=stored)
     total = sinks.snapshot_count(sinks.read_snapshot(spark, target_root))
     return {
         "users_processed": stored,

@@ -226,6 +226,16 @@ def test_a_retried_run_is_one_version(spark, monkeypatch, step):
         sinks.write_snapshot(sinks.empty_target(spark), root, run="a/b")
 
 
+def test_a_published_run_is_not_scored_again(spark, monkeypatch):
+    """The retry reports what its version stored, not a batch that is not stored."""
+    root = scratch_path(spark, "test-published")
+    kw = dict(intermediaries=golden.INTERMEDIARIES, now=T0, run="daily")
+    args = (spark, golden.markets(spark), golden.fills(spark), root)
+    assert jobs.refresh(*args, **kw, limit=3)["users_stored"] == 3
+    s = jobs.refresh(*args, **kw, limit=1)
+    assert (s["users_processed"], s["users_stored"], s["total_users_in_db"]) == (3, 3, 3)
+
+
 def test_success_markers_do_not_matter(spark, scores):
     root = scratch_path(spark, "test-nosuccess")
     conf = spark.sparkContext._jsc.hadoopConfiguration()
