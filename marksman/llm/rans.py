@@ -181,12 +181,13 @@ def encode_documents(docs: DataFrame, vocabulary: str | None = None, end_id: int
         total = np.zeros(1 << 16, np.int64)
         for batch in batches:
             for part in arrow_rows(batch, 2048):
-                ids = [x + end for x in tok.encode(part.column(1).to_pylist())]
-                total += np.bincount(np.frombuffer(b"".join(ids), "<u2"), minlength=1 << 16)
+                ids = tok.encode_column(part.column(1), end)
+                _, offsets, data = ids.buffers()
+                offsets = np.frombuffer(offsets, np.int32)[:len(ids) + 1] // 2
+                total += np.bincount(np.frombuffer(data, "<u2", offsets[-1]), minlength=1 << 16)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0).cast(pa.int64()),
-                     pa.array([len(x) // 2 for x in ids], pa.int64()),
-                     pa.array(ids, pa.binary()), pa.array([False] * len(ids))], names)
+                    [part.column(0).cast(pa.int64()), pa.array(np.diff(offsets), pa.int64()),
+                     ids, pa.array(np.zeros(len(ids), bool))], names)
         yield pa.RecordBatch.from_arrays(
             [pa.array([None], pa.int64()), pa.array([0], pa.int64()),
              pa.array([total.tobytes()], pa.binary()), pa.array([True])], names)

@@ -5,6 +5,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -48,6 +49,27 @@ def test_ids_survive_an_emptied_cache(monkeypatch):
             assert np.frombuffer(tok.encode([t or ""])[0], "<u2").tolist() == expected(t).tolist()
 
 
+def test_lines_and_punctuation_make_no_new_words():
+    words = [f"{a}{b}" for a in "abcdefghij" for b in "klmnopqrst"]
+    draw = random.Random(4)
+    texts = ["".join(draw.choice(words) + draw.choice([" ", ", ", ".\n", "!?\n", "*** ", "'\n"])
+                     for _ in range(300)) + "end" for _ in range(40)]
+    tok = WordTokenizer(default_vocabulary())
+    got = [np.frombuffer(x, "<u2").tolist() for x in tok.encode(texts)]
+    assert got == [expected(t).tolist() for t in texts]
+    assert len(tok.words) < 2 * len(words) + 20  # each after a space and after a newline
+
+
+def test_columns_are_encoded_in_place():
+    texts = ["left out", "", "a.\nb", "a \nb", "a\n\nb c.\r\nd", "x" * 70 + " y", "\nq", "q\n",
+             "it's.\n's, 'll", "1.5, 2.\n3!", "a" + "." * 70, "日本.\n語, é!", "left out, too"]
+    want = [expected(t).astype("<u2").tobytes() + b"\7\0" for t in texts]
+    for kind in (pa.string(), pa.large_string()):
+        column = pa.array(texts, kind)
+        assert OWN.encode_column(column.slice(1, 11), b"\7\0").to_pylist() == want[1:12]
+        assert OWN.encode_column(column.slice(1, 0)).to_pylist() == []
+
+
 @settings(max_examples=40, deadline=None)
 @given(st.integers(0, 3 * rans.BLOCK), st.integers(1, 60_000), st.integers(0, 2**32 - 1))
 def test_blocks_round_trip(n, alphabet, seed):
