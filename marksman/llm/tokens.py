@@ -157,7 +157,7 @@ class WordTokenizer:
         first, parts = at[:-1], split.values
         heads = ["\n" + w for w in parts.take(pa.array(first)).to_pylist()]
         coded = parts.dictionary_encode()
-        code = coded.indices.to_numpy().astype(np.int64)
+        code = coded.indices.to_numpy().astype(np.int32)
         code[first] = len(coded.dictionary) + np.arange(n)
         base, marks = (x.dictionary_encode() for x in self._closed(
             pa.concat_arrays([coded.dictionary, pa.array(heads, pa.string())])))
@@ -167,11 +167,11 @@ class WordTokenizer:
         endings = [x if x is None else x[skip:] for x in ids[size:]]
         endings = [b"" if not m else x
                    for m, x in zip(marks.dictionary.to_pylist(), endings, strict=True)]
-        word = base.indices.to_numpy().astype(np.int64)
+        word = base.indices.to_numpy().astype(np.int32)
         heads = [x if x is None else x[skip:] for x in map(ids.__getitem__, word[-n:])]
         pool = [*ids[:size], *endings, *heads, end, b""]
         word[-n:] = np.arange(len(pool) - 2 - n, len(pool) - 2)
-        mark = size + marks.indices.to_numpy().astype(np.int64)
+        mark = marks.indices.to_numpy() + np.int32(size)
         # left: texts with white space beside a space, an added token or a very long word
         missing = np.fromiter((x is None for x in pool), bool, len(pool))
         missing = missing[word] | missing[mark]
