@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marksman.functions import latest
-from marksman.plans.sizing import broadcast_if_small
+from marksman.plans.sizing import DRIVER_SHARE, broadcast_if_small
 
 CASH = "0"
 
@@ -181,7 +181,8 @@ def exclude_intermediaries(ops: DataFrame, intermediaries: Sequence[str] | DataF
     NULL wallets drop out either way, as with SQL ``NOT IN``.
     """
     if isinstance(intermediaries, DataFrame):
-        listed, _ = broadcast_if_small(intermediaries.select("user_id").distinct())
+        listed, _ = broadcast_if_small(intermediaries.select("user_id").distinct(),
+                                       driver_share=DRIVER_SHARE)
         return ops.where(F.col("user_id").isNotNull()).join(listed, "user_id", "left_anti")
     # said outright, so that every branch of a plan reads the same rows
     return ops.where(F.col("user_id").isNotNull() & ~F.col("user_id").isin(list(intermediaries)))
@@ -193,7 +194,7 @@ def with_priority(ops: DataFrame, intermediaries: Sequence[str] | DataFrame) ->
     if isinstance(intermediaries, DataFrame):
         listed = intermediaries.select(F.col("user_id").alias("agent")).where(
             F.col("agent").isNotNull()).distinct().withColumn("_listed", F.lit(True))
-        listed, _ = broadcast_if_small(listed)
+        listed, _ = broadcast_if_small(listed, driver_share=DRIVER_SHARE)
         return ops.join(listed, "agent", "left").select(
             *ops.columns, F.when(F.col("_listed"), F.lit(2)).otherwise(F.lit(1)).alias("priority"))
     return ops.withColumn(

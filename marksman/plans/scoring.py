@@ -12,8 +12,8 @@ with fewer exchanges:
   (cash flow and balance in ONE aggregate), prices and the join with the token
   values all read that one exchange;
 * prices fold with the payouts into a token-sized table (token_id, market_id, unit
-  value), broadcast when its measured rows and bytes are under the bounds, else
-  joined where the positions are;
+  value), broadcast when its measured rows and bytes are under the bounds and its
+  hash table fits the driver, else joined where the positions are;
 * positions are dealt once by (wallet, share of its markets) for the rollup.
 
 Exchanges of the fused plan over the bounds: (token_id) for the listing filter,
@@ -31,8 +31,8 @@ from pyspark.sql import functions as F
 
 from marksman.functions import checked_product
 from marksman.operators import ledger, positions, scorecard, valuation
-from marksman.plans.sizing import (DEFAULT_BROADCAST_MAX_ROWS, broadcast_if_small,
-                                    measure_columns)
+from marksman.plans.sizing import (DEFAULT_BROADCAST_MAX_ROWS, DRIVER_SHARE,
+                                    broadcast_if_small, measure_columns)
 
 Intermediaries = Sequence[str] | DataFrame
 
@@ -58,7 +58,7 @@ def literal_pnl(markets: DataFrame, fills: DataFrame, intermediaries: Intermedia
                 with_units: bool = False) -> DataFrame:
     """Per-position profit, stage by stage. ``with_units`` as in ``fused_pnl``."""
     outcomes = ledger.market_outcomes(markets).select("token_id", "market_id", "winner")
-    outcomes_b, _ = broadcast_if_small(outcomes, broadcast_max_rows)
+    outcomes_b, _ = broadcast_if_small(outcomes, broadcast_max_rows, driver_share=DRIVER_SHARE)
     trades = ledger.trades(fills, cash_asset=cash_asset).join(
         outcomes_b.select("token_id", "market_id"), "token_id")
     ops = _deduped(trades, intermediaries, [*_POSITION_INPUT, "market_id"])
@@ -79,7 +79,8 @@ def fused_pnl(markets: DataFrame, fills: DataFrame, intermediaries: Intermediari
     # one job sizes the listings; every broadcast side below is no larger
     n, width = measure_columns(outcomes.select("token_id", "market_id"))
     listed, _ = broadcast_if_small(outcomes.select("token_id"), broadcast_max_rows,
-                                   measured=(n, width["token_id"]))
+                                   measured=(n, width["token_id"]),
+                                   driver_share=DRIVER_SHARE)
     trades = ledger.trades(fills, cash_asset=cash_asset).join(listed, "token_id", "left_semi")
     ops = _deduped(trades, intermediaries, _POSITION_INPUT)
     # never NULL, also for the optimizer: positions and prices read the same rows
@@ -90,7 +91,8 @@ def fused_pnl(markets: DataFrame, fills: DataFrame, intermediaries: Intermediari
     prices = valuation.last_price_units(ops, scale=scale, shares="_share")
     values, small = broadcast_if_small(
         valuation.token_values(outcomes, prices, scale=scale), broadcast_max_rows,
-        measured=(n, width["token_id"] + width["market_id"] + 12 * n))
+        measured=(n, width["token_id"] + width["market_id"] + 12 * n),
+        driver_share=DRIVER_SHARE)
     on = ["token_id"]
     if not small:  # the positions stay where they are: each share has the token's value
         on.append("_share")

@@ -110,3 +110,45 @@ def test_upsert_inputs_score_once(spark):
     import __spark_entry__ as e
     target, batch = e._upsert_inputs(spark, SF_SMALL)
     assert "FileScan" not in plan(batch) and "FileScan" not in plan(target)
+
+
+@pytest.fixture(scope="module")
+def filed(spark):
+    """Rows of known size: what is made from Python objects counts as endless."""
+    from tests import golden
+    root = scratch_path(spark, "golden-inputs")
+    golden.markets(spark).write.parquet(f"{root}/markets")
+    golden.fills(spark).write.parquet(f"{root}/fills")
+    return read_markets(spark, f"{root}/markets"), read_fills(spark, f"{root}/fills")
+
+
+def few_columns(inputs, **kw):
+    """The ad hoc scorecard as its sample reads it: no prices."""
+    from marksman.operators import scorecard
+    pnl = scoring.fused_pnl(*inputs, ["EX"], with_units=True, **kw)
+    return scorecard.adhoc(pnl).select("user_id", "tokens_traded", "total_spent_", "day_exit")
+
+
+def test_refused_listings_are_not_broadcast_by_estimate(filed):
+    """Spark's own estimate puts these rows far below its threshold."""
+    small = few_columns(filed)
+    assert "BroadcastExchange" in plan(small)
+    refused = few_columns(filed, broadcast_max_rows=1)
+    assert "BroadcastExchange" not in plan(refused)
+    assert sorted(refused.collect()) == sorted(small.collect())
+
+
+def test_listings_beyond_the_drivers_heap_are_not_broadcast(filed, monkeypatch):
+    want = sorted(few_columns(filed).collect())
+    monkeypatch.setattr(scoring, "DRIVER_SHARE", 1 << 40)  # a share of under a byte
+    refused = few_columns(filed)
+    assert "BroadcastExchange" not in plan(refused)
+    assert sorted(refused.collect()) == want
+
+
+def test_drivers_heap_bounds_a_hash_table(spark):
+    from marksman.plans.sizing import HASHED_ROW_BYTES, fits_driver
+    heap = spark._jvm.java.lang.Runtime.getRuntime().maxMemory()
+    rows = heap // HASHED_ROW_BYTES
+    assert fits_driver(spark, rows, 0, share=1) and not fits_driver(spark, rows + 1, 0, share=1)
+    assert not fits_driver(spark, 0, heap, share=1) and not fits_driver(spark, rows, 0, share=2)
